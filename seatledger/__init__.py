@@ -1 +1,8 @@
 """Booking analytics for restaurant chains, written as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The functions that run inside tasks travel by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -255,6 +255,4 @@ def assign_staff_ordered(
         settled = settled.unionByName(incoming)
 
     served = replay(ranged, settled).where("booking_id is not null").select("booking_id", "employee_id")
-    return checkins.join(served, "booking_id").select(
-        "booking_id", "restaurant_id", "start_time_slot", "ts", "employee_id"
-    )
+    return checkins.select("booking_id", "restaurant_id", "start_time_slot", "ts").join(served, "booking_id")

@@ -1,8 +1,7 @@
 """The registered queries as DuckDB SQL, written in the plain form the model states them in.
 
 ``VIEWS`` defines the booking tables over the star schema; each oracle names the views it
-needs. Keys that depend on order in a way SQL cannot express over whole tables have no
-entry: ``allocate_bookings`` and ``assign_staff_ordered``.
+needs. The order-dependent keys recurse over each group's rows one by one.
 """
 
 from __future__ import annotations
@@ -220,6 +219,60 @@ _SNAPSHOT = """
         WHERE pick = 1)"""
 
 
+# Check-ins one by one per restaurant, the roster's loads carried along as a list.
+_SERVED = """
+    load AS (SELECT employee_id, count(*) AS load FROM booking
+             WHERE booking_status = 'ongoing' GROUP BY employee_id),
+    arrival AS (SELECT *, row_number() OVER (PARTITION BY restaurant_id
+                                             ORDER BY booking_created, booking_id) AS n
+                FROM booking WHERE booking_status = 'scheduled'),
+    served AS (
+        SELECT restaurant_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS booking_id,
+               CAST(NULL AS INTEGER) AS start_time_slot, CAST(NULL AS BIGINT) AS employee_id,
+               list({'load': coalesce(load, 0), 'employee_id': s.employee_id, 'first_slot': first_slot}) AS loads
+        FROM staff s LEFT JOIN load USING (employee_id) GROUP BY restaurant_id
+        UNION ALL
+        SELECT restaurant_id, n, booking_id, start_time_slot, pick.employee_id,
+               list_transform(loads, lambda e: {
+                   'load': CASE WHEN e.employee_id = pick.employee_id THEN e.load + 1 ELSE e.load END,
+                   'employee_id': e.employee_id, 'first_slot': e.first_slot})
+        FROM (SELECT a.restaurant_id, a.n, a.booking_id, a.start_time_slot, s.loads,
+                     list_sort(list_filter(s.loads, lambda e: e.first_slot <= a.start_time_slot))[1] AS pick
+              FROM served s JOIN arrival a ON a.restaurant_id = s.restaurant_id AND a.n = s.n + 1))"""
+
+# Requests one by one per service date, the bookings made so far carried along as a list.
+_ALLOCATED = """
+    held AS (SELECT member_id, service_date, min(booking_id) AS held_id FROM open_booking GROUP BY ALL),
+    choices AS (SELECT restaurant_id, service_date, start_time_slot, booking_duration,
+                       list(table_id ORDER BY table_id) AS tables FROM free_table GROUP BY ALL),
+    request AS (
+        SELECT b.booking_id AS request_id, b.booking_created AS ts, b.member_id, b.restaurant_id, b.service_date,
+               b.start_time_slot, b.booking_duration, held_id, coalesce(tables, []) AS tables,
+               row_number() OVER (PARTITION BY b.service_date ORDER BY b.booking_created, b.booking_id) AS n
+        FROM booking b LEFT JOIN held USING (member_id, service_date)
+             LEFT JOIN choices USING (restaurant_id, service_date, start_time_slot, booking_duration)
+        WHERE b.booking_status = 'cancelled'),
+    decided AS (
+        SELECT service_date, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS request_id,
+               CAST(NULL AS BIGINT) AS table_id, CAST(NULL AS BIGINT) AS existing_booking_id,
+               CAST([] AS STRUCT(request_id BIGINT, member_id BIGINT, table_id BIGINT, lo INTEGER, hi INTEGER)[])
+                   AS made
+        FROM (SELECT DISTINCT service_date FROM request)
+        UNION ALL
+        SELECT service_date, n, request_id, table_id, existing_id,
+               CASE WHEN table_id IS NULL THEN made
+                    ELSE list_append(made, {'request_id': request_id, 'member_id': member_id,
+                                            'table_id': table_id, 'lo': lo, 'hi': hi}) END
+        FROM (SELECT *, CASE WHEN existing_id IS NULL THEN
+                   list_filter(tables, lambda t: len(list_filter(made, lambda m:
+                       m.table_id = t AND m.lo <= hi AND m.hi >= lo)) = 0)[1] END AS table_id
+              FROM (SELECT r.service_date, r.n, r.request_id, r.member_id, r.tables, d.made,
+                           r.start_time_slot AS lo, r.start_time_slot + r.booking_duration - 1 AS hi,
+                           coalesce(r.held_id, list_filter(d.made, lambda m: m.member_id = r.member_id)[1].request_id)
+                               AS existing_id
+                    FROM decided d JOIN request r ON r.service_date = d.service_date AND r.n = d.n + 1)))"""
+
+
 def _turns(command: str, status: str, done: str, refused: str) -> str:
     return f"""
     turn AS (SELECT command_id, ts, member_id,
@@ -414,6 +467,15 @@ def oracles() -> dict[str, str]:
         FROM ask LEFT JOIN free_table USING (restaurant_id, service_date, start_time_slot, booking_duration)
         GROUP BY request_id, restaurant_id, service_date""", _VACANT.format(ask="ask"))
 
+    q["allocate_bookings"] = _sql(f"{search} ask", """
+        SELECT d.request_id, r.ts, r.member_id, r.restaurant_id, r.service_date, r.start_time_slot,
+               r.booking_duration, d.table_id,
+               CASE WHEN d.existing_booking_id IS NOT NULL THEN 'has_open_booking'
+                    WHEN d.table_id IS NOT NULL THEN 'confirmed' ELSE 'no_table' END AS outcome,
+               d.existing_booking_id
+        FROM decided d JOIN request r USING (request_id)""",
+        _VACANT.format(ask="ask"), _ALLOCATED, recursive=True)
+
     # --- staffing
     q["staff_load"] = _sql(f"staff {_BK}", """
         SELECT s.employee_id, load FROM staff s LEFT JOIN (
@@ -428,6 +490,9 @@ def oracles() -> dict[str, str]:
     q["assign_staff_snapshot"] = _sql(f"staff {_BK}", """
         SELECT booking_id, restaurant_id, start_time_slot, c.employee_id
         FROM booking b LEFT JOIN choice c USING (booking_id) WHERE booking_status = 'scheduled'""", _SNAPSHOT)
+    q["assign_staff_ordered"] = _sql(f"staff {_BK}", """
+        SELECT restaurant_id, booking_id, start_time_slot, employee_id FROM served WHERE n > 0""",
+        _SERVED, recursive=True)
 
     # --- lifecycle
     q["members_with_open_booking"] = _sql(f"{_BK} open_booking", """
