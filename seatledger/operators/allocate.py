@@ -10,10 +10,11 @@ Cutting every shape to its first ``n`` requests is therefore exact, and the sequ
 scan sees at most shapes * n requests per (restaurant, date) however many were made.
 
 Member gate. Starting from "nobody is gated", allocate, take each member's earliest
-success, gate that member's later requests, and repeat until the earliest successes stop
-changing. After round k the first k requests of the global order are final, because a
-request's gate and its restaurant's state depend only on earlier requests, so the loop
-ends, and an unchanged round satisfies the sequential rule for every request.
+success, gate that member's later requests, and repeat until no request's gate changes.
+After round k the first k requests of the global order are final, because a request's gate
+and its restaurant's state depend only on earlier requests, so the loop ends, and a round
+that changes no gate satisfies the sequential rule for every request. A round scans only
+the (restaurant, date) pairs whose gates moved.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatledger.functions.expressions import SLOTS_PER_DAY, slot_fits, slot_mask
@@ -88,6 +89,8 @@ def allocate_bookings(
     spark = requests.sparkSession
     checkpoint_root(spark)
     gate = list(gate)
+    if not set(gate) <= {"member_id", "service_date"}:
+        raise ValueError("the gate is made of member_id and service_date")
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     start, duration = F.col("start_time_slot"), F.col("booking_duration")
 
@@ -112,46 +115,44 @@ def allocate_bookings(
         .checkpoint()
     )
 
-    def one_round(first: DataFrame | None) -> DataFrame:
-        eligible = live
-        if first is not None:
-            mine = F.struct("ts", "request_id")
-            eligible = live.join(first, gate, "left").where(
-                F.col("first_success").isNull() | (mine <= F.col("first_success"))
-            ).drop("first_success")
+    order = F.struct("ts", "request_id")
+
+    def scan(eligible: DataFrame, tables: DataFrame) -> DataFrame:
         asked = _leading_per_shape(eligible, salts).select(
             *DAY, F.lit(None).cast("bigint").alias("table_id"),
             slot_mask(start, duration).alias("mask"), "request_id", "ts",
         )
         # NULLs sort first: a day's tables (no ts) precede its requests.
-        scan = day_tables.unionByName(asked).repartition(*DAY).sortWithinPartitions(
+        rows = tables.unionByName(asked).repartition(*DAY).sortWithinPartitions(
             *DAY, "ts", "request_id", "table_id"
         )
-        chosen = scan.select(*DAY, "table_id", "mask", "request_id").mapInArrow(
+        chosen = rows.select(*DAY, "table_id", "mask", "request_id").mapInArrow(
             _first_fit, "request_id bigint, table_id bigint"
         )
-        return live.select("request_id", "ts", *gate).join(chosen, "request_id").checkpoint()
+        return eligible.select("request_id", "ts", *DAY, "member_id").join(chosen, "request_id")
 
-    def earliest(accepted: DataFrame) -> DataFrame:
-        return accepted.groupBy(*gate).agg(F.min(F.struct("ts", "request_id")).alias("first_success"))
+    def earliest(accepted: DataFrame, name: str) -> DataFrame:
+        return accepted.groupBy(*gate).agg(F.min(order).alias(name))
 
-    first: DataFrame | None = None
+    def passes(first: str) -> Column:
+        return F.col(first).isNull() | (order <= F.col(first))
+
+    accepted = scan(live, day_tables).checkpoint()
+    latest = earliest(accepted, "first_success").checkpoint()
+    known = latest.limit(0)
     while True:
-        accepted = one_round(first)
-        latest = earliest(accepted).checkpoint()
-        if first is not None:
-            before = first.withColumnRenamed("first_success", "_before")
-            moved = latest.join(before, gate, "full").where(
-                ~F.col("first_success").eqNullSafe(F.col("_before"))
-            )
-            if moved.isEmpty():
-                break
-        elif latest.isEmpty():
+        # Only days where some request's gate moved have to be scanned again.
+        moved = known.withColumnRenamed("first_success", "_before").join(latest, gate, "full")
+        gated = live.join(moved, gate, "left")
+        stale = gated.where(passes("_before") != passes("first_success")).select(*DAY).distinct().checkpoint()
+        if stale.isEmpty():
             break
-        first = latest
+        again = gated.where(passes("first_success")).drop("_before", "first_success")
+        fresh = scan(again.join(stale, DAY, "left_semi"), day_tables.join(stale, DAY, "left_semi"))
+        accepted = accepted.join(stale, DAY, "left_anti").unionByName(fresh).checkpoint()
+        known, latest = latest, earliest(accepted, "first_success").checkpoint()
 
     won = accepted.select("request_id", "table_id")
-    order = F.struct("ts", "request_id")
     own_earlier = F.coalesce(F.col("first_success") < order, F.lit(False))
     return (
         batch.join(latest, gate, "left")

@@ -92,9 +92,12 @@ def release_slots(grid: DataFrame, booking_status: DataFrame) -> DataFrame:
     occupation has to be read from the status.
     """
     finished = booking_status.where(F.col("booking_status").isin("cancelled", "completed")).select(
-        "booking_id", F.col("booking_status").alias("_final")
+        F.col("booking_id").alias("_match"), F.col("booking_status").alias("_final")
     )
-    joined = grid.join(finished, "booking_id", "left")
+    # Vacant cells have no booking. Scattered negative keys keep them from meeting in the
+    # one partition that NULL hashes to; ids are positive, so they match nothing.
+    idle = -1 - F.pmod(F.xxhash64("table_id", "service_date", "slot_id"), F.lit(1 << 31))
+    joined = grid.withColumn("_match", F.coalesce("booking_id", idle)).join(finished, "_match", "left")
     return joined.select(
         "table_id", "service_date", "slot_id",
         F.when(F.col("_final") == "cancelled", F.lit(None)).otherwise(F.col("booking_id")).cast("bigint")

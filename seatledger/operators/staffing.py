@@ -6,6 +6,7 @@ part. Idle employees come first, ties go to the lowest employee id.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,15 +98,44 @@ _OUT_ARROW = pa.schema([
 ])
 
 
+class _Desk:
+    """Loads of one restaurant, a heap of (load, employee) per first slot."""
+
+    def __init__(self, loads: list[dict] | None):
+        self._heaps: dict[int, list[tuple[int, int]]] = {}
+        for e in loads or ():
+            self._heaps.setdefault(e["first_slot"], []).append((e["load"], e["employee_id"]))
+        for heap in self._heaps.values():
+            heapq.heapify(heap)
+
+    def serve(self, slot: int | None) -> int | None:
+        open_heaps = [h for first, h in self._heaps.items() if slot is not None and first <= slot]
+        if not open_heaps:
+            return None
+        heap = min(open_heaps, key=lambda h: h[0])
+        load, employee = heap[0]
+        heapq.heapreplace(heap, (load + 1, employee))
+        return employee
+
+    def loads(self) -> list[dict]:
+        entries = [
+            {"employee_id": employee, "first_slot": first, "load": load}
+            for first, heap in self._heaps.items() for load, employee in heap
+        ]
+        return sorted(entries, key=lambda e: e["employee_id"])
+
+
 def _serve_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows of (restaurant, segment): the loads row first, then check-ins in order.
 
     Emits one row per check-in and, when a piece ends, one row with its final loads.
     """
-    piece, loads = None, []
+    piece, desk = None, _Desk(None)
 
-    def closing() -> tuple:
-        return (*piece, None, None, [dict(e) for e in loads])
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), f.type) for c, f in zip(zip(*rows), _OUT_ARROW)], schema=_OUT_ARROW
+        )
 
     for batch in batches:
         out = []
@@ -114,26 +144,16 @@ def _serve_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         ):
             if piece != (restaurant, segment):
                 if piece is not None:
-                    out.append(closing())
-                piece, loads = (restaurant, segment), []
+                    out.append((*piece, None, None, desk.loads()))
+                piece, desk = (restaurant, segment), _Desk(None)
             if booking is None:
-                loads = incoming or []
-                continue
-            best = None
-            for e in loads:
-                if slot is not None and e["first_slot"] <= slot and (best is None or e["load"] < best["load"]):
-                    best = e
-            if best is not None:
-                best["load"] += 1
-            out.append((restaurant, segment, booking, best and best["employee_id"], None))
+                desk = _Desk(incoming)
+            else:
+                out.append((restaurant, segment, booking, desk.serve(slot), None))
         if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), f.type) for c, f in zip(zip(*out), _OUT_ARROW)], schema=_OUT_ARROW
-            )
+            yield table(out)
     if piece is not None:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([v], f.type) for v, f in zip(closing(), _OUT_ARROW)], schema=_OUT_ARROW
-        )
+        yield table([(*piece, None, None, desk.loads())])
 
 
 def _pour(loads: np.ndarray, amount: int) -> np.ndarray:
@@ -181,8 +201,8 @@ def assign_staff_ordered(
     they are predicted from the counts per start slot, the pieces are replayed in
     parallel, and a piece whose predecessor ended with other loads than predicted is
     replayed again. The first k pieces of a restaurant are final after k rounds, so the
-    loop ends with the sequential answer; the prediction is usually exact. Rosters and
-    loads hold one entry per employee of a restaurant.
+    loop ends with the sequential answer; the prediction is usually exact. A task holds
+    one entry per employee of the restaurant it works on, never its check-ins.
     """
     shared = shifts.groupBy("employee_id").agg(F.count_distinct("restaurant_id").alias("n")).where("n > 1")
     if not shared.isEmpty():

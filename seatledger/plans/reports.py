@@ -224,9 +224,8 @@ def busiest_slots(db) -> DataFrame:
     per_slot = db.booking.groupBy(F.col("start_time_slot").alias("slot_id")).agg(
         _rows().alias("total_bookings")
     )
-    # The calendar is one row per slot of a day.
     return (
-        per_slot.join(F.broadcast(db.time_slot), "slot_id")
+        per_slot.join(db.time_slot, "slot_id")
         .groupBy("start_time").agg(F.sum("total_bookings").alias("total_bookings"))
         .orderBy(F.desc("total_bookings"), "start_time")
     )

@@ -52,8 +52,7 @@ class StarSchema(Database):
     @cached_property
     def restaurant(self) -> DataFrame:
         tax = (F.lit(Decimal("7.50")) + F.lit(Decimal("0.08")) * F.col("n_nationkey")).cast("decimal(3,2)")
-        # Nations are a fixed list of a few dozen rows.
-        nation = F.broadcast(self.raw("nation").select("n_nationkey", "n_name"))
+        nation = self.raw("nation").select("n_nationkey", "n_name")
         return self.raw("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
             F.col("s_suppkey").alias("restaurant_id"),
             F.col("s_name").alias("restaurant_name"),

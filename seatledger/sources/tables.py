@@ -72,6 +72,13 @@ class Database:
         names = tables or [t for t in schemas.TABLES if t != "command"]
         return cls({t: read_table(spark, f"{root.rstrip('/')}/{t}", t, fmt, **options) for t in names})
 
+    def tables(self) -> dict[str, DataFrame]:
+        return dict(self._tables)
+
+    def replace(self, **tables: DataFrame) -> Database:
+        """A database with some tables exchanged."""
+        return Database({**self._tables, **tables})
+
     @cached_property
     def booking_state(self) -> DataFrame:
         """Bookings with their status row."""
