@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from seatledger.functions.expressions import CANCELLATION_FEE, slots_of
 from seatledger.schemas import FOREIGN_KEYS, ForeignKey
+from seatledger.session import checkpoint_root
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
@@ -148,8 +149,10 @@ def cascade_delete(
 
     ``deleted`` carries the root's key column. Each table drops the rows whose parent is
     among the removed ones, with NULL references kept, and hands the keys it lost itself
-    to its own children.
+    to its own children. Those keys are checkpointed, so a level is not derived again for
+    every level below it.
     """
+    checkpoint_root(deleted.sparkSession)
     edges = [fk for fk in foreign_keys if fk.child in tables and fk.parent in tables]
     lost: dict[str, DataFrame] = {root: deleted}
     remaining = dict(tables)
@@ -168,7 +171,9 @@ def cascade_delete(
             frame = frame.join(keys, fk.column, "left_anti")
             gone = hit if gone is None else gone.unionByName(hit)
         remaining[name] = frame
-        lost[name] = gone
+        referenced = sorted({fk.parent_key for fk in edges if fk.parent == name})
+        if referenced:
+            lost[name] = gone.select(*referenced).distinct().checkpoint()
     return remaining
 
 

@@ -131,16 +131,18 @@ def _mean_total_by_item(db, per_line: bool) -> DataFrame:
         .join(active, "member_id", "left_semi")
         .select("booking_id", "restaurant_id")
     )
-    lines = db.order_line.select("booking_id", "item_id", "quantity").join(
-        visits.select("booking_id"), "booking_id", "left_semi"
-    )
-    # One row per (booking, item) serves both the totals and the attribution below.
-    baskets = lines.groupBy("booking_id", "item_id").agg(
-        _rows().alias("n_lines"), F.sum("quantity").cast("bigint").alias("quantity")
-    )
-    totals = bills.with_totals(
-        visits.join(bills.line_sums(baskets, db.item), "booking_id"), db.restaurant
-    ).select("booking_id", "total_price_after_tax")
+    # One row per (booking, item) serves both the totals and the attribution below; it
+    # carries the restaurant, so the totals need no second look at the bookings.
+    baskets = (
+        db.order_line.select("booking_id", "item_id", "quantity")
+        .join(visits, "booking_id")
+        .groupBy("booking_id", "restaurant_id", "item_id")
+        .agg(_rows().alias("n_lines"), F.sum("quantity").cast("bigint").alias("quantity"))
+    )
+    prices = bills.priced_lines(baskets, db.item).groupBy("booking_id", "restaurant_id").agg(
+        F.sum("total_amount").cast("decimal(18,2)").alias("price")
+    )
+    totals = bills.with_totals(prices, db.restaurant).select("booking_id", "total_price_after_tax")
     weight = F.col("n_lines") if per_line else F.lit(1).cast("bigint")
     per_item = baskets.join(totals, "booking_id").groupBy("item_id").agg(
         F.sum((F.col("total_price_after_tax") * weight).cast("decimal(28,2)")).alias("s"),
