@@ -33,40 +33,51 @@ DAY = ["restaurant_id", "service_date"]
 
 
 def _first_fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Scan sorted rows; per day the table rows come first, then the requests in order."""
-    day, tables, masks = None, [], []
+    """Scan sorted rows; per day the table rows come first, then the requests in order.
+
+    Tables only fill up, so the search for an interval resumes where its last one ended.
+    """
+    day, tables, taken, resume = None, [], [], {}
     for batch in batches:
         accepted_ids, accepted_tables = [], []
         rows = zip(*(batch.column(i).to_pylist() for i in range(5)))
         for restaurant, date, table, mask, request in rows:
             if day != (restaurant, date):
-                day, tables, masks = (restaurant, date), [], []
+                day, tables, taken, resume = (restaurant, date), [], [], {}
             if request is None:
                 tables.append(table)
-                masks.append(mask)
+                taken.append(mask)
                 continue
-            for i, taken in enumerate(masks):
-                if not taken & mask:
-                    masks[i] = taken | mask
-                    accepted_ids.append(request)
-                    accepted_tables.append(tables[i])
-                    break
+            i = resume.get(mask, 0)
+            while i < len(taken) and taken[i] & mask:
+                i += 1
+            resume[mask] = i
+            if i < len(taken):
+                taken[i] |= mask
+                accepted_ids.append(request)
+                accepted_tables.append(tables[i])
         yield pa.RecordBatch.from_arrays(
             [pa.array(accepted_ids, pa.int64()), pa.array(accepted_tables, pa.int64())],
             names=["request_id", "table_id"],
         )
 
 
-def _leading_per_shape(requests: DataFrame, salts: int) -> DataFrame:
-    """The first ``table_count`` requests of every shape, cut per salt before the full cut."""
+def _leading_per_shape(requests: DataFrame, salts: int, widest: int) -> DataFrame:
+    """The first ``table_count`` requests of every shape.
+
+    ``widest``, the largest table count, is a literal bound that lets Spark trim each input
+    partition before the shuffle; the salt keeps what is left of a hot shape from meeting
+    in one task before the exact cut.
+    """
     order = ["ts", "request_id"]
     salted = Window.partitionBy(*SHAPE, "_salt").orderBy(*order)
     whole = Window.partitionBy(*SHAPE).orderBy(*order)
     return (
         requests.withColumn("_salt", F.pmod(F.xxhash64("request_id"), F.lit(salts)))
         .withColumn("_rank", F.row_number().over(salted))
-        .where("_rank <= table_count")
+        .where(F.col("_rank") <= widest)
         .withColumn("_rank", F.row_number().over(whole))
+        .where(F.col("_rank") <= widest)
         .where("_rank <= table_count")
         .drop("_salt", "_rank")
     )
@@ -98,6 +109,7 @@ def allocate_bookings(
     batch = requests.join(held, gate, "left")
 
     table_count = rtables.groupBy("restaurant_id").agg(F.count(F.lit(1)).alias("table_count"))
+    widest = table_count.agg(F.max("table_count")).first()[0] or 0
     live = (
         batch.where(F.col("held_booking").isNull() & slot_fits(start, duration, slots))
         .join(table_count, "restaurant_id")
@@ -118,7 +130,7 @@ def allocate_bookings(
     order = F.struct("ts", "request_id")
 
     def scan(eligible: DataFrame, tables: DataFrame) -> DataFrame:
-        asked = _leading_per_shape(eligible, salts).select(
+        asked = _leading_per_shape(eligible, salts, widest).select(
             *DAY, F.lit(None).cast("bigint").alias("table_id"),
             slot_mask(start, duration).alias("mask"), "request_id", "ts",
         )
@@ -137,13 +149,15 @@ def allocate_bookings(
     def passes(first: str) -> Column:
         return F.col(first).isNull() | (order <= F.col(first))
 
+    # A member with one request cannot be gated by the batch; the rest decide about more rounds.
+    several = live.groupBy(*gate).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*gate).checkpoint()
     accepted = scan(live, day_tables).checkpoint()
     latest = earliest(accepted, "first_success").checkpoint()
     known = latest.limit(0)
     while True:
         # Only days where some request's gate moved have to be scanned again.
         moved = known.withColumnRenamed("first_success", "_before").join(latest, gate, "full")
-        gated = live.join(moved, gate, "left")
+        gated = live.join(moved.join(several, gate, "left_semi"), gate, "left")
         stale = gated.where(passes("_before") != passes("first_success")).select(*DAY).distinct().checkpoint()
         if stale.isEmpty():
             break

@@ -555,9 +555,7 @@ def oracles() -> dict[str, str]:
     q["lifecycle_replay"] = _sql("command", """
         SELECT command_id, ts, member_id, command, booking_id, status_before, status_after, outcome
         FROM steps WHERE n > 0""", _REPLAY, recursive=True)
-    q["stream_lifecycle"] = _sql("command", """
-        SELECT command_id, member_id, command, booking_id, status_before, status_after, outcome
-        FROM steps WHERE n > 0""", _REPLAY, recursive=True)
+    q["stream_lifecycle"] = q["lifecycle_replay"]
     q["completed_transitions"] = _sql("command", """
         SELECT booking_id, member_id, ts AS completed_at FROM steps
         WHERE status_before = 'ongoing' AND status_after = 'completed'""", _REPLAY, recursive=True)

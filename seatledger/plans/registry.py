@@ -405,9 +405,9 @@ def _stream(db, table: str) -> DataFrame:
 
 @query
 def stream_lifecycle(db):
-    decided = jobs.stream_lifecycle(db.commands_of(_stream(db, "events")))
-    path = scratch_path(db.spark, "stream-lifecycle")
-    return jobs.with_rocksdb(db.spark, lambda: jobs.run_to_table(decided, path))
+    commands = db.commands_of(_stream(db, "events"))
+    decided = jobs.stream_lifecycle(commands, scratch_path(db.spark, "stream-lifecycle"))
+    return _plain_ts(decided.drop("batch_id"), "ts")
 
 
 @query

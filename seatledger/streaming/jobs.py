@@ -6,20 +6,31 @@ in the shared folder, so it can be restarted after a loss and picks up where it
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from seatledger.functions.expressions import COMMANDS
 from seatledger.operators import billing as bills
-from seatledger.operators.lifecycle import NONE, STATES, replay_outcome, step
+from seatledger.operators.lifecycle import final_states, lifecycle_replay
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+MEMBER_STATE = T.StructType([
+    T.StructField("member_id", T.LongType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("booking_id", T.LongType()),
+])
+DECIDED = T.StructType([
+    T.StructField("command_id", T.LongType()),
+    T.StructField("ts", T.TimestampType()),
+    T.StructField("member_id", T.LongType()),
+    T.StructField("command", T.StringType()),
+    T.StructField("booking_id", T.LongType()),
+    T.StructField("status_before", T.StringType()),
+    T.StructField("status_after", T.StringType()),
+    T.StructField("outcome", T.StringType()),
+])
 
 
 def file_stream(spark: SparkSession, root: str, pattern: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -52,80 +63,54 @@ def run_batches(stream: DataFrame, path: str, write: Callable[[DataFrame, int],
 
 # --- T1 ------------------------------------------------------------------------------------
 
-_DECIDED = T.StructType([
-    T.StructField("command_id", T.LongType()),
-    T.StructField("member_id", T.LongType()),
-    T.StructField("command", T.StringType()),
-    T.StructField("booking_id", T.LongType()),
-    T.StructField("before", T.IntegerType()),
-    T.StructField("after", T.IntegerType()),
-])
-_MEMBER_STATE = T.StructType([
-    T.StructField("state", T.IntegerType()), T.StructField("booking_id", T.LongType()),
-])
-
 
-class MemberLifecycle(StatefulProcessor):
-    """State machine of one member; commands of a micro-batch run in event-time order."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._member = handle.getValueState("member", _MEMBER_STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["ts", "command_id"])
-        state, booking = self._member.get() if self._member.exists() else (NONE, None)
-        before, after, owner = [], [], []
-        for command, command_id in zip(batch["command"].map(COMMANDS.index), batch["command_id"]):
-            before.append(state)
-            state, booking = step(command, int(command_id), state, booking)
-            after.append(state)
-            owner.append(booking)
-        self._member.update((state, booking))
-        yield pd.DataFrame({
-            "command_id": batch["command_id"].to_numpy(), "member_id": batch["member_id"].to_numpy(),
-            "command": batch["command"].to_numpy(),
-            "booking_id": pd.array(owner, dtype="Int64"),
-            "before": pd.array(before, dtype="int32"), "after": pd.array(after, dtype="int32"),
-        })
-
-    def close(self) -> None:
-        pass
-
-
-def stream_lifecycle(commands: DataFrame) -> DataFrame:
-    """Lifecycle decisions over a command stream, state per member in RocksDB.
-
-    Orders commands inside a micro-batch only: late commands are judged on arrival. A
-    member's share of one micro-batch is sorted in one task, so bound the micro-batch
-    (``maxFilesPerTrigger``); for backfills of any size use ``lifecycle_replay``, which
-    cuts busy members into pieces. Table scarcity is the batch allocator's concern.
-    """
-    decided = commands.where(F.col("command").isin(*COMMANDS) & F.col("member_id").isNotNull()).select(
-        "member_id", "ts", "command_id", "command"
-    ).groupBy("member_id").transformWithStateInPandas(
-        MemberLifecycle(), _DECIDED, outputMode="Append", timeMode="None"
-    )
-    names = F.array(*[F.lit(s) for s in STATES])
-    before = F.element_at(names, F.col("before") + 1)
-    return decided.select(
-        "command_id", "member_id", "command", "booking_id",
-        before.alias("status_before"),
-        F.element_at(names, F.col("after") + 1).alias("status_after"),
-        replay_outcome(F.col("command"), before).alias("outcome"),
+def _latest_states(spark: SparkSession, path: str, batch_id: int, compact_every: int) -> DataFrame | None:
+    """Member states before a batch: the last full snapshot and the deltas written since."""
+    snapshot = batch_id // compact_every * compact_every - 1
+    parts = [(i, f"{path}/delta/batch_id={i}") for i in range(max(snapshot, 0), batch_id) if i > snapshot]
+    if snapshot >= 0:
+        parts.insert(0, (snapshot, f"{path}/snapshot/batch_id={snapshot}"))
+    if not parts:
+        return None
+    versions = [
+        spark.read.schema(MEMBER_STATE).parquet(folder).withColumn("version", F.lit(i)) for i, folder in parts
+    ]
+    latest = F.max(F.struct("version", "status", "booking_id")).alias("s")
+    return reduce(DataFrame.unionByName, versions).groupBy("member_id").agg(latest).select(
+        "member_id", F.col("s.status").alias("status"), F.col("s.booking_id").alias("booking_id")
     )
 
 
-def with_rocksdb(spark: SparkSession, job: Callable[[], DataFrame]) -> DataFrame:
-    """Run a stateful job with the RocksDB store, leaving the session as it was."""
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKSDB)
-    try:
-        return job()
-    finally:
-        if before is None:
-            spark.conf.unset(STATE_STORE)
-        else:
-            spark.conf.set(STATE_STORE, before)
+def stream_lifecycle(commands: DataFrame, path: str, compact_every: int = 20) -> DataFrame:
+    """Lifecycle decisions over a command stream, the members' states kept between batches.
+
+    Each micro-batch is a :func:`lifecycle_replay` that continues from the stored states of
+    the members it mentions. A keyed stateful operator would sort a member's commands in one
+    task; the replay cuts a busy member into pieces, so micro-batches may be large. A batch
+    stores the states it changed, every ``compact_every``-th all of them, under its own id,
+    so a repeated batch rewrites the same folders.
+
+    Commands are ordered inside a micro-batch: one that arrives in a later batch is judged
+    then. Table scarcity is the batch allocator's concern.
+    """
+    spark = commands.sparkSession
+    states = f"{path}/states"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        known = _latest_states(session, states, batch_id, compact_every)
+        mentioned = None if known is None else known.join(batch, "member_id", "left_semi")
+        decided = f"{path}/decided/batch_id={batch_id}"
+        lifecycle_replay(batch, carried=mentioned).write.mode("overwrite").parquet(decided)
+        changed = final_states(session.read.schema(DECIDED).parquet(decided)).select(*MEMBER_STATE.names)
+        changed.write.mode("overwrite").parquet(f"{states}/delta/batch_id={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            delta = session.read.schema(MEMBER_STATE).parquet(f"{states}/delta/batch_id={batch_id}")
+            kept = known.join(delta, "member_id", "left_anti").unionByName(delta) if known is not None else delta
+            kept.write.mode("overwrite").parquet(f"{states}/snapshot/batch_id={batch_id}")
+
+    run_batches(commands, path, write)
+    return spark.read.schema(DECIDED).parquet(f"{path}/decided")
 
 
 # --- T2-T5 ---------------------------------------------------------------------------------

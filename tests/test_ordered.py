@@ -252,5 +252,5 @@ def test_one_shape_holds_most_requests(spark):
         F.lit(1).cast("long").alias("restaurant_id"), F.lit(day).alias("service_date"),
         F.lit(3).alias("start_time_slot"), F.lit(2).alias("booking_duration"), F.lit(2).alias("table_count"),
     )
-    kept = [r.request_id for r in _leading_per_shape(df, 8).collect()]
+    kept = [r.request_id for r in _leading_per_shape(df, 8, 5).collect()]
     assert sorted(kept) == [0, 1]

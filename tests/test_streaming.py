@@ -24,26 +24,19 @@ def drop_files(spark, folder, parts, schema):
     return jobs.file_stream(spark, str(folder), "*.parquet", files_per_trigger=1)
 
 
-def test_lifecycle_keeps_state_between_micro_batches(spark, tmp_path):
-    first = random_commands(21, 60)
-    second = [(c, when + timedelta(hours=1), m, k) for c, when, m, k in random_commands(22, 60, 1000)]
-    third = [(c, when + timedelta(hours=2), m, k) for c, when, m, k in random_commands(23, 60, 2000)]
-    stream = drop_files(spark, tmp_path / "in", [first, second, third], COMMAND)
-    out = jobs.with_rocksdb(
-        spark, lambda: jobs.run_to_table(jobs.stream_lifecycle(stream), scratch_path(spark, "t1"))
-    )
-    want, _ = sequential_lifecycle(first + second + third)
+@pytest.mark.parametrize("compact_every", [2, 20])
+def test_lifecycle_keeps_state_between_micro_batches(spark, tmp_path, compact_every):
+    parts = [
+        [(c, when + timedelta(hours=i), m, k) for c, when, m, k in random_commands(20 + i, 60, 1000 * i)]
+        for i in range(5)
+    ]
+    stream = drop_files(spark, tmp_path / "in", parts, COMMAND)
+    out = jobs.stream_lifecycle(stream, scratch_path(spark, "t1"), compact_every)
+    want, _ = sequential_lifecycle(sum(parts, []))
     got = {r.command_id: (r.booking_id, r.status_before, r.status_after) for r in out.collect()}
     assert got == want
 
 
-def test_store_setting_is_restored(spark):
-    before = spark.conf.get(jobs.STATE_STORE, None)
-    with pytest.raises(RuntimeError):
-        jobs.with_rocksdb(spark, lambda: (_ for _ in ()).throw(RuntimeError()))
-    assert spark.conf.get(jobs.STATE_STORE, None) == before
-
-
 LINE = "booking_id long, item_id long, quantity int"
 
 
