@@ -74,13 +74,14 @@ def validate_cancellations(commands: DataFrame, booking_state: DataFrame) -> Dat
     """Decide a batch of cancellations in order; only the first one of a booking can succeed."""
     mine = commands.where(F.col("command") == "cancel_booking").select("command_id", "ts", "booking_id")
     state = booking_state.select(
-        "booking_id", F.col("member_id").alias("owner_id"), F.col("booking_status").alias("current_status")
+        "booking_id", F.col("member_id").alias("owner_id"), F.col("booking_status").alias("current_status"),
+        F.lit(True).alias("known"),
     )
     turn = F.struct("ts", "command_id")
     first = mine.groupBy("booking_id").agg(F.min(turn).alias("first_turn"))
     facts = first.join(state, "booking_id", "left")
     decided = (
-        F.when(F.col("current_status").isNull(), "not_found")
+        F.when(F.col("known").isNull(), "not_found")
         .when((F.col("current_status") == "scheduled") & (turn == F.col("first_turn")), "cancelled")
         .otherwise("not_allowed")
     )
@@ -165,14 +166,16 @@ def command_outcomes(
         .withColumn("command", F.lit("order_food"))
         .select(columns)
     )
-    state = booking_state.select("booking_id", F.col("member_id").alias("owner_id"), "booking_status")
+    state = booking_state.select(
+        "booking_id", F.col("member_id").alias("owner_id"), "booking_status", F.lit(True).alias("known")
+    )
     cancelled = (
         commands.where(F.col("command") == "cancel_booking")
         .drop("member_id")
         .join(state, "booking_id", "left")
         .withColumn(
             "outcome",
-            F.when(F.col("booking_status").isNull(), "not_found")
+            F.when(F.col("known").isNull(), "not_found")
             .when(F.col("booking_status") == "scheduled", "cancelled")
             .otherwise("not_allowed"),
         )

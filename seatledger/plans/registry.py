@@ -37,6 +37,7 @@ for _report in (
     reports.avg_revenue_as_written,
     reports.avg_revenue_per_booking,
     reports.top_items_by_orders,
+    reports.member_booking_summary,
     reports.high_penalty_bookings,
     reports.avg_duration_top10,
     reports.avg_total_by_item_active,
@@ -49,15 +50,6 @@ for _report in (
     query(_report)
 
 
-@query
-def member_booking_summary(db):
-    # One year of bookings, so that members without any occur.
-    year = db.booking_state.where(
-        (F.col("booking_created") >= "1997-01-01") & (F.col("booking_created") < "1998-01-01")
-    )
-    return reports.member_booking_summary(db, year)
-
-
 # --- generators and ingest ------------------------------------------------------------------
 
 
@@ -108,7 +100,7 @@ def billing_from_orders(db):
 
 @query
 def past_bookings(db):
-    return billing.past_bookings(db.booking_state, db.order_line, db.item, db.restaurant)
+    return billing.past_bookings(db.bookings_in("completed"), db.order_line, db.item, db.restaurant)
 
 
 @query
@@ -167,7 +159,7 @@ def _allocate_bookings(db):
 
 
 def _scheduled(db):
-    return db.booking_state.where(F.col("booking_status") == "scheduled")
+    return db.bookings_in("scheduled")
 
 
 @query
@@ -361,8 +353,8 @@ def audit_type_bounds(db):
 @query
 def audit_status_one_to_one(db):
     # A status table that misses the cancelled bookings and repeats the completed ones.
-    status = db.booking_status.where(F.col("booking_status") != "cancelled")
-    repeated = status.where(F.col("booking_status") == "completed")
+    status = db.bookings_in("scheduled", "ongoing", "completed").select("booking_id")
+    repeated = db.bookings_in("completed").select("booking_id")
     return audits.audit_status_one_to_one(db.booking, status.unionByName(repeated))
 
 
@@ -384,7 +376,7 @@ def audit_member_single_open(db):
 @query
 def audit_billing_reconciliation(db):
     # Line items carry no price of their own choosing, so bill ongoing bookings as paid to have findings.
-    paid = db.booking_state.where(F.col("booking_status").isin("completed", "ongoing"))
+    paid = db.bookings_in("completed", "ongoing")
     bills = billing.settle_bills(
         billing.priced_lines(db.order_line, db.item).select(
             "booking_id", "total_amount", F.lit("pending").alias("payment_status")

@@ -23,7 +23,7 @@ def _rows():
 
 def active_member_website_bookings(db) -> DataFrame:
     """Q1: bookings active members made on the website, with the restaurant."""
-    members = db.member.where(F.col("member_status") == "active").select(
+    members = db.members_in("active").select(
         "member_id", "first_name", "last_name", "email"
     )
     bookings = db.booking.where(F.col("booking_method") == "website").select(
@@ -72,14 +72,9 @@ def top_items_by_orders(db, k: int = 15) -> DataFrame:
     )
 
 
-def member_booking_summary(db, booking_state: DataFrame | None = None) -> DataFrame:
-    """Q4: bookings and cancellations per member, members without bookings included.
-
-    Restrict bookings by passing ``booking_state``: a filter after the outer join would
-    turn it into an inner join.
-    """
-    state = db.booking_state if booking_state is None else booking_state
-    per_member = state.groupBy("member_id").agg(
+def member_booking_summary(db) -> DataFrame:
+    """Q4: bookings and cancellations per member, members without bookings included."""
+    per_member = db.booking_state.groupBy("member_id").agg(
         _rows().alias("n"), F.count_if(F.col("booking_status") == "cancelled").alias("c")
     )
     zero = F.lit(0).cast("bigint")
@@ -95,7 +90,7 @@ def member_booking_summary(db, booking_state: DataFrame | None = None) -> DataFr
 
 def high_penalty_bookings(db, above: int = 4) -> DataFrame:
     """Q5: bookings of members whose penalty exceeds a threshold."""
-    members = db.member.where(F.col("cancellation_penalty") > above).select(
+    members = db.members_owing(above).select(
         "member_id", "username", "cancellation_penalty"
     )
     return db.booking.select("booking_id", "member_id", "start_time_slot", "booking_method").join(
@@ -124,9 +119,9 @@ def avg_duration_top10(db, k: int = 10) -> DataFrame:
 
 def _mean_total_by_item(db, per_line: bool) -> DataFrame:
     """Mean completed-booking total by item name, over order lines or over (booking, item) pairs."""
-    active = db.member.where(F.col("member_status") == "active").select("member_id")
+    active = db.members_in("active").select("member_id")
     visits = (
-        db.booking_state.where(F.col("booking_status") == "completed")
+        db.bookings_in("completed")
         .select("booking_id", "member_id", "restaurant_id")
         .join(active, "member_id", "left_semi")
         .select("booking_id", "restaurant_id")
@@ -168,7 +163,8 @@ def avg_total_by_item_active_dedup(db) -> DataFrame:
 
 def completion_ratio_top3(db, k: int = 3) -> DataFrame:
     """Q8: restaurants with the highest share of completed bookings."""
-    per_id = db.booking_state.groupBy("restaurant_id").agg(
+    known = db.booking_state.where(F.col("booking_status").isNotNull())
+    per_id = known.groupBy("restaurant_id").agg(
         F.count_if(F.col("booking_status") == "completed").alias("done"), _rows().alias("n")
     )
     return (

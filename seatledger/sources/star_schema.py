@@ -20,6 +20,8 @@ from seatledger.sources.tables import Database
 
 TABLES_PER_RESTAURANT = 10
 STAFF_PER_RESTAURANT = 5
+ORDER_STATUS = {"completed": "F", "cancelled": "P", "scheduled": "O", "ongoing": "O"}
+SEGMENTS = {"active": ("BUILDING", "MACHINERY"), "cancelled": ("FURNITURE",)}
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 # Events are dated in 2024, orders in 1995-2001: shift commands back so the two meet.
 COMMAND_MONTHS_BACK = 312
@@ -60,24 +62,37 @@ class StarSchema(Database):
             tax.alias("tax"),
         )
 
-    @cached_property
-    def member(self) -> DataFrame:
+    def members_of(self, customers: DataFrame) -> DataFrame:
         owed = ((-F.col("c_acctbal")).cast("decimal(12,2)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
         segment, name = F.col("c_mktsegment"), F.col("c_name")
-        return self.raw("customer").select(
+        return customers.select(
             F.col("c_custkey").alias("member_id"),
             F.col("c_custkey").alias("customer_id"),
             name.alias("username"),
             F.substring_index(name, "#", 1).alias("first_name"),
             F.substring_index(name, "#", -1).alias("last_name"),
             F.concat(F.lower(F.regexp_replace(name, "#", ".")), F.lit("@example.com")).alias("email"),
-            F.when(segment.isin("BUILDING", "MACHINERY"), "active")
-            .when(segment == "FURNITURE", "cancelled")
+            F.when(segment.isin(*SEGMENTS["active"]), "active")
+            .when(segment.isin(*SEGMENTS["cancelled"]), "cancelled")
             .otherwise("just member").alias("member_status"),
             F.when(F.col("c_acctbal") < 0, owed).otherwise(F.lit(0).cast("decimal(10,2)"))
             .alias("cancellation_penalty"),
         )
 
+    @cached_property
+    def member(self) -> DataFrame:
+        return self.members_of(self.raw("customer"))
+
+    def members_in(self, status: str) -> DataFrame:
+        customers = self.raw("customer")
+        if status in SEGMENTS:
+            customers = customers.where(F.col("c_mktsegment").isin(*SEGMENTS[status]))
+        return self.members_of(customers).where(F.col("member_status") == status)
+
+    def members_owing(self, above) -> DataFrame:
+        owing = self.raw("customer").where(F.col("c_acctbal") < 0) if above >= 0 else self.raw("customer")
+        return self.members_of(owing).where(F.col("cancellation_penalty") > above)
+
     @cached_property
     def rtable(self) -> DataFrame:
         k = F.explode(F.sequence(F.lit(1), F.lit(TABLES_PER_RESTAURANT))).alias("table_number")
@@ -151,6 +166,11 @@ class StarSchema(Database):
         """Both live in one row of orders, so no self-join."""
         return self.states_of(self.raw("orders"))
 
+    def bookings_in(self, *statuses: str) -> DataFrame:
+        codes = sorted({ORDER_STATUS[s] for s in statuses})
+        orders = self.raw("orders").where(F.col("o_orderstatus").isin(*codes))
+        return self.states_of(orders).where(F.col("booking_status").isin(*statuses))
+
     @cached_property
     def booking(self) -> DataFrame:
         return self.booking_state.drop("booking_status", "employee_id")
@@ -192,15 +212,14 @@ class StarSchema(Database):
     def billing(self) -> DataFrame:
         from seatledger.operators.billing import settle_bills
 
-        completed = self.booking_state.where(F.col("booking_status") == "completed")
-        return settle_bills(self.pending_billing, completed)
+        return settle_bills(self.pending_billing, self.bookings_in("completed"))
 
     @cached_property
     def menu(self) -> DataFrame:
         listed = self.raw("lineitem").select(
             self._restaurant_of(F.col("l_orderkey")).alias("restaurant_id"), F.col("l_partkey").alias("item_id")
         )
-        return listed.where((F.col("item_id") + F.col("restaurant_id")) % 7 != 0).distinct().withColumn(
+        return listed.distinct().withColumn(
             "availability", F.col("item_id") % 10 != F.col("restaurant_id") % 10
         )
 
@@ -234,7 +253,7 @@ class StarSchema(Database):
 
     @cached_property
     def open_state(self) -> DataFrame:
-        return self.booking_state.where(F.col("booking_status").isin("scheduled", "ongoing"))
+        return self.bookings_in("scheduled", "ongoing")
 
     @cached_property
     def masks(self) -> DataFrame:
@@ -246,7 +265,7 @@ class StarSchema(Database):
     @cached_property
     def request(self) -> DataFrame:
         """Cancelled bookings, asked for again in creation order."""
-        return self.booking_state.where(F.col("booking_status") == "cancelled").select(
+        return self.bookings_in("cancelled").select(
             F.col("booking_id").alias("request_id"), F.col("booking_created").alias("ts"), "member_id",
             "restaurant_id", "service_date", "start_time_slot", "booking_duration",
         )

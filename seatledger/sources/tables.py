@@ -81,5 +81,17 @@ class Database:
 
     @cached_property
     def booking_state(self) -> DataFrame:
-        """Bookings with their status row."""
-        return self.booking.join(self.booking_status, "booking_id")
+        """Bookings with their status row, NULL where it is missing."""
+        return self.booking.join(self.booking_status, "booking_id", "left")
+
+    # A source that derives these columns overrides the three filters below with conditions
+    # on its raw columns, which reach the scan where a derived value would not.
+
+    def bookings_in(self, *statuses: str) -> DataFrame:
+        return self.booking_state.where(F.col("booking_status").isin(*statuses))
+
+    def members_in(self, status: str) -> DataFrame:
+        return self.member.where(F.col("member_status") == status)
+
+    def members_owing(self, above) -> DataFrame:
+        return self.member.where(F.col("cancellation_penalty") > above)
