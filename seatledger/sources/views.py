@@ -1,0 +1,47 @@
+"""Temporary views under the relation names of the booking model, for spark.sql queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seatledger.operators import billing
+from seatledger.sources.tables import Database
+
+# Relation names of the model -> tables here.
+RELATIONS = {
+    "restaurants": "restaurant",
+    "RTables": "rtable",
+    "Employees": "employee",
+    "time_slots": "time_slot",
+    "Members": "member",
+    "Bookings": "booking",
+    "TableStatus": "table_status",
+    "BookingStatus": "booking_status",
+    "MenuItems": "item",
+    "restaurantMenu": "menu",
+    "Orders": "order_line",
+    "Billing": "billing",
+    "PastBookings": "past_booking",
+    "WorkShifts": "shift",
+    "programLogs": "program_log",
+}
+# Column names of the model where ours differ.
+RENAMED = {"item_id": "MenuItem_id", "item_name": "MenuItem_name"}
+
+
+def create_views(db: Database) -> list[str]:
+    """Register the tables the database has, and a ``BookingTotals`` view of prices and taxes."""
+    made = []
+    for relation, name in RELATIONS.items():
+        try:
+            table = getattr(db, name)
+        except AttributeError:
+            continue
+        renamed = table.select(*[F.col(c).alias(RENAMED.get(c, c)) for c in table.columns])
+        renamed.createOrReplaceTempView(relation)
+        made.append(relation)
+    if {"Bookings", "Orders", "MenuItems", "restaurants"} <= set(made):
+        totals = billing.booking_totals(db.booking, db.order_line, db.item, db.restaurant)
+        totals.createOrReplaceTempView("BookingTotals")
+        made.append("BookingTotals")
+    return made

@@ -126,19 +126,25 @@ def stream_billing(order_lines: DataFrame, items: DataFrame) -> DataFrame:
 def settle_stream(
     completed: DataFrame, path: str, order_lines: DataFrame, items: DataFrame, restaurants: DataFrame
 ) -> DataFrame:
-    """Completed-booking totals per micro-batch of check-outs.
+    """Totals and paid bills per micro-batch of check-outs; returns the totals.
 
-    Each batch writes its own folder by overwriting it, so a replayed batch changes nothing.
+    Each batch writes its own folders by overwriting them, so a repeated batch changes
+    nothing. Order lines bucketed by booking keep the lookup of a batch local.
     """
     spark = completed.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
         state = batch.select("booking_id", "restaurant_id", "booking_status")
         totals = bills.past_bookings(state, order_lines, items, restaurants)
-        totals.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        totals.write.mode("overwrite").parquet(f"{path}/past/batch_id={batch_id}")
+        done = state.where(F.col("booking_status") == "completed").select("booking_id")
+        paid = bills.priced_lines(order_lines.join(done, "booking_id", "left_semi"), items).drop("price", "quantity")
+        paid.withColumn("payment_status", F.lit("paid")).write.mode("overwrite").parquet(
+            f"{path}/paid/batch_id={batch_id}"
+        )
 
     run_batches(completed, path, write)
-    return spark.read.parquet(path).drop("batch_id")
+    return spark.read.parquet(f"{path}/past").drop("batch_id")
 
 
 def demand_tumbling(commands: DataFrame, size: str = "1 hour", delay: str = "10 minutes") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 from datetime import timedelta
 from decimal import Decimal
 
@@ -65,11 +66,15 @@ def test_settlement_equals_batch_and_can_be_replayed(spark, tmp_path, items):
     twin = billing.past_bookings(spark.createDataFrame(sum(parts, []), state), lines, items, places)
     want = sorted(map(str, twin.select(sorted(twin.columns)).collect()))
     assert sorted(map(str, out.select(sorted(out.columns)).collect())) == want
-    # Starting again from scratch rewrites the same folders instead of adding rows.
-    again = drop_files(spark, tmp_path / "again", parts, state)
-    jobs.run_batches(again, path + "-2", lambda df, i: billing.past_bookings(df, lines, items, places)
-                     .write.mode("overwrite").parquet(f"{path}/batch_id={i}"))
-    assert sorted(map(str, spark.read.parquet(path).drop("batch_id").select(sorted(out.columns)).collect())) == want
+    paid = spark.read.parquet(f"{path}/paid").drop("batch_id")
+    assert sorted((r.booking_id, r.total_amount, r.payment_status) for r in paid.collect()) == [
+        (1, Decimal("5.00"), "paid"), (2, Decimal("4.00"), "paid"),
+    ]
+    # The job lost its progress: the same batches rewrite their folders instead of adding rows.
+    shutil.rmtree(f"{path}.checkpoint")
+    again = jobs.file_stream(spark, str(tmp_path / "in"), "*.parquet", files_per_trigger=1)
+    out = jobs.settle_stream(again, path, lines, items, places)
+    assert sorted(map(str, out.select(sorted(out.columns)).collect())) == want
 
 
 def test_late_requests_miss_closed_windows(spark, tmp_path):
