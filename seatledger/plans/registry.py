@@ -392,7 +392,7 @@ def audit_billing_reconciliation(db):
 
 
 def _stream(db, table: str) -> DataFrame:
-    return jobs.file_stream(db.spark, db.root, f"{table}.parquet")
+    return jobs.file_stream(db.spark, f"{db.root}/{table}.parquet")
 
 
 @query

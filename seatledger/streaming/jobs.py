@@ -33,13 +33,14 @@ DECIDED = T.StructType([
 ])
 
 
-def file_stream(spark: SparkSession, root: str, pattern: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files of ``root`` matching ``pattern`` as a stream, with the schema they carry."""
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(root).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+def file_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """A parquet table, one file or a folder of files, as a stream with the schema it carries."""
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(root)
+    # A stream refuses the plain path of a file but takes a pattern that matches only it.
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:

@@ -22,7 +22,7 @@ def drop_files(spark, folder, parts, schema):
     """One parquet file per part, so that one file per trigger gives one micro-batch per part."""
     for i, rows in enumerate(parts):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
-    return jobs.file_stream(spark, str(folder), "*.parquet", files_per_trigger=1)
+    return jobs.file_stream(spark, str(folder), files_per_trigger=1)
 
 
 @pytest.mark.parametrize("compact_every", [2, 20])
@@ -72,7 +72,7 @@ def test_settlement_equals_batch_and_can_be_replayed(spark, tmp_path, items):
     ]
     # The job lost its progress: the same batches rewrite their folders instead of adding rows.
     shutil.rmtree(f"{path}.checkpoint")
-    again = jobs.file_stream(spark, str(tmp_path / "in"), "*.parquet", files_per_trigger=1)
+    again = jobs.file_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
     out = jobs.settle_stream(again, path, lines, items, places)
     assert sorted(map(str, out.select(sorted(out.columns)).collect())) == want
 
