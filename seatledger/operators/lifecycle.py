@@ -254,6 +254,14 @@ def _state_name(code: Column) -> Column:
     return F.element_at(F.array(*[F.lit(s) for s in STATES]), code + 1)
 
 
+def _ints(batch: pa.RecordBatch, name: str) -> list[int | None]:
+    """An integer column as a list; numpy is the fast way unless there are NULLs."""
+    column = batch.column(batch.schema.get_field_index(name))
+    if column.null_count == len(column):
+        return [None] * len(column)
+    return column.to_pylist() if column.null_count else column.to_numpy().tolist()
+
+
 _ENTERING = pa.schema([
     ("member_id", pa.int64()), (SEGMENT, pa.int32()), ("enter_state", pa.int32()), ("enter_booking", pa.int64()),
 ])
@@ -261,18 +269,32 @@ _EFFECT = "member_id bigint, segment_id int, states array<int>, bookings array<b
 
 
 def _piece_effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What each (member, segment) piece does to a member entering it in each possible state."""
-    piece, states, bookings, out = None, [], [], []
+    """What each (member, segment) piece does to a member entering it in each possible state.
+
+    The five entry states soon lead to the same state, so only distinct ones are followed.
+    """
+    piece, runs, follows, out = None, [], [], []
+
+    def effect() -> tuple:
+        ends = [runs[k] for k in follows]
+        return (*piece, [state for state, _ in ends], [booking for _, booking in ends])
+
     for batch in batches:
-        for member, segment, code, command in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for member, segment, code, command in zip(
+            *(_ints(batch, c) for c in ("member_id", SEGMENT, "code", "command_id"))
+        ):
             if piece != (member, segment):
                 if piece is not None:
-                    out.append((*piece, states, bookings))
-                piece, states, bookings = (member, segment), list(range(len(STATES))), [None] * len(STATES)
-            moved = [step(code, command, s, b) for s, b in zip(states, bookings)]
-            states, bookings = [m[0] for m in moved], [m[1] for m in moved]
+                    out.append(effect())
+                piece = (member, segment)
+                runs, follows = [(s, None) for s in range(len(STATES))], list(range(len(STATES)))
+            runs = [step(code, command, state, booking) for state, booking in runs]
+            if len(runs) > 1 and len(set(runs)) < len(runs):
+                distinct = list(dict.fromkeys(runs))
+                follows = [distinct.index(runs[k]) for k in follows]
+                runs = distinct
     if piece is not None:
-        out.append((*piece, states, bookings))
+        out.append(effect())
     if out:
         members, segments, ends, ids = zip(*out)
         yield pa.RecordBatch.from_arrays(
@@ -304,8 +326,7 @@ def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     current, state, booking = unseen, NONE, None
     for batch in batches:
         before, after, owner = [], [], []
-        columns = [batch.column(batch.schema.get_field_index(c)).to_pylist()
-                   for c in ("member_id", "code", "command_id", "enter_state", "enter_booking")]
+        columns = [_ints(batch, c) for c in ("member_id", "code", "command_id", "enter_state", "enter_booking")]
         for member, code, command, enter, carried in zip(*columns):
             if current is unseen or member != current:
                 current, state, booking = member, NONE if enter is None else enter, carried
