@@ -49,6 +49,16 @@ def tax_amount(price: Column, tax_percent: Column) -> Column:
     return (price * tax_percent * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
 
 
+def to_cents(amount: Column) -> Column:
+    """A two-digit amount as whole cents. Sums of longs stay exact and, unlike sums of wide
+    decimals, need no object per row; an overflow raises."""
+    return (amount * 100).cast("bigint")
+
+
+def from_cents(cents: Column) -> Column:
+    return (cents.cast("decimal(19,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+
+
 def exact_mean(total: Column, count: Column) -> Column:
     """Mean from an exact sum and a count; NULL when nothing was counted."""
     return F.when(count > 0, total.cast("double") / count)

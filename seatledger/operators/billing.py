@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatledger.functions.expressions import tax_amount
+from seatledger.functions.expressions import from_cents, tax_amount, to_cents
 
 
 def priced_lines(order_lines: DataFrame, items: DataFrame) -> DataFrame:
@@ -15,10 +17,14 @@ def priced_lines(order_lines: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def line_sums(order_lines: DataFrame, items: DataFrame) -> DataFrame:
+def line_sums(order_lines: DataFrame, items: DataFrame, keys: Sequence[str] = ("booking_id",)) -> DataFrame:
     """Summed amounts of the bookings that have order lines."""
-    return priced_lines(order_lines, items).groupBy("booking_id").agg(
-        F.sum("total_amount").cast("decimal(18,2)").alias("price")
+    cents = items.select("item_id", to_cents(F.col("price")).alias("_cents"))
+    return (
+        order_lines.join(cents, "item_id")
+        .groupBy(*keys)
+        .agg(F.sum(F.col("_cents") * F.col("quantity")).alias("_sum"))
+        .select(*keys, from_cents(F.col("_sum")).alias("price"))
     )
 
 

@@ -47,9 +47,12 @@ def _take_turns(commands: DataFrame, booking_state: DataFrame, state: str, done:
     turns = row_number_within(
         commands.select("command_id", "ts", "member_id"), ["member_id"], ["ts", "command_id"], "turn"
     )
+    # Members outside the batch never reach the range shuffle.
+    waiting = booking_state.where(F.col("booking_status") == state).join(
+        commands.select("member_id").distinct(), "member_id", "left_semi"
+    )
     queue = row_number_within(
-        booking_state.where(F.col("booking_status") == state)
-        .select("member_id", "booking_id", (-F.col("booking_id")).alias("_newest_first")),
+        waiting.select("member_id", "booking_id", (-F.col("booking_id")).alias("_newest_first")),
         ["member_id"], ["_newest_first"], "turn",
     ).drop("_newest_first")
     return turns.join(queue, ["member_id", "turn"], "left").select(

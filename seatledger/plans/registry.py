@@ -203,27 +203,27 @@ def latest_open_booking(db):
 
 @query
 def member_checkins(db):
-    return _plain_ts(lifecycle.member_checkins(db.command, db.booking_state), "ts")
+    return _plain_ts(lifecycle.member_checkins(db.commands_in("member_in"), db.booking_state), "ts")
 
 
 @query
 def member_checkouts(db):
-    return _plain_ts(lifecycle.member_checkouts(db.command, db.booking_state), "ts")
+    return _plain_ts(lifecycle.member_checkouts(db.commands_in("member_out"), db.booking_state), "ts")
 
 
 @query
 def validate_cancellations(db):
-    return _plain_ts(lifecycle.validate_cancellations(db.command, db.booking_state), "ts")
+    return _plain_ts(lifecycle.validate_cancellations(db.commands_in("cancel_booking"), db.booking_state), "ts")
 
 
 @query
 def validate_orders(db):
-    return _plain_ts(lifecycle.validate_orders(db.command, db.booking_state, db.menu), "ts")
+    return _plain_ts(lifecycle.validate_orders(db.commands_in("order_food"), db.booking_state, db.menu), "ts")
 
 
 @query
 def cancellation_penalties(db):
-    decided = lifecycle.validate_cancellations(db.command, db.booking_state)
+    decided = lifecycle.validate_cancellations(db.commands_in("cancel_booking"), db.booking_state)
     return changes.cancellation_penalties(db.member, decided.where(F.col("outcome") == "cancelled"))
 
 

@@ -134,9 +134,7 @@ def _mean_total_by_item(db, per_line: bool) -> DataFrame:
         .groupBy("booking_id", "restaurant_id", "item_id")
         .agg(_rows().alias("n_lines"), F.sum("quantity").cast("bigint").alias("quantity"))
     )
-    prices = bills.priced_lines(baskets, db.item).groupBy("booking_id", "restaurant_id").agg(
-        F.sum("total_amount").cast("decimal(18,2)").alias("price")
-    )
+    prices = bills.line_sums(baskets, db.item, ("booking_id", "restaurant_id"))
     totals = bills.with_totals(prices, db.restaurant).select("booking_id", "total_price_after_tax")
     weight = F.col("n_lines") if per_line else F.lit(1).cast("bigint")
     per_item = baskets.join(totals, "booking_id").groupBy("item_id").agg(

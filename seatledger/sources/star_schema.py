@@ -22,6 +22,10 @@ TABLES_PER_RESTAURANT = 10
 STAFF_PER_RESTAURANT = 5
 ORDER_STATUS = {"completed": "F", "cancelled": "P", "scheduled": "O", "ongoing": "O"}
 SEGMENTS = {"active": ("BUILDING", "MACHINERY"), "cancelled": ("FURNITURE",)}
+EVENT_TYPE = {
+    "new_booking": "signup", "member_in": "view", "order_food": "click", "member_out": "purchase",
+    "cancel_booking": "error",
+}
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 # Events are dated in 2024, orders in 1995-2001: shift commands back so the two meet.
 COMMAND_MONTHS_BACK = 312
@@ -226,11 +230,7 @@ class StarSchema(Database):
     def commands_of(self, events: DataFrame) -> DataFrame:
         """Booking commands from raw events; works on a stream as well."""
         event, kind = F.col("event_id"), F.col("event_type")
-        command = (
-            F.when(kind == "signup", "new_booking").when(kind == "view", "member_in")
-            .when(kind == "click", "order_food").when(kind == "purchase", "member_out")
-            .when(kind == "error", "cancel_booking")
-        )
+        command = F.coalesce(*[F.when(kind == raw, name) for name, raw in EVENT_TYPE.items()])
         return events.select(
             event.alias("command_id"),
             F.col("ts").cast("timestamp").alias("ts"),
@@ -249,6 +249,9 @@ class StarSchema(Database):
     def command(self) -> DataFrame:
         return self.commands_of(self.raw("events"))
 
+    def commands_in(self, *kinds: str) -> DataFrame:
+        return self.commands_of(self.raw("events").where(F.col("event_type").isin(*[EVENT_TYPE[k] for k in kinds])))
+
     # --- availability ------------------------------------------------------------------
 
     @cached_property

@@ -84,8 +84,11 @@ class Database:
         """Bookings with their status row, NULL where it is missing."""
         return self.booking.join(self.booking_status, "booking_id", "left")
 
-    # A source that derives these columns overrides the three filters below with conditions
-    # on its raw columns, which reach the scan where a derived value would not.
+    # A source that derives these columns overrides the filters below with conditions on its
+    # raw columns, which reach the scan where a derived value would not.
+
+    def commands_in(self, *kinds: str) -> DataFrame:
+        return self.command.where(F.col("command").isin(*kinds))
 
     def bookings_in(self, *statuses: str) -> DataFrame:
         return self.booking_state.where(F.col("booking_status").isin(*statuses))
