@@ -66,9 +66,25 @@ def story(spark, tmp_path_factory):
         {"command_id": 52, "ts": at(52), "command": "cancel_booking", "booking_id": 1},
         {"command_id": 53, "ts": at(53), "command": "cancel_booking", "booking_id": 99},
     ]))
+    db = keep(db)
+    db, out["second"] = day.book(db, _commands(spark, [
+        booking_request(60, 1, 1, 3, 3, 60),   # completed before; slots 3-5 of table 11 are free again
+        booking_request(61, 3, 2, 13, 2, 61),  # cancelled before; table 21 is free again
+        booking_request(62, 4, 2, 1, 1, 62),   # still ongoing
+        booking_request(63, 2, 1, 6, 1, 63),   # table 11 is taken in slot 6 by booking 8: table 12
+    ]))
     return keep(db), out
 
 
+def test_second_wave(story):
+    _, out = story
+    assert _by_id(out["second"], "outcome") == {
+        60: "confirmed", 61: "confirmed", 62: "has_open_booking", 63: "confirmed",
+    }
+    assert _by_id(out["second"], "table_id") == {60: 11, 61: 21, 62: None, 63: 12}
+    assert _by_id(out["second"], "booking_id")[62] == 8
+
+
 def test_booking_outcomes(story):
     _, out = story
     assert _by_id(out["book"], "outcome") == {
@@ -85,7 +101,8 @@ def test_check_in_assigns_least_loaded(story):
         20: "checked_in", 21: "checked_in", 22: "checked_in", 23: "no_scheduled_booking",
     }
     # 1 then 2 are idle in turn; employee 3 starts at slot 6 and is idle for booking 8.
-    assert _by_id(db.booking_status, "employee_id", "booking_id") == {1: 1, 2: 2, 7: None, 8: 3}
+    served = _by_id(db.booking_status, "employee_id", "booking_id")
+    assert {b: served[b] for b in (1, 2, 7, 8)} == {1: 1, 2: 2, 7: None, 8: 3}
 
 
 def test_orders_and_bills(story):
@@ -115,6 +132,7 @@ def test_cancellation(story):
     assert _by_id(db.member, "cancellation_penalty", "member_id")[3] == Decimal("2.00")
     assert _by_id(db.booking_status, "booking_status", "booking_id") == {
         1: "completed", 2: "completed", 7: "cancelled", 8: "ongoing",
+        60: "scheduled", 61: "scheduled", 63: "scheduled",
     }
 
 
@@ -122,17 +140,18 @@ def test_grid_keeps_stale_id_only_after_checkout(story):
     db, _ = story
     cells = {(r.table_id, r.slot_id): (r.booking_id, r.status) for r in db.table_status.collect()}
     assert len(cells) == 4 * 14
-    assert cells[(11, 3)] == (1, "vacant")
-    assert cells[(21, 13)] == (None, "vacant")
+    assert cells[(12, 4)] == (2, "vacant")   # checked out
+    assert cells[(21, 12)] == (None, "vacant")
+    assert cells[(11, 3)] == (60, "occupied")  # taken over from booking 1
     assert cells[(11, 6)] == (8, "occupied")
-    assert sum(status == "occupied" for _, status in cells.values()) == 1
+    assert sum(status == "occupied" for _, status in cells.values()) == 1 + 3 + 2 + 1
 
 
 def test_log(story):
     db, _ = story
     log = _by_id(db.program_log, "message", "log_id")
     # Everything is logged but the accepted order.
-    assert len(log) == 8 + 4 + 4 + 3 + 4
+    assert len(log) == 8 + 4 + 4 + 3 + 4 + 4
     assert log[1] == "Booking with ID 1 created for member ID1. SUCCESS!!"
     assert log[4] == "Member ID: 1 with existing booking with id 1 tried new booking. FAILED!!"
     assert log[50] == "Booking ID 7 by member ID 3 is CANCELLED!!"

@@ -5,12 +5,13 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from fixtures import small_database
+from fixtures import DAY, at, booking_request, frame, small_database
 from seatledger.functions.sql import register_functions
-from seatledger.plans import reports
+from seatledger.plans import day, reports
 from seatledger.sources.star_schema import StarSchema
-from seatledger.sources.views import RELATIONS, create_views
+from seatledger.sources.relations import RELATIONS, RENAMED, create_views, load_relations
 
 SQL = {
     "completion_ratio_top3": """
@@ -56,3 +57,25 @@ def test_sql_functions(spark):
         "price_after_tax(NULL, 8.25) AS n, slot_fits(13, 3, 14) AS f, slot_fits(13, 2, 14) AS g"
     ).collect()[0]
     assert (row.t, row.p, row.n, row.f, row.g) == (Decimal("1.14"), Decimal("14.94"), None, False, True)
+
+
+def test_export_round_trip(spark, tmp_path):
+    """Relations written as csv, 0/1 booleans and mixed case included, come back as the same database."""
+    db = small_database(spark)
+    lines = frame(spark, "order_line", [
+        {"order_id": 5, "booking_id": 1, "item_id": 1, "quantity": 2, "order_time": at(1)}])
+    db = db.replace(order_line=lines, billing=frame(spark, "billing", [
+        {"order_id": 5, "booking_id": 1, "total_amount": Decimal("9.20"), "payment_status": "Paid"}]))
+    for relation, name in RELATIONS.items():
+        table = db.tables()[name]
+        missing = {"booking": ["service_date"], "table_status": ["service_date"], "billing": ["booking_id"]}
+        out = table.drop(*missing.get(name, [])).select(
+            *[(F.col(c).cast("int") if c == "availability" else F.upper(c) if c == "role" else F.col(c))
+              .alias(RENAMED.get(c, c)) for c in table.columns if c not in missing.get(name, [])])
+        out.coalesce(1).write.option("header", "true").csv(str(tmp_path / relation))
+    loaded = load_relations(spark, str(tmp_path), DAY)
+    for name, table in db.tables().items():
+        got = loaded.tables()[name]
+        assert sorted(map(str, got.select(table.columns).collect())) == sorted(map(str, table.collect())), name
+    _, outcome = day.book(loaded, frame(spark, "command", [booking_request(1, 1, 1, 3, 2)]))
+    assert [(r.outcome, r.table_id) for r in outcome.collect()] == [("confirmed", 11)]
