@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatledger import schemas
-from seatledger.functions.expressions import SLOTS_PER_DAY, slot_fits
+from seatledger.functions.expressions import SLOTS_PER_DAY, from_cents, slot_fits, to_cents
 from seatledger.operators.changes import booking_cells
 
 OPEN = ("scheduled", "ongoing")
@@ -172,7 +172,7 @@ def audit_billing_reconciliation(
 ) -> DataFrame:
     """C11: bills add up to the booking price, and are paid exactly when the booking is completed."""
     billed = billing.groupBy("booking_id").agg(
-        F.sum("total_amount").alias("billed"),
+        from_cents(F.sum(to_cents(F.col("total_amount")))).alias("billed"),
         F.count_if(F.col("payment_status") == "paid").alias("paid"),
         _count().alias("bills"),
     )

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatledger.functions.expressions import exact_mean
+from seatledger.functions.expressions import exact_mean, from_cents, to_cents
 from seatledger.operators import billing as bills
 
 
@@ -39,7 +39,7 @@ def active_member_website_bookings(db) -> DataFrame:
 def _mean_by_restaurant(amounts: DataFrame, db) -> DataFrame:
     """Mean of ``amount`` per restaurant; joins the name after the aggregate."""
     sums = amounts.groupBy("restaurant_id").agg(
-        F.sum("amount").alias("total"), F.count("amount").alias("n")
+        from_cents(F.sum(to_cents(F.col("amount")))).alias("total"), F.count("amount").alias("n")
     )
     return sums.join(db.restaurant.select("restaurant_id", "restaurant_name"), "restaurant_id").select(
         "restaurant_id", "restaurant_name",

@@ -42,9 +42,11 @@ ADDED = {"booking": ("service_date",), "table_status": ("service_date",), "billi
 def read_relation(spark: SparkSession, path: str, name: str, fmt: str, service_date: date) -> DataFrame:
     """One exported relation as a table here: columns by name, text values cast to the schema."""
     wanted = [f for f in TABLES[name].fields if f.name not in ADDED.get(name, ())]
+    # Text formats are read as text and cast, without inference; a csv header names the columns.
     if fmt == "csv":
-        # A header decides which column is which, so read text and cast, without inference.
         source = spark.read.option("header", "true").csv(path)
+    elif fmt == "json":
+        source = spark.read.schema(", ".join(f"{RENAMED.get(f.name, f.name)} string" for f in wanted)).json(path)
     else:
         source = spark.read.format(fmt).load(path)
     present = {c.lower(): c for c in source.columns}

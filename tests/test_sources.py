@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 
 from fixtures import small_database
-from seatledger.functions.expressions import log_message, slot_start_time
+from seatledger.functions.expressions import log_message
 from seatledger.plans import reports
 from seatledger.session import checkpoint_root, scratch_path
 from seatledger.sources import generators
