@@ -324,14 +324,17 @@ def _entering(pieces: pa.Table) -> pa.Table:
 
 
 def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Run the state machine over rows sorted by member and order."""
+    """Run the state machine over rows sorted by member and order.
+
+    A command without a member matches no booking, so each one starts afresh.
+    """
     unseen = object()
     current, state, booking = unseen, NONE, None
     for batch in batches:
         before, after, owner = [], [], []
         columns = [_ints(batch, c) for c in ("member_id", "code", "command_id", "enter_state", "enter_booking")]
         for member, code, command, enter, carried in zip(*columns):
-            if current is unseen or member != current:
+            if member is None or current is unseen or member != current:
                 current, state, booking = member, NONE if enter is None else enter, carried
             before.append(state)
             state, booking = step(code, command, state, booking)

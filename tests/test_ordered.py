@@ -95,6 +95,15 @@ def test_replay_of_a_busy_member(spark, partitions):
     assert {r.command_id: (r.booking_id, r.status_before, r.status_after) for r in got} == want
 
 
+def test_commands_without_a_member_match_no_booking(spark):
+    rows = [(i, ts(i), None, COMMANDS[i % 2]) for i in range(40)]
+    got = lifecycle_replay(command_frame(spark, rows), partitions=4).collect()
+    assert {(r.command, r.outcome) for r in got} == {
+        ("new_booking", "confirmed"), ("member_in", "no_scheduled_booking"),
+    }
+    assert len(got) == 40
+
+
 def test_replay_in_two_batches_carries_state(spark):
     # Ids beyond 2**53 must survive the hand-over exactly.
     big = 2**60
