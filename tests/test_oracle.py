@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import difference, duck
+from seatledger.plans.oracles import oracles
+from seatledger.plans.registry import all_queries
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = all_queries()
+SQL = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,8 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
