@@ -9,10 +9,11 @@
 2. Equal sets collapse into classes by a 128-bit fingerprint, whatever their number.
 3. ``ROWS`` coordinates make one band. Members of a bucket are compared with its least
    member only (their commonest pivot); classes that this links are contracted.
-4. Buckets that still hold several components get their remaining cross pairs, so no link
-   is lost to the choice of pivots. Within a crowded bucket only pairs that also share a
-   shingle of their rarest-first prefix are built; a pair above the threshold must.
-5. Each pair is confirmed on its full sets; components come from star contraction.
+4. Buckets that still hold several components are searched again: members outside the
+   largest component meet the rest inside a join whose condition is the similarity of the
+   full sets. No link is lost to the choice of pivots, and no pair leaves the join unless
+   it is one.
+5. Links are confirmed on full sets throughout; components come from star contraction.
 
 With 72 bands of 6 rows a pair at exactly 0.75 is missed with a chance below 1e-6.
 """
@@ -30,9 +31,6 @@ from seatledger.llm.text import LOWERED, blocks, mix, window_hashes, window_rows
 WIDTH = 5
 PERCENT = 75
 BANDS, ROWS = 72, 6
-#: Members outside a bucket's largest component above which the bucket's pairs must also share a prefix shingle.
-CROWD = 16
-
 _U = np.uint64
 
 
@@ -161,34 +159,31 @@ def _open_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     own = roots.withColumnRenamed("root", "_root")
     members = buckets.join(own, "node", "left").select("key", "node", F.coalesce("_root", "node").alias("root"))
     parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("_n"))
-    largest = parts.groupBy("key").agg(
-        F.max(F.struct("_n", "root")).alias("_top"), F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_parts")
-    )
-    still = largest.where("_parts > 1").select("key", F.col("_top.root").alias("_main"), (F.col("_all") - F.col("_top._n")).alias("minors"))
-    return members.join(still, "key").select("key", "node", "root", (F.col("root") != F.col("_main")).alias("minor"), "minors")
-
-
-def _cross_pairs(members: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of different components that share ``keys``, one of them a minor member."""
-    small = members.where("minor").select(*keys, F.col("node").alias("_x"), F.col("root").alias("_rx"))
-    every = members.select(*keys, F.col("node").alias("_y"), F.col("root").alias("_ry"), F.col("minor").alias("_my"))
-    pairs = small.join(every, keys).where("_rx <> _ry and (not _my or _x < _y)")
-    return pairs.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"))
+    largest = parts.groupBy("key").agg(F.max(F.struct("_n", "root")).alias("_top"), F.count(F.lit(1)).alias("_parts"))
+    still = largest.where("_parts > 1").select("key", F.col("_top.root").alias("_main"))
+    return members.join(still, "key").select("key", "node", "root", (F.col("root") != F.col("_main")).alias("minor"))
 
 
-def _prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Per member of a crowded bucket, the shingles of which a near pair must share one.
+def _cross_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Near pairs between different components of one bucket, minor members against all others.
 
-    Sets in one order of shingles, rarest first, with similarity s: two sets that reach it
-    agree within their first n - ceil(s n) + 1 shingles.
+    Sets of half-length hashes stand in the rows and their similarity in the join's
+    condition: pairs are judged while the join meets them, and only near ones leave it. Two
+    shingles of one pair may fall on the same short hash, for which ``slack`` allows; full
+    sets decide afterwards.
     """
-    nodes = members.select("node").distinct()
-    each = sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
-    spread = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("_df"))
-    ranked = each.join(spread, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("_df", "shingle"))).alias("_s"))
-    n = F.size("_s")
-    length = n - F.floor((n * percent + 99) / 100).cast("int") + 1
-    return ranked.select("node", F.explode(F.slice("_s", F.lit(1), length)).alias("_e")).select("node", F.col("_e.shingle").alias("shingle"))
+    brief = sets.select("node", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("_s"))
+    full = members.join(brief, "node")
+    small = full.where("minor").select("key", F.col("node").alias("_x"), F.col("root").alias("_rx"), F.col("_s").alias("_sx"))
+    every = full.select("key", F.col("node").alias("_y"), F.col("root").alias("_ry"), F.col("minor").alias("_my"), F.col("_s").alias("_sy"))
+    m, n = F.size("_sx"), F.size("_sy")
+    sized = (m * 100 >= n * percent) & (n * 100 >= m * percent)
+    once = (F.col("_rx") != F.col("_ry")) & (~F.col("_my") | (F.col("_x") < F.col("_y")))
+    slack = 2 + (m + n) / 2000
+    # |x and y| * 100 >= percent * (m + n - |x and y|), solved for the common part
+    near = (F.size(F.array_intersect("_sx", "_sy")) + slack) * (100 + percent) >= (m + n) * percent
+    joined = small.alias("s").join(every.alias("e"), (F.col("s.key") == F.col("e.key")) & once & sized & near)
+    return joined.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -222,13 +217,8 @@ def near_duplicates(
     links = stored(_confirmed(_first_pairs(buckets), sets, percent), "links")
     roots = stored(components(links), "roots")
 
-    members = stored(_open_buckets(buckets, roots), "members")
-    few, crowded = members.where(f"minors <= {CROWD}"), members.where(f"minors > {CROWD}")
-    pairs = _cross_pairs(few, ["key"])
-    if not crowded.isEmpty():
-        prefixed = crowded.join(_prefixes(crowded, sets, percent), "node")
-        pairs = pairs.unionByName(_cross_pairs(prefixed, ["key", "shingle"]))
-    more = stored(_confirmed(pairs.distinct(), sets, percent), "links")
+    open_ones = stored(_open_buckets(buckets, roots), "members")
+    more = stored(_confirmed(_cross_pairs(open_ones, sets, percent), sets, percent), "links")
     if not more.isEmpty():
         joined = more.unionByName(links)
         roots = stored(components(joined), "roots")
