@@ -4,9 +4,9 @@ Every 13-word window of a text has a Rabin-Karp hash. The windows are counted in
 each map task keeps, for every hash of a block of texts, the least document that holds it
 and packs (hash, document) into arrays, one row for each bucket of hashes. That combine
 bounds what a window found in a third of all documents sends, and packing costs 8 bytes a
-window and no row overhead. A bucket finds the hashes with several documents and returns to
-every later document the hashes it must drop; those marks meet the texts again by doc_id,
-where overlapping windows merge into maximal intervals.
+window and no row overhead. A bucket finds the hashes with several documents and sends the hashes
+that each later document must drop on to a bucket of documents, packed again; those marks
+meet the texts by doc_id, where overlapping windows merge into maximal intervals.
 
 Occurrences that lose already inside their block are known to go and travel as marks,
 dealt over the buckets in turn, so they gather nowhere.
@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatledger.llm.text import blocks, window_hashes, window_rows, word_hashes, word_spans
+from seatledger.llm.text import blocks, mix, window_hashes, window_rows, word_hashes, word_spans
 
 WIDTH = 13
 #: Bytes of text whose windows share a bucket; a bucket is sorted in one task's memory.
@@ -91,17 +91,38 @@ def _packed(buckets: int, width: int):
     return pack
 
 
-def _losers(table: pa.Table) -> pa.Table:
-    """The marks of one bucket: every document after the first with a repeated window."""
-    def flat(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        column = lambda name: pa.chunked_array(part.column(name)).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return np.repeat(column("docs"), column("runs")), column("hashes").view(_U)
+def _flat(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and hashes of packed rows, one entry per occurrence."""
+    column = lambda name: pa.chunked_array(part.column(name)).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return np.repeat(column("docs"), column("runs")), column("hashes").view(_U)
 
-    is_mark = table.column("marks").combine_chunks()
-    d, h = flat(table.filter(pc.invert(is_mark)))
-    known_d, known_h = flat(table.filter(is_mark))
-    _, _, rest_h, rest_d = _least(h, d)
-    d, h = np.concatenate([known_d, rest_d]), np.concatenate([known_h, rest_h])
+
+def _losers(buckets: int):
+    """Of one bucket of hashes, every document after the first with a repeated window,
+    packed into one row for each bucket of documents."""
+
+    def lose(table: pa.Table) -> pa.Table:
+        is_mark = table.column("marks").combine_chunks()
+        d, h = _flat(table.filter(pc.invert(is_mark)))
+        known_d, known_h = _flat(table.filter(is_mark))
+        _, _, rest_h, rest_d = _least(h, d)
+        d, h = np.concatenate([known_d, rest_d]), np.concatenate([known_h, rest_h])
+        bucket = (mix(d.view(_U)) % _U(buckets)).astype(np.int32)
+        order = np.lexsort((d, bucket))
+        d, h, bucket = d[order], h[order], bucket[order]
+        own, at = np.unique(bucket, return_index=True)
+        cuts = np.append(at, len(bucket))
+        runs = [_runs(d[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        columns = [own, np.ones(len(own), bool), [r[0] for r in runs], [r[1].astype(np.int32) for r in runs]]
+        columns.append([h[a:b].view(np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _ENTRIES, strict=True)], schema=_ENTRIES)
+
+    return lose
+
+
+def _marks(table: pa.Table) -> pa.Table:
+    """The packed marks of one bucket of documents as one row for each document."""
+    d, h = _flat(table)
     order = np.argsort(d, kind="stable")
     own, runs = _runs(d[order])
     ends = np.concatenate([[0], np.cumsum(runs)])
@@ -163,8 +184,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     entries = docs.where("doc_id is not null and text is not null").mapInArrow(
         _packed(buckets, width), "bucket int, marks boolean, docs array<bigint>, runs array<int>, hashes array<bigint>"
     )
-    marks = entries.groupBy("bucket").applyInArrow(_losers, "doc_id bigint, gone array<bigint>")
-    gone = marks.groupBy("doc_id").agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    lost = entries.groupBy("bucket").applyInArrow(_losers(buckets), entries.schema)
+    gone = lost.groupBy("bucket").applyInArrow(_marks, "doc_id bigint, gone array<bigint>")
     keyed = docs.where("doc_id is not null").join(gone, "doc_id", "left")
     rest = docs.where("doc_id is null").withColumn("gone", F.lit(None).cast("array<bigint>"))
     return keyed.unionByName(rest).select("doc_id", _removal(width)("text", "gone").alias("_r")).select("doc_id", "_r.*")
