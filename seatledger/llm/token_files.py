@@ -21,6 +21,8 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 END_ID = 1
 #: Words whose ids a task remembers; later words are encoded again in every batch.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 #: Characters of distinct words handed to the tokenizer at a time.
 JOINED = 20_000
 #: Bytes of text in one part.
@@ -42,7 +44,7 @@ _FOUND = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 class WordEncoder:
-    """Ids of texts whose tokenizer treats ASCII white space as a mere border.
+    """Ids of texts whose tokenizer lower-cases and treats ASCII white space as a mere border.
 
     Distinct words are encoded once, many joined by blanks in one call; offsets tell which
     ids belong to which word. Ids of the first ``REMEMBERED`` words are kept as rows of a
@@ -55,7 +57,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.place: dict[bytes, int] = {}
-        self.ids, self.ends = [np.zeros(0, np.uint32)], [0]
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and how many each has."""
@@ -77,25 +79,21 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after another, each closed by ``end_id``; ids per text."""
-        split = [t.split() for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.place})
+        # The tokenizer lower-cases; doing it first halves the forms. Its special tokens are
+        # looked for in the raw text, so a text that may hold one is left as it is.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        place, known = self.place, len(self.place)
+        new = list(set(chain.from_iterable(split)).difference(place))
         fresh, counts = self._encode(new)
-        flat = np.concatenate([*self.ids, fresh])
-        base = self.ends[-1]
-        ends = np.concatenate([self.ends, base + np.cumsum(counts)]).astype(np.int64)
-        known = len(self.place)
-        room = max(0, REMEMBERED - known)
-        extra = {w: known + k for k, w in enumerate(new)}
-        place = self.place
-        if room:
-            place.update((w, k) for w, k in extra.items() if k < REMEMBERED)
-            self.ends = ends[: len(place) + 1].tolist()
-            self.ids = [flat[: self.ends[-1]]]
+        flat = np.concatenate([self.ids, fresh])
+        ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        place.update(zip(new, range(known, known + len(new)), strict=True))
         n = np.fromiter(map(len, split), np.int64, len(split))
-        if len(extra) <= room:
-            which = np.fromiter((place[w] for ws in split for w in ws), np.int64, int(n.sum()))
-        else:
-            which = np.fromiter((place[w] if w in place else extra[w] for ws in split for w in ws), np.int64, int(n.sum()))
+        which = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
+        for word in new[max(0, REMEMBERED - known) :]:
+            del place[word]
+        self.ends = ends[: len(place) + 1]
+        self.ids = flat[: self.ends[-1]]
         # The closing id is one more entry behind every text.
         end_at = len(ends) - 1
         flat, ends = np.append(flat, np.uint32(end_id)), np.append(ends, ends[-1] + 1)
@@ -108,6 +106,12 @@ class WordEncoder:
         return ids, np.diff(borders)
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker, with what earlier tasks have left in it."""
+    return WordEncoder(path)
+
+
 def _place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
@@ -123,7 +127,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, width: int):
             if not batch.num_rows:
                 continue
             if encoder is None:
-                encoder = WordEncoder(tokenizer)
+                encoder = _encoder(tokenizer)
                 ids_file = store.open_output_stream(f"{own[0]}.ids{own[1]}")
                 index_file = store.open_output_stream(f"{own[0]}.idx{own[1]}")
             doc_ids = batch.column("doc_id")
@@ -153,8 +157,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     """Write (doc_id, text) in the format above; returns the table of parts with their bases.
 
     Ascending doc_id, rows without id first; ties are ordered by text. Null and empty texts
-    hold the closing id alone. ``tokenizer`` is the path of a ``tokenizers`` file for which
-    ASCII white space only separates. An empty table writes no part.
+    hold the closing id alone. ``tokenizer`` is the path of a ``tokenizers`` file that
+    lower-cases and for which ASCII white space only separates. An empty table writes no part.
     """
     from tokenizers import Tokenizer
 
