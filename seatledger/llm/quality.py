@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seatledger.llm.text import blocks, window_hashes, window_rows, word_hashes, word_spans
 
@@ -106,7 +107,7 @@ def _all_statistics(texts: pa.Array) -> np.ndarray:
     return np.concatenate([np.zeros((0, len(STATISTICS))), *(statistics(d, b) for _, d, b in blocks(texts))])
 
 
-@F.arrow_udf("array<double>")
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
 def document_statistics(texts: pa.Array) -> pa.Array:
     found = _all_statistics(texts)
     ends = np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]

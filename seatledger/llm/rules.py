@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seatledger.llm.components import stored
 from seatledger.llm.quality import _repeats
@@ -69,7 +70,7 @@ def _measured(data: np.ndarray, borders: np.ndarray) -> list[np.ndarray]:
     return [counts, chars, symbols, dup, repeated, lines, per_row((data >= 65) & (data <= 90))]
 
 
-@F.arrow_udf(", ".join(f"{c} bigint" for c in _FIELDS))
+@F.arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in _FIELDS]))
 def base_measures(texts: pa.Array) -> pa.Array:
     parts = [pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in _measured(d, b)], _FIELDS) for _, d, b in blocks(texts)]
     kind = pa.struct([(c, pa.int64()) for c in _FIELDS])

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seatledger.llm.quality import SAMPLE, training_sample
 
@@ -38,7 +39,7 @@ def terms(text: str | None) -> set[bytes]:
     return set(text.encode().lower().translate(_BREAKS).split()) if text else set()
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(T.ArrayType(T.StringType()))
 def text_terms(texts: pa.Array) -> pa.Array:
     return pa.array([sorted(w.decode() for w in terms(t)) for t in texts.to_pylist()], pa.list_(pa.string()))
 
