@@ -56,7 +56,8 @@ def deduplicate_lines(
     n = F.size("_lines")
     stay = F.array_except(F.sequence(F.lit(0), n - 1), F.coalesce("_gone", F.array().cast("array<int>")))
     kept = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
+        # The lines are bound to a variable, lest each position splits the text again.
+        F.get(F.transform(F.array("_lines"), lambda v: F.array_join(F.transform(stay, lambda i: F.get(v, i)), "\n")), F.lit(0))
     )
     return both.select(
         "doc_id",
