@@ -11,6 +11,8 @@ verified on the words of all shingles of the item.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,20 +25,29 @@ PERCENT = 75
 BROADCAST_ROWS = 200_000
 
 
-def _positions(w: Column, width: int) -> Column:
-    return F.when(F.size(w) >= width, F.sequence(F.lit(0), F.size(w) - width)).otherwise(F.array().cast("array<int>"))
+def _each(w: Column, width: int, one: Callable[[list[Column]], Column], whole: Callable[[Column], Column]) -> Column:
+    """``one`` of every ``width`` consecutive words; ``whole`` of fewer; empty without words.
+
+    The outer transform binds the words to a variable. Written into the inner lambda they
+    would be split from the text again for every window.
+    """
+
+    def windows(v: Column) -> Column:
+        long = F.transform(F.sequence(F.lit(0), F.size(v) - width), lambda i: one([F.get(v, i + k) for k in range(width)]))
+        return F.when(F.size(v) >= width, long).when(F.size(v) > 0, F.array(whole(v)))
+
+    bound = F.get(F.transform(F.array(w), windows), F.lit(0))
+    return F.coalesce(bound, F.array())
 
 
 def shingle_hashes(w: Column, width: int = WIDTH) -> Column:
     """Hash of every ``width`` consecutive words; of all words when there are fewer; empty without words."""
-    long = F.transform(_positions(w, width), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(width))))
-    return F.when(F.size(w) >= width, long).when(F.size(w) > 0, F.array(F.xxhash64(F.concat_ws(" ", w)))).otherwise(long)
+    return _each(w, width, lambda own: F.xxhash64(*own), lambda v: F.xxhash64(F.concat_ws(" ", v)))
 
 
 def shingle_words(w: Column, width: int = WIDTH) -> Column:
     """The same shingles as text, words joined by blanks."""
-    long = F.transform(_positions(w, width), lambda i: F.concat_ws(" ", *(F.get(w, i + k) for k in range(width))))
-    return F.when(F.size(w) >= width, long).when(F.size(w) > 0, F.array(F.concat_ws(" ", w))).otherwise(long)
+    return _each(w, width, lambda own: F.concat_ws(" ", *own), lambda v: F.concat_ws(" ", v))
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
