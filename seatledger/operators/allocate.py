@@ -88,14 +88,14 @@ def allocate_bookings(
     rtables: DataFrame,
     masks: DataFrame,
     open_bookings: DataFrame,
-    gate: Sequence[str] = ("member_id", "service_date"),
+    gate: Sequence[str] = ("member_id",),
     slots: int = SLOTS_PER_DAY,
 ) -> DataFrame:
     """Decide every request: ``confirmed`` with a table, ``has_open_booking`` or ``no_table``.
 
     ``masks`` is the occupancy before the batch, ``open_bookings`` the bookings that
-    already gate their member. The grid stands for one day, so the default gate is per
-    member and service date; ``gate=("member_id",)`` gates across dates.
+    already gate their member: an open booking anywhere refuses the request. With
+    ``gate=("member_id", "service_date")`` only one of the same date does.
     """
     spark = requests.sparkSession
     checkpoint_root(spark)

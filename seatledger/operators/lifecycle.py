@@ -5,7 +5,7 @@ States: none -> scheduled -> ongoing -> completed, with scheduled -> cancelled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -100,7 +100,8 @@ def validate_orders(commands: DataFrame, booking_state: DataFrame, menu: DataFra
         "command_id", "ts", "booking_id", "item_id", "quantity"
     )
     state = booking_state.select("booking_id", "booking_status", "restaurant_id", "member_id")
-    offers = menu.select("restaurant_id", "item_id", "availability")
+    # Nothing declares a menu entry unique; an item is available if any of its entries says so.
+    offers = menu.groupBy("restaurant_id", "item_id").agg(F.max("availability").alias("availability"))
     return (
         mine.join(state, "booking_id", "left")
         .join(offers, ["restaurant_id", "item_id"], "left")
@@ -115,11 +116,13 @@ def validate_orders(commands: DataFrame, booking_state: DataFrame, menu: DataFra
 
 
 def command_outcomes(
-    commands: DataFrame, booking_state: DataFrame, menu: DataFrame, rtables: DataFrame, masks: DataFrame
+    commands: DataFrame, booking_state: DataFrame, menu: DataFrame, rtables: DataFrame, masks: DataFrame,
+    gate: Sequence[str] = ("member_id",),
 ) -> DataFrame:
     """The outcome of every command, each judged alone against the snapshot.
 
-    A member's open booking gates a request for the same service date. The effect of
+    An open booking of the member gates a request; ``gate`` may add ``service_date`` to ask
+    for one of the same date. The effect of
     earlier commands in the batch is the business of :func:`lifecycle_replay` and
     ``allocate_bookings``.
     """
@@ -128,13 +131,13 @@ def command_outcomes(
 
     held = (
         booking_state.where(F.col("booking_status").isin(*OPEN))
-        .groupBy("member_id", "service_date")
+        .groupBy(*gate)
         .agg(F.min("booking_id").alias("held_id"))
     )
     requests = commands.where(F.col("command") == "new_booking").drop("booking_id")
     booked = (
         find_available_table(requests, rtables, masks)
-        .join(held, ["member_id", "service_date"], "left")
+        .join(held, list(gate), "left")
         .withColumn(
             "outcome",
             F.when(F.col("held_id").isNotNull(), "has_open_booking")

@@ -153,7 +153,7 @@ _REPLAY = """
         FROM steps s JOIN numbered c ON c.member_id = s.member_id AND c.n = s.n + 1)"""
 
 _OUTCOMES = """
-    held AS (SELECT member_id, service_date, min(booking_id) AS held_id FROM open_booking GROUP BY ALL),
+    held AS (SELECT member_id, min(booking_id) AS held_id FROM open_booking GROUP BY ALL),
     latest AS (SELECT member_id, booking_status, max(booking_id) AS own_id FROM open_booking GROUP BY ALL),
     first_free AS (SELECT restaurant_id, service_date, start_time_slot, booking_duration,
                           min(table_id) AS table_id FROM free_table GROUP BY ALL),
@@ -164,7 +164,7 @@ _OUTCOMES = """
                c.restaurant_id, CAST(NULL AS BIGINT) AS item_id,
                CASE WHEN held_id IS NOT NULL THEN 'has_open_booking'
                     WHEN f.table_id IS NOT NULL THEN 'confirmed' ELSE 'no_table' END AS outcome
-        FROM command c LEFT JOIN held USING (member_id, service_date)
+        FROM command c LEFT JOIN held USING (member_id)
              LEFT JOIN first_free f USING (restaurant_id, service_date, start_time_slot, booking_duration)
         WHERE c.command = 'new_booking'
         UNION ALL
@@ -272,6 +272,41 @@ _ALLOCATED = """
                     FROM decided d JOIN request r ON r.service_date = d.service_date AND r.n = d.n + 1)))"""
 
 
+# The same with a gate across dates: members who hold a booking are out at once, all others
+# form one sequence.
+_ALLOCATED_BY_MEMBER = """
+    held AS (SELECT member_id, min(booking_id) AS held_id FROM open_booking GROUP BY ALL),
+    choices AS (SELECT restaurant_id, service_date, start_time_slot, booking_duration,
+                       list(table_id ORDER BY table_id) AS tables FROM free_table GROUP BY ALL),
+    request AS (
+        SELECT b.booking_id AS request_id, b.booking_created AS ts, b.member_id, b.restaurant_id, b.service_date,
+               b.start_time_slot, b.booking_duration, held_id, coalesce(tables, []) AS tables,
+               row_number() OVER (PARTITION BY held_id IS NULL ORDER BY b.booking_created, b.booking_id) AS n
+        FROM booking b LEFT JOIN held USING (member_id)
+             LEFT JOIN choices USING (restaurant_id, service_date, start_time_slot, booking_duration)
+        WHERE b.booking_status = 'cancelled'),
+    walked AS (
+        SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS request_id, CAST(NULL AS BIGINT) AS table_id,
+               CAST(NULL AS BIGINT) AS existing_booking_id,
+               CAST([] AS STRUCT(request_id BIGINT, member_id BIGINT, table_id BIGINT, date DATE, lo INTEGER, hi INTEGER)[])
+                   AS made
+        UNION ALL
+        SELECT n, request_id, table_id, existing_id,
+               CASE WHEN table_id IS NULL THEN made
+                    ELSE list_append(made, {'request_id': request_id, 'member_id': member_id, 'table_id': table_id,
+                                            'date': date, 'lo': lo, 'hi': hi}) END
+        FROM (SELECT *, CASE WHEN existing_id IS NULL THEN
+                   list_filter(tables, lambda t: len(list_filter(made, lambda m:
+                       m.table_id = t AND m.date = date AND m.lo <= hi AND m.hi >= lo)) = 0)[1] END AS table_id
+              FROM (SELECT r.n, r.request_id, r.member_id, r.tables, d.made, CAST(r.service_date AS DATE) AS date,
+                           r.start_time_slot AS lo, r.start_time_slot + r.booking_duration - 1 AS hi,
+                           list_filter(d.made, lambda m: m.member_id = r.member_id)[1].request_id AS existing_id
+                    FROM walked d JOIN request r ON r.held_id IS NULL AND r.n = d.n + 1))),
+    decided AS (
+        SELECT request_id, table_id, existing_booking_id FROM walked WHERE n > 0
+        UNION ALL SELECT request_id, NULL, held_id FROM request WHERE held_id IS NOT NULL)"""
+
+
 def _turns(command: str, status: str, done: str, refused: str) -> str:
     return f"""
     turn AS (SELECT command_id, ts, member_id,
@@ -466,14 +501,16 @@ def oracles() -> dict[str, str]:
         FROM ask LEFT JOIN free_table USING (restaurant_id, service_date, start_time_slot, booking_duration)
         GROUP BY request_id, restaurant_id, service_date""", _VACANT.format(ask="ask"))
 
-    q["allocate_bookings"] = _sql(f"{search} ask", """
+    allocated = """
         SELECT d.request_id, r.ts, r.member_id, r.restaurant_id, r.service_date, r.start_time_slot,
                r.booking_duration, d.table_id,
                CASE WHEN d.existing_booking_id IS NOT NULL THEN 'has_open_booking'
                     WHEN d.table_id IS NOT NULL THEN 'confirmed' ELSE 'no_table' END AS outcome,
                d.existing_booking_id
-        FROM decided d JOIN request r USING (request_id)""",
-        _VACANT.format(ask="ask"), _ALLOCATED, recursive=True)
+        FROM decided d JOIN request r USING (request_id)"""
+    vacant_ask = _VACANT.format(ask="ask")
+    q["allocate_bookings"] = _sql(f"{search} ask", allocated, vacant_ask, _ALLOCATED_BY_MEMBER, recursive=True)
+    q["allocate_bookings_per_date"] = _sql(f"{search} ask", allocated, vacant_ask, _ALLOCATED, recursive=True)
 
     # --- staffing
     q["staff_load"] = _sql(f"staff {_BK}", """

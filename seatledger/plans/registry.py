@@ -155,6 +155,12 @@ def _allocate_bookings(db):
     return decided.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query
+def _allocate_bookings_per_date(db):
+    decided = allocate_bookings(db.request, db.rtable, db.masks, db.open_state, gate=("member_id", "service_date"))
+    return decided.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 # --- staffing -----------------------------------------------------------------------------------
 
 

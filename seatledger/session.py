@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,16 +40,14 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local-mode session
-    (tests, a laptop) may fall back to a fresh temporary folder, because there
-    every task sees the same disk.
+    A cluster names it in ``spark.checkpoint.dir``. A session without it gets a fresh
+    folder below its warehouse, which executors share as well.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="seatledger-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        root = f"{warehouse}/_scratch/{uuid.uuid4().hex}"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
