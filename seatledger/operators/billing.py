@@ -28,6 +28,15 @@ def line_sums(order_lines: DataFrame, items: DataFrame, keys: Sequence[str] = ("
     )
 
 
+def bill_sums(billing: DataFrame) -> DataFrame:
+    """Price per booking from its bills, in the type of :func:`line_sums`."""
+    return (
+        billing.groupBy("booking_id")
+        .agg(F.sum(to_cents(F.col("total_amount"))).alias("_sum"))
+        .select("booking_id", from_cents(F.col("_sum")).alias("price"))
+    )
+
+
 def booking_price(bookings: DataFrame, order_lines: DataFrame, items: DataFrame) -> DataFrame:
     """Price per booking, NULL for a booking without orders."""
     return bookings.select("booking_id").join(line_sums(order_lines, items), "booking_id", "left")

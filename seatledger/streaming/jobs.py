@@ -129,22 +129,27 @@ def settle_stream(
 ) -> DataFrame:
     """Totals and paid bills per micro-batch of check-outs; returns the totals.
 
-    Each batch writes its own folders by overwriting them, so a repeated batch changes
-    nothing. Order lines bucketed by booking keep the lookup of a batch local.
+    A booking settles once: only its first completion passes, however often and in however
+    many files it is delivered. A stream that carries ``status_before`` settles on the step
+    from ongoing alone. Each batch prices its bookings' lines once, into its own folders, and
+    sums the written bills; a repeated batch overwrites them and changes nothing.
     """
     spark = completed.sparkSession
+    done = completed.where(F.col("booking_status") == "completed")
+    if "status_before" in completed.columns:
+        done = done.where(F.col("status_before") == "ongoing")
+    once = done.select("booking_id", "restaurant_id").dropDuplicates(["booking_id"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        state = batch.select("booking_id", "restaurant_id", "booking_status")
-        totals = bills.past_bookings(state, order_lines, items, restaurants)
+        session, folder = batch.sparkSession, f"{path}/paid/batch_id={batch_id}"
+        own_lines = order_lines.join(batch.select("booking_id"), "booking_id", "left_semi")
+        paid = bills.priced_lines(own_lines, items).drop("price", "quantity").withColumn("payment_status", F.lit("paid"))
+        paid.write.mode("overwrite").parquet(folder)
+        sums = bills.bill_sums(session.read.schema(paid.schema).parquet(folder))
+        totals = bills.with_totals(batch.join(sums, "booking_id", "left"), restaurants)
         totals.write.mode("overwrite").parquet(f"{path}/past/batch_id={batch_id}")
-        done = state.where(F.col("booking_status") == "completed").select("booking_id")
-        paid = bills.priced_lines(order_lines.join(done, "booking_id", "left_semi"), items).drop("price", "quantity")
-        paid.withColumn("payment_status", F.lit("paid")).write.mode("overwrite").parquet(
-            f"{path}/paid/batch_id={batch_id}"
-        )
 
-    run_batches(completed, path, write)
+    run_batches(once, path, write)
     return spark.read.parquet(f"{path}/past").drop("batch_id")
 
 

@@ -77,6 +77,19 @@ def test_settlement_equals_batch_and_can_be_replayed(spark, tmp_path, items):
     assert sorted(map(str, out.select(sorted(out.columns)).collect())) == want
 
 
+def test_settlement_pays_once(spark, tmp_path, items):
+    lines = spark.createDataFrame([(1, 1, 2), (2, 2, 1), (3, 2, 5)], LINE)
+    places = spark.createDataFrame([(7, Decimal("6.00"))], "restaurant_id long, tax decimal(3,2)")
+    state = "booking_id long, restaurant_id long, status_before string, booking_status string"
+    first = (1, 7, "ongoing", "completed")
+    parts = [[first, first], [(2, 7, "ongoing", "completed"), first], [(3, 7, "completed", "completed"), first]]
+    stream = drop_files(spark, tmp_path / "in", parts, state)
+    path = scratch_path(spark, "t3")
+    out = jobs.settle_stream(stream, path, lines, items, places)
+    assert sorted((r.booking_id, r.total_price) for r in out.collect()) == [(1, Decimal("5.00")), (2, Decimal("4.00"))]
+    assert sorted(r.booking_id for r in spark.read.parquet(f"{path}/paid").collect()) == [1, 2]
+
+
 def test_late_requests_miss_closed_windows(spark, tmp_path):
     parts = [
         [(1, at(5), 1, "new_booking"), (2, at(20), 1, "new_booking"), (3, at(30), 1, "member_in")],
