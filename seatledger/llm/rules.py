@@ -6,8 +6,12 @@ quantile sketch with a relative error below 1/16 that merges by addition, in any
 with equal results: map tasks send one count per (group, bin), and the sketches of small
 groups are replaced by the merged sketch of their language or of everything.
 
-A threshold is a far-out fence above the bulk of its group, so a group of clean documents
-loses none, whatever its level. Verdicts come from a join of measures with thresholds.
+A threshold is a far-out fence above the bulk of its group. Its centre and spread come from
+the lower half of the sketch, which junk with high measures can't move much while it is at
+most half of the group. A group that shares the level of the next larger one (its low
+quantile is not above that one's centre) is also bound by that one's fence, so a source with
+more junk than that gets no looser rule; a group that lies higher as a whole keeps its own.
+Verdicts come from a join of measures with thresholds.
 """
 
 from __future__ import annotations
@@ -26,16 +30,16 @@ SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS, REPEAT_PERCENT = 10, 20
 #: Documents a group needs for thresholds of its own.
 LEAST_GROUP = 200
-#: Upper quantiles (per mille) whose distance, FENCE times, is added to the outer one.
-MIDDLE, OUTER, FENCE = 500, 900, 3
+#: Quantiles (per mille) whose distance, FENCE times, is added to the centre.
+LOW, CENTRE, FENCE = 100, 400, 6
 
-#: Measure -> (expression in whole numbers, least distance of the threshold from the outer quantile).
+#: Measure -> (expression in whole numbers, least distance of the threshold from the centre).
 MEASURES = {
     "symbol_share": ("n_symbols * 1000 div word_chars", 40),
     "line_repeats": ("n_dup_lines * 1000 div n_lines", 250),
-    "word_repeats": ("n_repeat_words * 1000 div n_words", 80),
-    "word_length": ("word_chars * 100 div n_words", 200),
-    "capital_share": ("n_capitals * 1000 div word_chars", 200),
+    "word_repeats": ("n_repeat_words * 1000 div n_words", 95),
+    "word_length": ("word_chars * 100 div n_words", 225),
+    "capital_share": ("n_capitals * 1000 div word_chars", 210),
 }
 
 _FIELDS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals"]
@@ -96,18 +100,25 @@ def _quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
     whole = Window.partitionBy(*by, "measure")
     ranked = sketch.select("*", F.sum("n").over(order).alias("_upto"), F.sum("n").over(whole).alias("_all"))
     at = lambda q: F.min(F.when(F.col("_upto") * 1000 >= F.col("_all") * q, bin_top(F.col("bin"))))
-    return ranked.groupBy(*by, "measure").agg(F.max("_all").alias("size"), at(MIDDLE).alias("middle"), at(OUTER).alias("outer"))
+    return ranked.groupBy(*by, "measure").agg(F.max("_all").alias("size"), at(LOW).alias("low"), at(CENTRE).alias("centre"))
 
 
 def _fence(slack: Column) -> Column:
-    spread = (F.col("outer") - F.col("middle")) * FENCE
-    return F.col("outer") + F.greatest(spread, slack)
+    spread = (F.col("centre") - F.col("low")) * FENCE
+    return F.col("centre") + F.greatest(spread, slack)
+
+
+def _bound(group: str, fence: Column, centre: Column) -> Column:
+    """The group's fence, at most that of the larger group whose level it shares; null if it has none."""
+    own = F.col(f"_{group}")
+    return F.when(F.col(f"_{group}_low") <= centre, F.least(own, fence)).otherwise(own)
 
 
 def thresholds(measured: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
     """(lang, source, measure, threshold, level) from rows (lang, source, measure, value).
 
-    ``level`` tells whose sketch was used: ``source``, ``lang`` or ``all``.
+    ``level`` tells whose sketch was used: ``source``, ``lang`` or ``all``; the fence of a
+    larger group may bound it.
     """
     sketch = measured.groupBy("lang", "source", "measure", sketch_bin(F.col("value")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     sketch = stored(sketch, "sketches")
@@ -117,9 +128,13 @@ def thresholds(measured: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame
     for level, by in levels.items():
         merged = sketch.groupBy(*by, "measure", "bin").agg(F.sum("n").alias("n"))
         found = _quantiles(merged, by).where(F.lit(True) if level == "all" else F.col("size") >= least_group)
-        out = out.join(found.select(*by, "measure", _fence(slack[F.col("measure")]).alias(f"_{level}")), [*by, "measure"], "left")
+        fence = _fence(slack[F.col("measure")]).alias(f"_{level}")
+        found = found.select(*by, "measure", fence, F.col("low").alias(f"_{level}_low"), F.col("centre").alias(f"_{level}_centre"))
+        out = out.join(found, [*by, "measure"], "left")
     level = F.when(F.col("_source").isNotNull(), "source").when(F.col("_lang").isNotNull(), "lang").otherwise("all")
-    return out.select("lang", "source", "measure", F.coalesce("_source", "_lang", "_all").alias("threshold"), level.alias("level"))
+    lang = F.coalesce(_bound("lang", F.col("_all"), F.col("_all_centre")), F.col("_all"))
+    source = F.coalesce(_bound("source", lang, F.coalesce("_lang_centre", "_all_centre")), lang)
+    return out.select("lang", "source", "measure", source.alias("threshold"), level.alias("level"))
 
 
 def apply_rules(docs: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
@@ -144,6 +159,8 @@ def apply_rules(docs: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
     wide = limits.groupBy("lang", "source").agg(
         *(F.max(F.when(F.col("measure") == k, F.col("threshold"))).alias(f"_t_{k}") for k in MEASURES)
     )
+    # Stored, its true size lets Spark broadcast it, so that a hot source is not shuffled to one task.
+    wide = stored(wide, "limits")
     over = F.filter(
         F.array(*(F.when(F.expr(e) > F.col(f"_t_{k}"), F.lit(k)) for k, (e, _) in MEASURES.items())), lambda x: x.isNotNull()
     )

@@ -135,6 +135,22 @@ def test_rule_thresholds_adapt_to_the_group(spark):
     assert gone == {5000: ["symbol_share"]}
 
 
+@pytest.mark.parametrize(("percent", "others"), [(12, True), (30, True), (50, True), (70, True), (30, False), (50, False)])
+def test_rules_drop_the_junk_of_a_hot_source(spark, percent, others):
+    rng = random.Random(7)
+
+    def doc(i, source, symbols):
+        words = [f"{rng.choice('abcdef')}{rng.randrange(10_000)}" for _ in range(60)]
+        return i, " ".join(w + "#" * symbols for w in words), "en", source
+
+    junk = {k for k in range(300) if k < 3 * percent}
+    docs = [doc(i, "hot", 2 if i in junk else 0) for i in range(300)]
+    docs += [doc(1000 + i, f"other{i % 3}", 0) for i in range(900 if others else 0)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
+    gone = {r.doc_id: r.failed for r in rules.apply_rules(df).where("not kept").collect()}
+    assert set(gone) == junk and all("symbol_share" in f for f in gone.values())
+
+
 @pytest.mark.parametrize("value", [0, 1, 31, 32, 33, 47, 48, 63, 64, 1000, 4095, 4096, 10**9])
 def test_sketch_bins_are_tight(spark, value):
     b, top = spark.range(1).select(rules.sketch_bin(F.lit(value)).alias("b"), rules.bin_top(rules.sketch_bin(F.lit(value)))).first()
