@@ -1,10 +1,13 @@
 """Operator 8: toxicity categories by a chain of linear models.
 
-Categories are predicted one after another; each model sees the words and the earlier
+Categories are predicted one after another; each model sees the terms and the earlier
 categories' probabilities. In training those are out-of-fold predictions, so a later model
-meets them with the error they have on unseen texts. Words are chosen and models fitted on
-at most ``SAMPLE`` labelled documents (chosen by a hash of their id); scoring runs over
-whole texts in Arrow batches.
+meets them with the error they have on unseen texts. Terms are words and beginnings of
+words, which stand for the many compounds of a stem that are too rare by themselves; every
+language has its own ranking, so that a small one is not crowded out. Terms are chosen and
+models fitted on at most ``SAMPLE`` labelled documents (chosen by a hash of their id);
+scoring runs over whole texts in Arrow batches. The threshold is the one with the best F1 on
+the out-of-fold predictions.
 """
 
 from __future__ import annotations
@@ -14,15 +17,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seatledger.llm.components import stored
 from seatledger.llm.quality import SAMPLE, training_sample
 
-#: Words that the models see, and documents of the sample a word must be in.
-VOCABULARY, LEAST_DOCS = 128, 5
+#: Terms that the models see, documents of a language's sample a term must be in, letters of beginnings.
+VOCABULARY, LEAST_DOCS, PREFIXES = 400, 3, (3, 5, 7)
 FOLDS, RIDGE, STEPS = 5, 1.0, 8
+#: Threshold without labels of both kinds.
 ACCEPT = 0.5
 
 #: Weak labels of the narrower categories: toxic documents with one of these words.
@@ -39,9 +44,16 @@ def terms(text: str | None) -> set[bytes]:
     return set(text.encode().lower().translate(_BREAKS).split()) if text else set()
 
 
+def forms(word: bytes) -> list[bytes]:
+    """The word and its beginnings, these with a star, which no word holds."""
+    letters = word.decode()
+    return [word, *(f"{letters[:n]}*".encode() for n in PREFIXES if len(letters) > n)]
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def text_terms(texts: pa.Array) -> pa.Array:
-    return pa.array([sorted(w.decode() for w in terms(t)) for t in texts.to_pylist()], pa.list_(pa.string()))
+    own = ({f.decode() for w in terms(t) for f in forms(w)} for t in texts.to_pylist())
+    return pa.array([sorted(x) for x in own], pa.list_(pa.string()))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -69,13 +81,16 @@ class Chain:
     names: Sequence[str]
     words: Mapping[bytes, int]
     weights: Sequence[np.ndarray]
+    accept: float = ACCEPT
 
     def presence(self, texts: Sequence[str | None]) -> np.ndarray:
         x = np.zeros((len(texts), len(self.words)))
-        known = self.words.keys()
-        for k, text in enumerate(texts):
-            for word in known & terms(text):
-                x[k, self.words[word]] = 1
+        own = [terms(t) for t in texts]
+        places = {w: [self.words[f] for f in forms(w) if f in self.words] for w in set().union(*own)}
+        places = {w: at for w, at in places.items() if at}
+        for k, words in enumerate(own):
+            for word in places.keys() & words:
+                x[k, places[word]] = 1
         return x
 
     def predict(self, x: np.ndarray) -> list[np.ndarray]:
@@ -86,9 +101,21 @@ class Chain:
         return out
 
 
+def best_threshold(guess: np.ndarray, y: np.ndarray) -> float:
+    """Threshold with the best F1, in the middle of the gap below the last one accepted; ``ACCEPT`` when all labels agree."""
+    if not len(y) or y.min() == y.max():
+        return ACCEPT
+    order = np.argsort(-guess, kind="stable")
+    found = guess[order]
+    ends = np.flatnonzero(np.append(found[1:] < found[:-1], True))
+    f1 = 2 * np.cumsum(y[order])[ends] / (ends + 1 + y.sum())
+    last = ends[int(np.argmax(f1))]
+    return float((found[last] + found[last + 1]) / 2 if last + 1 < len(found) else found[last])
+
+
 def fit_chain(names: Sequence[str], words: Mapping[bytes, int], x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> Chain:
     """Fit the models of a chain; column j of ``labels`` belongs to name j."""
-    seen, weights = x, []
+    seen, weights, guess = x, [], np.zeros(len(x))
     for j in range(len(names)):
         y, guess = labels[:, j], np.zeros(len(x))
         for k in range(FOLDS):
@@ -97,33 +124,34 @@ def fit_chain(names: Sequence[str], words: Mapping[bytes, int], x: np.ndarray, l
                 guess[out] = _probability(seen[out], _logistic(seen[~out], y[~out]))
         weights.append(_logistic(seen, y))
         seen = np.column_stack([seen, guess])
-    return Chain(list(names), dict(words), weights)
+    return Chain(list(names), dict(words), weights, best_threshold(guess, labels[:, -1]))
 
 
 def train(docs: DataFrame, labels: DataFrame, seeds: Mapping[str, Sequence[str]] = SEEDS, sample: int = SAMPLE) -> Chain:
     """Chain of the seeded categories and, last, ``toxic`` as ``labels`` has it."""
     names = [*seeds, "toxic"]
     chosen = F.broadcast(training_sample(labels, "toxic", sample))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = texts.join(chosen, "doc_id").select("doc_id", "label", text_terms("text").alias("terms"))
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("?")) if "lang" in docs.columns else F.lit("?")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", lang.alias("lang"))
+    rows = texts.join(chosen, "doc_id").select("doc_id", "lang", "label", text_terms("text").alias("terms"))
     for name, seed in seeds.items():
         held = F.arrays_overlap("terms", F.array(*(F.lit(s) for s in seed)))
         rows = rows.withColumn(name, F.when(F.coalesce(held, F.lit(False)), F.col("label")).otherwise(0.0))
     rows = rows.withColumn("toxic", F.col("label"))
-    # Squared correlation of a word with each category, from counts over the sample.
-    size = rows.agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(c) for c in names)).first()
-    if not size["n"]:
+    rows = stored(rows, "terms")
+    if rows.isEmpty():
         return Chain(names, {}, [np.zeros(1 + j) for j in range(len(names))])
-    each = rows.select(F.explode("terms").alias("term"), *names)
-    counts = each.groupBy("term").agg(F.count(F.lit(1)).alias("df"), *(F.sum(c).alias(c) for c in names)).where(F.col("df") >= LEAST_DOCS)
-    n = float(size["n"])
-    strength = [
-        F.pow(F.col(c) * n - F.col("df") * size[c], 2) / (F.col("df") * (n - F.col("df") + 1) * size[c] * (n - size[c] + 1))
-        for c in names
-        if size[c]
-    ]
-    best = F.greatest(*strength, F.lit(0.0)) if strength else F.lit(0.0)
-    words = [r["term"] for r in counts.orderBy(best.desc(), "term").limit(VOCABULARY).collect()]
+    # Squared correlation of a term with toxicity within its language, from counts over the sample.
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("label").alias("p"))
+    each = rows.select("lang", F.explode("terms").alias("term"), "label")
+    counts = each.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("label").alias("hits")).where(F.col("df") >= LEAST_DOCS)
+    excess = F.col("hits") * F.col("n") - F.col("df") * F.col("p")
+    strength = F.pow(excess, 2) / (F.col("df") * (F.col("n") - F.col("df") + 1))
+    ranked = counts.join(F.broadcast(sizes), "lang").where(excess > 0).select(
+        "term", F.row_number().over(Window.partitionBy("lang").orderBy(strength.desc(), "term")).alias("rank")
+    ).where(F.col("rank") <= VOCABULARY)
+    best = ranked.groupBy("term").agg(F.min("rank").alias("rank")).orderBy("rank", "term").limit(VOCABULARY)
+    words = [r["term"] for r in best.collect()]
     vocabulary = {w.encode(): k for k, w in enumerate(words)}
     known = F.filter("terms", lambda t: t.isin(words)) if words else F.array().cast("array<string>")
     fold = F.floor(F.crc32(F.col("doc_id").cast("string")) / FOLDS) % FOLDS
@@ -152,11 +180,11 @@ def category_scores(chain: Chain, text: Column) -> Column:
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, p_insult, p_contempt, p_toxic, toxic`` for every row of ``docs``.
 
-    ``toxic`` is 1 from ``p_toxic`` of a half on. Null and empty texts have no words. Labels
+    ``toxic`` is 1 from the chain's threshold on (a half without labels of both kinds). Null and empty texts have no words. Labels
     that are null are left out, the held-out fold of operator 1 never trains; without usable
     labels every probability is a half. Rows without id are scored like others, repeated
     rows alike; other columns are ignored.
     """
     chain = train(docs, labels)
     scored = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), category_scores(chain, F.col("text")).alias("_p"))
-    return scored.select("doc_id", "_p.*").withColumn("toxic", (F.col("p_toxic") >= ACCEPT).cast("int"))
+    return scored.select("doc_id", "_p.*").withColumn("toxic", (F.col("p_toxic") >= chain.accept).cast("int"))

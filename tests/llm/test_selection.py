@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import sys
 from collections import Counter, defaultdict
 
@@ -129,6 +130,32 @@ def test_toxicity_learns_and_chains(spark, edge, empty):
     assert toxicity.score_toxicity(empty, labels).count() == 0
 
 
+def toxic_texts(spark):
+    """Every language has its own toxic stem; the small one's compounds are all different."""
+    rng = random.Random(4)
+    stems = {"en": ("vile", 400), "fr": ("réeux", 160), "es": ("boco", 90)}
+    docs, labels = [], []
+    for lang, (stem, size) in stems.items():
+        for _ in range(size):
+            i, bad = len(docs), rng.random() < 0.3
+            words = [f"{lang}{rng.randrange(300)}" for _ in range(30)]
+            if bad:
+                words[3:5] = [f"{stem}{rng.choice('aeiou')}{rng.choice('bcdfglmnprst')}{rng.choice('aeiou')}" for _ in range(2)]
+            docs.append((i, " ".join(words), lang))
+            labels.append((i, int(bad)))
+    return spark.createDataFrame(docs, "doc_id bigint, text string, lang string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+
+
+def test_toxicity_recall_by_language(spark):
+    docs, labels = toxic_texts(spark)
+    held = toxicity.score_toxicity(docs, labels).join(labels.withColumnRenamed("toxic", "label"), "doc_id").join(docs, "doc_id")
+    rows = held.where(quality.held_out(F.col("doc_id"))).collect()
+    for lang in ("en", "fr", "es"):
+        toxic = [r.toxic for r in rows if r.lang == lang and r.label]
+        assert len(toxic) >= 3 and sum(toxic) >= 0.9 * len(toxic)
+    assert sum(r.toxic for r in rows if not r.label) <= 1
+
+
 def test_pipeline_applies_every_decision(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
