@@ -30,11 +30,11 @@ FOLDS, RIDGE, STEPS = 5, 1.0, 8
 #: Threshold without labels of both kinds.
 ACCEPT = 0.5
 
-#: Weak labels of the narrower categories: toxic documents with one of these words.
-SEEDS = {
-    "insult": ("idiot", "moron", "loser", "clown", "stupid"),
-    "contempt": ("worthless", "pathetic", "scum", "trash", "disgusting"),
-}
+#: The narrower categories. ``labels`` has no names for kinds of toxicity: these stand for the first
+#: and second group of toxic terms that occur together in the sample, found for every language.
+GROUPS = ("insult", "contempt")
+#: Toxic terms of a language that are grouped; their least chi-square, and as a part of the strongest one's.
+GROUPED, LEAST_CHI, LEAST_PART = 48, 15.0, 0.05
 
 _BREAKS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
@@ -113,6 +113,48 @@ def best_threshold(guess: np.ndarray, y: np.ndarray) -> float:
     return float((found[last] + found[last + 1]) / 2 if last + 1 < len(found) else found[last])
 
 
+def term_groups(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Group 0 or 1 of each term (-1: not toxic) by co-occurrence in the toxic documents of one language.
+
+    Terms are split by the sign of the leading component of their correlations, so terms of one
+    group occur together; group 0 is in more documents. A single term is group 0.
+    """
+    group = np.full(x.shape[1], -1)
+    n, p = len(x), toxic.sum()
+    if not 0 < p < n or not x.shape[1]:
+        return group
+    hits, df = toxic @ x, x.sum(axis=0)
+    chi = n * (hits * n - df * p) ** 2 / (np.maximum(df * (n - df), 1) * p * (n - p))
+    enough = (hits >= LEAST_DOCS) & (2 * hits * n > df * (n + p)) & (chi >= LEAST_CHI)
+    strong = np.flatnonzero(enough & (chi >= LEAST_PART * chi[enough].max(initial=0)))
+    strong = strong[np.lexsort((strong, -chi[strong]))][:GROUPED]
+    if not len(strong):
+        return group
+    held = x[np.ix_(toxic > 0, strong)]
+    centred = held - held.mean(axis=0)
+    norm = np.sqrt((centred**2).sum(axis=0))
+    centred /= np.where(norm > 0, norm, 1)
+    _, vectors = np.linalg.eigh(centred.T @ centred)
+    first = vectors[:, -1] >= 0
+    if first.all() or not first.any():
+        first = vectors[:, -1] >= np.median(vectors[:, -1])
+    if held[:, ~first].any(axis=1).sum() > held[:, first].any(axis=1).sum():
+        first = ~first
+    group[strong] = np.where(first, 0, 1)
+    return group
+
+
+def category_labels(x: np.ndarray, toxic: np.ndarray, langs: np.ndarray) -> np.ndarray:
+    """Weak labels of ``GROUPS``, one column each: toxic documents with a term of the group of their language."""
+    out = np.zeros((len(x), len(GROUPS)))
+    for lang in np.unique(langs):
+        rows = np.flatnonzero(langs == lang)
+        group = term_groups(x[rows], toxic[rows])
+        for j in range(len(GROUPS)):
+            out[rows, j] = toxic[rows] * (x[rows][:, group == j].any(axis=1))
+    return out
+
+
 def fit_chain(names: Sequence[str], words: Mapping[bytes, int], x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> Chain:
     """Fit the models of a chain; column j of ``labels`` belongs to name j."""
     seen, weights, guess = x, [], np.zeros(len(x))
@@ -127,17 +169,13 @@ def fit_chain(names: Sequence[str], words: Mapping[bytes, int], x: np.ndarray, l
     return Chain(list(names), dict(words), weights, best_threshold(guess, labels[:, -1]))
 
 
-def train(docs: DataFrame, labels: DataFrame, seeds: Mapping[str, Sequence[str]] = SEEDS, sample: int = SAMPLE) -> Chain:
-    """Chain of the seeded categories and, last, ``toxic`` as ``labels`` has it."""
-    names = [*seeds, "toxic"]
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
+    """Chain of the grouped categories and, last, ``toxic`` as ``labels`` has it."""
+    names = [*GROUPS, "toxic"]
     chosen = F.broadcast(training_sample(labels, "toxic", sample))
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("?")) if "lang" in docs.columns else F.lit("?")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", lang.alias("lang"))
     rows = texts.join(chosen, "doc_id").select("doc_id", "lang", "label", text_terms("text").alias("terms"))
-    for name, seed in seeds.items():
-        held = F.arrays_overlap("terms", F.array(*(F.lit(s) for s in seed)))
-        rows = rows.withColumn(name, F.when(F.coalesce(held, F.lit(False)), F.col("label")).otherwise(0.0))
-    rows = rows.withColumn("toxic", F.col("label"))
     rows = stored(rows, "terms")
     if rows.isEmpty():
         return Chain(names, {}, [np.zeros(1 + j) for j in range(len(names))])
@@ -155,12 +193,13 @@ def train(docs: DataFrame, labels: DataFrame, seeds: Mapping[str, Sequence[str]]
     vocabulary = {w.encode(): k for k, w in enumerate(words)}
     known = F.filter("terms", lambda t: t.isin(words)) if words else F.array().cast("array<string>")
     fold = F.floor(F.crc32(F.col("doc_id").cast("string")) / FOLDS) % FOLDS
-    table = rows.select("doc_id", fold.alias("fold"), known.alias("terms"), *names).toArrow().sort_by("doc_id")
+    table = rows.select("doc_id", "lang", fold.alias("fold"), known.alias("terms"), "label").toArrow().sort_by("doc_id")
     x = np.zeros((table.num_rows, len(words)))
     for k, own in enumerate(table.column("terms").to_pylist()):
         x[k, [vocabulary[t.encode()] for t in own]] = 1
-    labels_matrix = np.column_stack([table.column(c).to_numpy() for c in names])
-    return fit_chain(names, vocabulary, x, labels_matrix, table.column("fold").to_numpy())
+    toxic = table.column("label").to_numpy()
+    narrower = category_labels(x, toxic, np.array(table.column("lang").to_pylist(), dtype=object).astype(str))
+    return fit_chain(names, vocabulary, x, np.column_stack([narrower, toxic]), table.column("fold").to_numpy())
 
 
 def category_scores(chain: Chain, text: Column) -> Column:

@@ -156,6 +156,25 @@ def test_toxicity_recall_by_language(spark):
     assert sum(r.toxic for r in rows if not r.label) <= 1
 
 
+def test_narrower_categories_come_from_the_sample(spark):
+    """Two kinds of toxic texts without any English word; each category finds one of them in each language."""
+    rng = random.Random(8)
+    kinds = {"fr": (["réeux", "réeau"], ["ouvil", "ouvain"]), "es": (["boco", "bome"], ["tonti", "tonta"])}
+    docs, labels = [], []
+    for lang, stems in kinds.items():
+        for i in range(400):
+            kind = (0 if i % 5 else 1) if i % 2 else None
+            words = [f"{lang}{rng.randrange(300)}" for _ in range(30)]
+            if kind is not None:
+                words[3:5] = stems[kind]
+            docs.append((len(docs), " ".join(words), lang, kind))
+            labels.append((len(labels), int(kind is not None)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, kind int")
+    scored = toxicity.score_toxicity(df, spark.createDataFrame(labels, "doc_id bigint, toxic int")).join(df, "doc_id")
+    for r in scored.where(quality.held_out(F.col("doc_id"))).collect():
+        assert (r.p_insult >= 0.5, r.p_contempt >= 0.5) == (r.kind == 0, r.kind == 1)
+
+
 def test_pipeline_applies_every_decision(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
