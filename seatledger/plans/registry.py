@@ -299,6 +299,14 @@ def cascade_delete_restaurant(db):
 # --- audits -------------------------------------------------------------------------------------
 
 
+def _table_status(db):
+    return changes.occupy_slots(generators.booked_days_grid(db.booking), db.open_state)
+
+
+def _past_bookings(db):
+    return billing.past_bookings(db.bookings_in("completed"), db.order_line, db.item, db.restaurant)
+
+
 @query
 def audit_primary_keys(db):
     line_key = F.concat_ws("/", "l_orderkey", "l_linenumber").alias("order_id")
@@ -306,12 +314,13 @@ def audit_primary_keys(db):
         "restaurant": db.restaurant, "rtable": db.rtable, "employee": db.employee, "member": db.member,
         "booking": db.booking, "item": db.item, "shift": db.shift,
         "order_line": db.raw("lineitem").select(line_key),
+        "time_slot": db.time_slot, "billing": db.billing, "program_log": lifecycle.audit_log(_outcomes(db)),
     })
 
 
 @query
 def audit_unique(db):
-    return audits.audit_unique({"member": db.member, "item": db.item})
+    return audits.audit_unique({"member": db.member, "item": db.item, "billing": db.billing})
 
 
 @query
@@ -319,8 +328,9 @@ def audit_foreign_keys(db):
     tables = {
         "restaurant": db.restaurant, "rtable": db.rtable, "employee": db.employee, "member": db.member,
         "time_slot": db.time_slot, "booking": db.booking, "booking_status": db.booking_status,
-        "order_line": db.order_line, "item": db.item, "menu": db.menu, "shift": db.shift,
-        "command": db.command,
+        "order_line": db.numbered_order_line, "item": db.item, "menu": db.menu, "shift": db.shift,
+        "command": db.command, "billing": db.billing, "table_status": _table_status(db),
+        "past_booking": _past_bookings(db),
     }
     commanded = (
         ForeignKey("command", "booking_id", "booking", "booking_id"),
@@ -335,7 +345,7 @@ def audit_not_null(db):
     method = F.when(F.col("booking_status") != "cancelled", F.col("booking_method"))
     return audits.audit_not_null({
         "rtable": db.rtable, "employee": db.employee, "booking_status": db.booking_status,
-        "booking": db.booking_state.withColumn("booking_method", method),
+        "booking": db.booking_state.withColumn("booking_method", method), "billing": db.billing,
     })
 
 
@@ -345,6 +355,7 @@ def audit_enum_domain(db):
     segments = db.raw("customer").select(F.col("c_mktsegment").alias("member_status"))
     return audits.audit_enum_domain({
         "member": segments, "employee": db.employee, "booking": db.booking, "booking_status": db.booking_status,
+        "billing": db.billing, "table_status": _table_status(db),
     })
 
 
@@ -353,6 +364,7 @@ def audit_type_bounds(db):
     return audits.audit_type_bounds({
         "restaurant": db.restaurant, "employee": db.employee, "member": db.member, "item": db.item,
         "past_booking": billing.booking_totals(db.booking, db.order_line, db.item, db.restaurant),
+        "billing": db.billing, "program_log": lifecycle.audit_log(_outcomes(db)),
     })
 
 

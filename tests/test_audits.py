@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from fixtures import DAY, frame, small_database
 from seatledger.operators import audits
+from seatledger.plans import registry
+from seatledger.sources.star_schema import StarSchema
 
 
 def found(df):
@@ -117,6 +119,21 @@ def test_billing_reconciliation(spark):
     }
 
 
+def test_registered_audits_read_the_bills(spark, sf_dir):
+    db = StarSchema(spark, sf_dir)
+    bill = "order_id long, total_amount decimal(12,2), payment_status string"
+    db.billing = spark.createDataFrame([(-1, Decimal("1.00"), "owed"), (-1, Decimal("100000000.00"), None)], bill)
+    for audit, want in {
+        registry.audit_primary_keys: {("primary_key", "billing", "-1", 2)},
+        registry.audit_unique: {("unique:order_id", "billing", "-1", 2)},
+        registry.audit_foreign_keys: {("foreign_key:order_id", "billing", "-1", 2)},
+        registry.audit_not_null: {("not_null:payment_status", "billing", "payment_status", 1)},
+        registry.audit_enum_domain: {("domain:payment_status", "billing", "owed", 1)},
+        registry.audit_type_bounds: {("bounds:total_amount", "billing", "total_amount", 1)},
+    }.items():
+        assert found(audit(db).where("table_name = 'billing'")) == want
+
+
 def test_nothing_to_report_on_a_clean_database(spark):
     tables = {k: v for k, v in small_database(spark).tables().items() if k != "time_slot"}
     for audit in (audits.audit_primary_keys, audits.audit_unique, audits.audit_foreign_keys,
