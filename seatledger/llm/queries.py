@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatledger.llm import chat, decontaminate, lines, mixing, near_dedup, quality, rules, substrings, token_files, toxicity
+from seatledger.llm import chat, decontaminate, lines, mixing, near_dedup, quality, rules, simhash, substrings, token_files, toxicity
 from seatledger.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,9 +83,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     own = (
         op1_quality_classifier, op2_line_dedup, op3_source_mixing, op4_benchmark_decontamination, op5_minhash_near_dedup,
-        op6_quality_rules, op7_chat_formatting, op8_toxicity, op9_token_files, op10_substring_dedup,
+        op6_quality_rules, op7_chat_formatting, op8_toxicity, op9_token_files, op10_substring_dedup, op13_simhash_near_dedup,
     )
     return {f.__name__: f for f in own}
