@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, with SQL where it can say the same."""
+"""The operators as queries over whole tables, with SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatledger.llm import chat, decontaminate, lines, mixing, near_dedup, quality, rules, simhash, substrings, token_files, toxicity
+from seatledger.llm import chat, decontaminate, hard_negatives, lines, mixing, near_dedup, quality, rules, simhash, substrings, token_files, toxicity
 from seatledger.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -90,6 +94,6 @@ def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     own = (
         op1_quality_classifier, op2_line_dedup, op3_source_mixing, op4_benchmark_decontamination, op5_minhash_near_dedup,
-        op6_quality_rules, op7_chat_formatting, op8_toxicity, op9_token_files, op10_substring_dedup, op13_simhash_near_dedup,
+        op6_quality_rules, op7_chat_formatting, op8_toxicity, op9_token_files, op10_substring_dedup, op12_hard_negatives, op13_simhash_near_dedup,
     )
     return {f.__name__: f for f in own}
