@@ -71,6 +71,36 @@ z AS (SELECT y.doc_id, string_agg(v, ' ' ORDER BY p) FILTER (WHERE x.p IS NULL)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN z USING (doc_id)"""
 
+#: CRC-32 of the decimal conv_id: byte by byte, each by eight shifts with the reflected polynomial.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::UBIGINT,
+    list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+    lambda r, b: list_reduce(list_prepend(xor(r, b), range(8)::UBIGINT[]),
+        lambda s, k: xor(s >> 1, CASE WHEN s % 2 = 1 THEN 3988292384 ELSE 0 END::UBIGINT))))"""
+
+_OP11 = rf"""
+WITH t AS (
+  SELECT conv_id AS c, struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS v,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list(v ORDER BY p) AS l FROM t GROUP BY c),
+h AS (SELECT c, l, c - c % 20 AS b, {_CRC32} % 4 AS h FROM o),
+r AS (SELECT h.c, list_concat(coalesce(list_slice(b.l, 1, h.h::BIGINT), []), list_slice(h.l, h.h::BIGINT + 1, len(h.l))) AS l
+      FROM h LEFT JOIN o b ON b.c = h.b),
+m AS (SELECT c, len(l) AS n, d, list_slice(l, 1, d) AS s FROM (SELECT c, l, unnest(range(len(l) + 1)) AS d FROM r)),
+k AS (
+  SELECT s, d, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256,
+         CASE WHEN d > 0 THEN len(regexp_extract_all(s[d].x, '[^ 	-]+')) ELSE 0 END AS w
+  FROM m GROUP BY s, d),
+e AS (SELECT s[1:d - 1] AS s, d - 1 AS d, count(*) AS n FROM k WHERE d > 0 GROUP BY ALL),
+f AS (SELECT k.*, coalesce(e.n, 0) AS n_children FROM k LEFT JOIN e USING (s, d)),
+g AS (
+  SELECT a.s, a.d, count(*) FILTER (WHERE z.n_children = 0) AS n_leaves, sum((z.n_convs - 1) * z.w)::BIGINT AS saved_tokens
+  FROM (SELECT n_convs, n_children, w, s AS whole, unnest(range(d + 1)) AS d FROM f) z
+  JOIN f a ON a.d = z.d AND a.s = list_slice(z.whole, 1, z.d) GROUP BY a.s, a.d)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, g.n_leaves, g.saved_tokens, f.ends_sha256
+FROM f JOIN g USING (s, d) LEFT JOIN f p ON p.d = f.d - 1 AND p.s = f.s[1:f.d - 1]"""
+
 _OP12 = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -99,5 +129,6 @@ def llm_oracles() -> dict[str, str]:
         "op5_minhash_near_dedup": _OP5,
         "op7_chat_formatting": _OP7,
         "op10_substring_dedup": _OP10,
+        "op11_prefix_trie": _OP11,
         "op12_hard_negatives": _OP12,
     }

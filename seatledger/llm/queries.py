@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatledger.llm import chat, decontaminate, hard_negatives, lines, mixing, near_dedup, quality, rules, simhash, substrings, token_files, toxicity
+from seatledger.llm import chat, decontaminate, hard_negatives, lines, mixing, near_dedup, prefix_trie, quality, rules, simhash, substrings, token_files, toxicity
 from seatledger.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+    named = nodes.join(prefix_trie.end_digests(ends), ["conv_id", "depth"], "left")
+    return named.withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -94,6 +100,6 @@ def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     own = (
         op1_quality_classifier, op2_line_dedup, op3_source_mixing, op4_benchmark_decontamination, op5_minhash_near_dedup,
-        op6_quality_rules, op7_chat_formatting, op8_toxicity, op9_token_files, op10_substring_dedup, op12_hard_negatives, op13_simhash_near_dedup,
+        op6_quality_rules, op7_chat_formatting, op8_toxicity, op9_token_files, op10_substring_dedup, op11_prefix_trie, op12_hard_negatives, op13_simhash_near_dedup,
     )
     return {f.__name__: f for f in own}
