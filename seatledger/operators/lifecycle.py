@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from seatledger.functions.expressions import COMMANDS, log_message
 from seatledger.operators.availability import find_available_table
 from seatledger.operators.ordering import SEGMENT, ordered_segments, row_number_within
+from seatledger.operators.replay import CARRIED, NONE, STATES, prefix_maps, run, segment_starts
 
 OPEN = ("scheduled", "ongoing")
 
@@ -210,30 +212,6 @@ def audit_log(outcomes: DataFrame) -> DataFrame:
 
 # --- replay in order ---------------------------------------------------------------------
 
-STATES = ("none", "scheduled", "ongoing", "completed", "cancelled")
-NONE, SCHEDULED, ONGOING, COMPLETED, CANCELLED = range(5)
-NEW, IN, ORDER, OUT, CANCEL = range(5)
-
-# NEXT_STATE[command][state]: the state machine, commands and states by position above.
-NEXT_STATE = (
-    (SCHEDULED, SCHEDULED, ONGOING, SCHEDULED, SCHEDULED),
-    (NONE, ONGOING, ONGOING, COMPLETED, CANCELLED),
-    (NONE, SCHEDULED, ONGOING, COMPLETED, CANCELLED),
-    (NONE, SCHEDULED, COMPLETED, COMPLETED, CANCELLED),
-    (NONE, CANCELLED, ONGOING, COMPLETED, CANCELLED),
-)
-# Codes from here on are carried-over states, not commands: code - CARRIED is the state.
-CARRIED = len(COMMANDS)
-
-
-def step(code: int, command_id: int, state: int, booking: int | None) -> tuple[int, int | None]:
-    """State and current booking after one command; a confirmed booking takes the command's id."""
-    if code >= CARRIED:
-        return code - CARRIED, command_id
-    after = NEXT_STATE[code][state]
-    return after, command_id if code == NEW and after != state else booking
-
-
 def replay_outcome(command: Column, before: Column) -> Column:
     """Outcome of a command in a state."""
     open_state = before.isin(*OPEN)
@@ -260,50 +238,34 @@ def _state_name(code: Column) -> Column:
     return F.element_at(F.array(*[F.lit(s) for s in STATES]), code + 1)
 
 
-def _ints(batch: pa.RecordBatch, name: str) -> list[int | None]:
-    """An integer column as a list; numpy is the fast way unless there are NULLs."""
-    column = batch.column(batch.schema.get_field_index(name))
-    if column.null_count == len(column):
-        return [None] * len(column)
-    return column.to_pylist() if column.null_count else column.to_numpy().tolist()
-
-
 _ENTERING = pa.schema([
     ("member_id", pa.int64()), (SEGMENT, pa.int32()), ("enter_state", pa.int32()), ("enter_booking", pa.int64()),
 ])
 _EFFECT = "member_id bigint, segment_id int, states array<int>, bookings array<bigint>"
 
 
+def _numbers(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """An integer column with zeros for NULLs, and where it has a value."""
+    column = batch.column(batch.schema.get_field_index(name)).cast(pa.int64())
+    return column.fill_null(0).to_numpy(), column.is_valid().to_numpy(zero_copy_only=False)
+
+
+def _nullable(values: np.ndarray, known: np.ndarray) -> pa.Array:
+    return pa.array(values, pa.int64(), mask=~known)
+
+
 def _piece_effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What each (member, segment) piece does to a member entering it in each possible state.
 
-    The five entry states soon lead to the same state, so only distinct ones are followed.
+    A piece may go on over several batches: the states and bookings it has reached from
+    each entry state are carried along.
     """
-    piece, runs, follows, out = None, [], [], []
+    every = np.arange(len(STATES))
+    piece, states, bookings, known = None, every, np.zeros(len(every), np.int64), np.zeros(len(every), bool)
 
-    def effect() -> tuple:
-        ends = [runs[k] for k in follows]
-        return (*piece, [state for state, _ in ends], [booking for _, booking in ends])
-
-    for batch in batches:
-        for member, segment, code, command in zip(
-            *(_ints(batch, c) for c in ("member_id", SEGMENT, "code", "command_id"))
-        ):
-            if piece != (member, segment):
-                if piece is not None:
-                    out.append(effect())
-                piece = (member, segment)
-                runs, follows = [(s, None) for s in range(len(STATES))], list(range(len(STATES)))
-            runs = [step(code, command, state, booking) for state, booking in runs]
-            if len(runs) > 1 and len(set(runs)) < len(runs):
-                distinct = list(dict.fromkeys(runs))
-                follows = [distinct.index(runs[k]) for k in follows]
-                runs = distinct
-    if piece is not None:
-        out.append(effect())
-    if out:
-        members, segments, ends, ids = zip(*out)
-        yield pa.RecordBatch.from_arrays(
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        members, segments, ends, ids = zip(*rows)
+        return pa.RecordBatch.from_arrays(
             [
                 pa.array(members, pa.int64()), pa.array(segments, pa.int32()),
                 pa.array(ends, pa.list_(pa.int32())), pa.array(ids, pa.list_(pa.int64())),
@@ -311,6 +273,38 @@ def _piece_effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             names=["member_id", "segment_id", "states", "bookings"],
         )
 
+    def effect() -> tuple:
+        return (*piece, states.tolist(), [int(b) if k else None for b, k in zip(bookings, known)])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        (member, _), (segment, _), (code, _), command = (
+            _numbers(batch, c) for c in ("member_id", SEGMENT, "code", "command_id")
+        )
+        first = np.ones(len(code), bool)
+        first[1:] = (member[1:] != member[:-1]) | (segment[1:] != segment[:-1])
+        starts = segment_starts(first)
+        maps = prefix_maps(code, starts)
+        nothing = np.zeros(len(code), np.int64), np.zeros(len(code), bool)
+        reached = [run(code, command, starts, maps, np.full(len(code), s), nothing)[1:] for s in every]
+        out = []
+        for end in np.flatnonzero(np.append(first[1:], True)):
+            here = int(member[end]), int(segment[end])
+            if here != piece:
+                if piece is not None:
+                    out.append(effect())
+                piece, states, bookings, known = here, every, np.zeros(len(every), np.int64), np.zeros(len(every), bool)
+            # The piece's part in this batch, entered in the state that each entry has led to.
+            own = [reached[s] for s in states]
+            bookings = np.array([b[end] if k[end] else old for (_, (b, k)), old in zip(own, bookings)])
+            known = np.array([k[end] or old for (_, (_, k)), old in zip(own, known)])
+            states = np.array([after[end] for after, _ in own])
+        if out:
+            yield table(out)
+    if piece is not None:
+        yield table([effect()])
+
 
 def _entering(pieces: pa.Table) -> pa.Table:
     """State in which one member enters each of its pieces; one row per piece."""
@@ -329,24 +323,32 @@ def _entering(pieces: pa.Table) -> pa.Table:
 def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Run the state machine over rows sorted by member and order.
 
-    A command without a member matches no booking, so each one starts afresh.
+    A command without a member matches no booking, so each one starts afresh. A member
+    that goes on in the next batch takes its last state and booking along.
     """
-    unseen = object()
-    current, state, booking = unseen, NONE, None
+    current, state, booking = None, NONE, (0, False)
     for batch in batches:
-        before, after, owner = [], [], []
-        columns = [_ints(batch, c) for c in ("member_id", "code", "command_id", "enter_state", "enter_booking")]
-        for member, code, command, enter, carried in zip(*columns):
-            if member is None or current is unseen or member != current:
-                current, state, booking = member, NONE if enter is None else enter, carried
-            before.append(state)
-            state, booking = step(code, command, state, booking)
-            after.append(state)
-            owner.append(booking)
+        if not batch.num_rows:
+            continue
+        (member, named), (code, _), command, (enter, _), (carried, holds) = (
+            _numbers(batch, c) for c in ("member_id", "code", "command_id", "enter_state", "enter_booking")
+        )
+        first = ~named
+        first[0] = True
+        first[1:] |= member[1:] != member[:-1]
+        first[1:] |= ~named[:-1]
+        starts = segment_starts(first)
+        entering, number, known = enter[starts], carried[starts], holds[starts]
+        if named[0] and current == member[0]:
+            goes_on = starts == 0
+            entering[goes_on], number[goes_on], known[goes_on] = state, *booking
+        before, after, (owner, owned) = run(code, command, starts, prefix_maps(code, starts), entering, (number, known))
+        current = member[-1] if named[-1] else None
+        state, booking = after[-1], (owner[-1], owned[-1])
         yield pa.RecordBatch.from_arrays(
             [
-                *batch.columns, pa.array(before, pa.int32()), pa.array(after, pa.int32()),
-                pa.array(owner, pa.int64()),
+                *batch.columns, pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32)),
+                _nullable(owner, owned),
             ],
             names=[*batch.schema.names, "before", "after", "booking_id"],
         )
