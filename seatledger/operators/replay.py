@@ -24,7 +24,27 @@ NEXT_STATE = (
 )
 # Codes from here on are carried-over states, not commands: code - CARRIED is the state.
 CARRIED = len(NEXT_STATE)
-_MAPS = np.array([*NEXT_STATE, *([state] * len(STATES) for state in range(len(STATES)))], np.int8)
+
+
+def _closure() -> tuple[np.ndarray, np.ndarray]:
+    """All maps that commands can compose to, the ten single ones first, and their products.
+
+    There are few: every command sequence acts as one of them, so a map is a small number
+    and composing two is one look-up.
+    """
+    maps = [*NEXT_STATE, *((state,) * len(STATES) for state in range(len(STATES)))]
+    known = {m: k for k, m in reversed([*enumerate(maps)])}
+    for m in maps:
+        for generator in NEXT_STATE:
+            longer = tuple(generator[s] for s in m)
+            if longer not in known:
+                known[longer] = len(maps)
+                maps.append(longer)
+    product = [[known[tuple(then[s] for s in m)] for then in maps] for m in maps]
+    return np.array(maps, np.int8), np.array(product, np.int16)
+
+
+MAPS, THEN = _closure()
 
 #: Booking ids as numbers beside a mask of where there is one.
 Bookings = tuple[np.ndarray, np.ndarray]
@@ -36,12 +56,12 @@ def segment_starts(first: np.ndarray) -> np.ndarray:
 
 
 def prefix_maps(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Map (n, 5) of all commands of a row's segment up to and including the row."""
-    maps = _MAPS[codes]
+    """Number of the map of all commands of a row's segment up to and including the row."""
+    maps = codes.astype(np.int16)
     behind = np.arange(len(codes)) - starts
     step, rows = 1, np.flatnonzero(behind >= 1)
     while len(rows):
-        maps[rows] = np.take_along_axis(maps[rows], maps[rows - step], axis=1)
+        maps[rows] = THEN[maps[rows - step], maps[rows]]
         step *= 2
         rows = rows[behind[rows] >= step]
     return maps
@@ -57,7 +77,7 @@ def run(
     carried-over state brings its booking, or none, as its id.
     """
     rows = np.arange(len(codes))
-    after = maps[rows, entering]
+    after = MAPS[maps, entering]
     before = np.where(rows == starts, entering, np.roll(after, 1)).astype(np.int8)
     confirmed = ((codes == NEW) & (after != before)) | (codes >= CARRIED)
     latest = np.maximum.accumulate(np.where(confirmed, rows, -1))
