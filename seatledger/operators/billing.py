@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatledger.functions.expressions import from_cents, tax_amount, to_cents
@@ -42,17 +42,23 @@ def booking_price(bookings: DataFrame, order_lines: DataFrame, items: DataFrame)
     return bookings.select("booking_id").join(line_sums(order_lines, items), "booking_id", "left")
 
 
-def with_totals(prices: DataFrame, restaurants: DataFrame) -> DataFrame:
+def total_columns(taxed: DataFrame, *further: Column) -> DataFrame:
     """Tax rounded to cents, then price plus the rounded tax; NULL price stays NULL."""
     tax = tax_amount(F.col("price"), F.col("tax"))
-    return prices.join(restaurants.select("restaurant_id", "tax"), "restaurant_id", "left").select(
+    return taxed.select(
         "booking_id",
         F.col("price").alias("total_price"),
         tax.alias("total_tax"),
         (F.col("price") + tax).cast("decimal(18,2)").alias("total_price_after_tax"),
+        *further,
     )
 
 
+def with_totals(prices: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Totals of priced bookings with the tax of their restaurant."""
+    return total_columns(prices.join(restaurants.select("restaurant_id", "tax"), "restaurant_id", "left"))
+
+
 def booking_totals(
     bookings: DataFrame, order_lines: DataFrame, items: DataFrame, restaurants: DataFrame
 ) -> DataFrame:

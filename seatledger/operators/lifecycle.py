@@ -227,14 +227,14 @@ def replay_outcome(command: Column, before: Column) -> Column:
     )
 
 
-def _code(command: Column) -> Column:
+def command_code(command: Column) -> Column:
     expr = None
     for i, name in enumerate(COMMANDS):
         expr = F.when(command == name, i) if expr is None else expr.when(command == name, i)
     return expr.cast("int")
 
 
-def _state_name(code: Column) -> Column:
+def state_name(code: Column) -> Column:
     return F.element_at(F.array(*[F.lit(s) for s in STATES]), code + 1)
 
 
@@ -368,7 +368,7 @@ def lifecycle_replay(
     after which all partitions replay independently.
     """
     steps = commands.where(F.col("command").isin(*COMMANDS)).select(
-        "member_id", "ts", "command_id", "command", _code(F.col("command")).alias("code")
+        "member_id", "ts", "command_id", "command", command_code(F.col("command")).alias("code")
     )
     if carried is not None:
         number = F.array_position(F.array(*[F.lit(s) for s in STATES]), F.col("status")) - 1
@@ -402,14 +402,14 @@ def lifecycle_replay(
         .select("member_id", "ts", "command_id", "command", "code", "enter_state", "enter_booking")
     )
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in replayed.schema.fields)
-    before = _state_name(F.col("before"))
+    before = state_name(F.col("before"))
     return (
         replayed.mapInArrow(_replay, f"{schema}, before int, after int, booking_id bigint")
         .where(F.col("code") < CARRIED)
         .select(
             "command_id", "ts", "member_id", "command", "booking_id",
             before.alias("status_before"),
-            _state_name(F.col("after")).alias("status_after"),
+            state_name(F.col("after")).alias("status_after"),
             replay_outcome(F.col("command"), before).alias("outcome"),
         )
     )

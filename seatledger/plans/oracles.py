@@ -458,7 +458,15 @@ def oracles() -> dict[str, str]:
     money = f"restaurant item {_BK} order_line price totals"
     q["booking_totals"] = _sql(money, totals)
     q["past_bookings"] = _sql(money, totals + " WHERE booking_status = 'completed'")
-    q["stream_settlement"] = q["past_bookings"]
+    q["stream_settlement"] = _sql(money, """
+        SELECT booking_id, total_price, total_tax, total_price_after_tax,
+               (SELECT count(*) FROM order_line o WHERE o.booking_id = totals.booking_id) AS bills
+        FROM totals WHERE booking_status = 'completed'""")
+    q["stream_paid_bills"] = _sql(f"item {_BK} order_line", """
+        SELECT booking_id, item_id, quantity, CAST(price * quantity AS DECIMAL(18,2)) AS total_amount,
+               'paid' AS payment_status
+        FROM order_line JOIN item USING (item_id) JOIN booking USING (booking_id)
+        WHERE booking_status = 'completed'""")
     bill = f"item {_BK} numbered_line billing"
     q["billing_from_orders"] = _sql(
         bill, "SELECT order_id, booking_id, total_amount, 'pending' AS payment_status FROM billing")

@@ -17,6 +17,7 @@ from seatledger.session import scratch_path
 from seatledger.sources import generators
 from seatledger.sources.star_schema import LINE_ORDER, StarSchema
 from seatledger.streaming import jobs
+from seatledger.streaming import lifecycle as keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -415,9 +416,12 @@ def _stream(db, table: str) -> DataFrame:
 
 @query
 def stream_lifecycle(db):
-    commands = db.commands_of(_stream(db, "events"))
-    decided = jobs.stream_lifecycle(commands, scratch_path(db.spark, "stream-lifecycle"))
-    return _plain_ts(decided.drop("batch_id"), "ts")
+    """Commands over several micro-batches, some of them delivered twice."""
+    landed = jobs.deliver(
+        db.command.select("command_id", "ts", "member_id", "command"), scratch_path(db.spark, "commands"), "ts", {}
+    )
+    decided = keyed.stream_lifecycle(landed)
+    return _plain_ts(jobs.run_to_table(decided, scratch_path(db.spark, "stream-lifecycle")), "ts")
 
 
 @query
@@ -426,19 +430,36 @@ def stream_billing(db):
     return jobs.run_to_table(billed, scratch_path(db.spark, "stream-billing"))
 
 
-def _delivered_twice(db, table: str) -> DataFrame:
-    """The table as a stream of four micro-batches, every row delivered in two of them."""
-    folder = scratch_path(db.spark, f"delivered-{table}")
-    for _ in range(2):
-        db.raw(table).repartition(2).write.mode("append").parquet(folder)
-    return jobs.file_stream(db.spark, folder, files_per_trigger=1)
+def _settling(db) -> tuple[DataFrame, DataFrame]:
+    """Check-outs, some delivered twice, and order lines, each once, as streams in event time.
+
+    The source dates bookings by day: orders are placed half an hour after a booking's
+    start, check-outs come in its last minutes, before midnight at the latest.
+    """
+    hour = F.make_dt_interval(hours=F.col("start_time_slot") + 9, mins=F.lit(30))
+    closes = F.make_dt_interval(hours=F.least(F.col("start_time_slot") + F.col("booking_duration") + 8, F.lit(23)), mins=F.lit(59))
+    state = db.booking_state
+    ended = state.where(F.col("booking_status") == "completed").select(
+        "booking_id", "restaurant_id", "booking_status", (F.col("booking_created") + closes).alias("completed_at")
+    )
+    ordered = db.order_line.join(state.select("booking_id", (F.col("booking_created") + hour).alias("order_time")), "booking_id")
+    beat = {"booking_id": -1, "restaurant_id": -1, "item_id": -1, "booking_status": "completed"}
+    return (
+        jobs.deliver(ended, scratch_path(db.spark, "check-outs"), "completed_at", beat),
+        jobs.deliver(ordered, scratch_path(db.spark, "orders"), "order_time", beat, again=0),
+    )
 
 
 @query
 def stream_settlement(db):
-    completed = db.states_of(_delivered_twice(db, "orders")).where(F.col("booking_status") == "completed")
-    path = scratch_path(db.spark, "stream-settlement")
-    return jobs.settle_stream(completed, path, db.order_line, db.item, db.restaurant)
+    totals = jobs.stream_settlement(*_settling(db), db.item, db.restaurant)
+    return jobs.run_to_table(totals, scratch_path(db.spark, "stream-settlement")).where(F.col("booking_id") >= 0)
+
+
+@query
+def stream_paid_bills(db):
+    paid = jobs.stream_paid_bills(*_settling(db), db.item)
+    return jobs.run_to_table(paid, scratch_path(db.spark, "stream-bills")).where(F.col("booking_id") >= 0)
 
 
 @query

@@ -6,32 +6,13 @@ in the shared folder, so it can be restarted after a loss and picks up where it
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from seatledger.functions.expressions import from_cents, to_cents
 from seatledger.operators import billing as bills
-from seatledger.operators.lifecycle import final_states, lifecycle_replay
-
-MEMBER_STATE = T.StructType([
-    T.StructField("member_id", T.LongType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("booking_id", T.LongType()),
-])
-DECIDED = T.StructType([
-    T.StructField("command_id", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("member_id", T.LongType()),
-    T.StructField("command", T.StringType()),
-    T.StructField("booking_id", T.LongType()),
-    T.StructField("status_before", T.StringType()),
-    T.StructField("status_after", T.StringType()),
-    T.StructField("outcome", T.StringType()),
-])
-
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """A parquet table, one file or a folder of files, as a stream with the schema it carries."""
@@ -53,68 +34,37 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFram
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def run_batches(stream: DataFrame, path: str, write: Callable[[DataFrame, int], None]) -> None:
-    """Process what is available with ``write(batch, batch_id)``."""
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{path}.checkpoint").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-
-
-# --- T1 ------------------------------------------------------------------------------------
-
-
-def _latest_states(spark: SparkSession, path: str, batch_id: int, compact_every: int) -> DataFrame | None:
-    """Member states before a batch: the last full snapshot and the deltas written since."""
-    snapshot = batch_id // compact_every * compact_every - 1
-    parts = [(i, f"{path}/delta/batch_id={i}") for i in range(max(snapshot, 0), batch_id) if i > snapshot]
-    if snapshot >= 0:
-        parts.insert(0, (snapshot, f"{path}/snapshot/batch_id={snapshot}"))
-    if not parts:
-        return None
-    versions = [
-        spark.read.schema(MEMBER_STATE).parquet(folder).withColumn("version", F.lit(i)) for i, folder in parts
-    ]
-    latest = F.max(F.struct("version", "status", "booking_id")).alias("s")
-    return reduce(DataFrame.unionByName, versions).groupBy("member_id").agg(latest).select(
-        "member_id", F.col("s.status").alias("status"), F.col("s.booking_id").alias("booking_id")
-    )
-
-
-def stream_lifecycle(commands: DataFrame, path: str, compact_every: int = 20) -> DataFrame:
-    """Lifecycle decisions over a command stream, the members' states kept between batches.
-
-    Each micro-batch is a :func:`lifecycle_replay` that continues from the stored states of
-    the members it mentions. A keyed stateful operator would sort a member's commands in one
-    task; the replay cuts a busy member into pieces, so micro-batches may be large. A batch
-    stores the states it changed, every ``compact_every``-th all of them, under its own id,
-    so a repeated batch rewrites the same folders.
+def deliver(
+    df: DataFrame, path: str, time_column: str, heartbeat: dict[str, object], parts: int = 3, files: int = 4,
+    again: float = 0.25, quiet: timedelta = timedelta(days=2),
+) -> DataFrame:
+    """Land a table as files in ``parts`` steps of ascending time and return them as a stream.
 
-    Commands are ordered inside a micro-batch: one that arrives in a later batch is judged
-    then. Table scarcity is the batch allocator's concern.
+    Every step but the first also brings the last ``again`` of the step before a second
+    time, and a last one a single row, ``quiet`` after the latest time, with the values of
+    ``heartbeat``: with it the watermark passes all rows. Files land before this returns;
+    a micro-batch takes the files of one step.
     """
-    spark = commands.sparkSession
-    states = f"{path}/states"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        known = _latest_states(session, states, batch_id, compact_every)
-        mentioned = None if known is None else known.join(batch, "member_id", "left_semi")
-        decided = f"{path}/decided/batch_id={batch_id}"
-        lifecycle_replay(batch, carried=mentioned).write.mode("overwrite").parquet(decided)
-        changed = final_states(session.read.schema(DECIDED).parquet(decided)).select(*MEMBER_STATE.names)
-        changed.write.mode("overwrite").parquet(f"{states}/delta/batch_id={batch_id}")
-        if (batch_id + 1) % compact_every == 0:
-            delta = session.read.schema(MEMBER_STATE).parquet(f"{states}/delta/batch_id={batch_id}")
-            kept = known.join(delta, "member_id", "left_anti").unionByName(delta) if known is not None else delta
-            kept.write.mode("overwrite").parquet(f"{states}/snapshot/batch_id={batch_id}")
-
-    run_batches(commands, path, write)
-    return spark.read.schema(DECIDED).parquet(f"{path}/decided")
-
-
-# --- T2-T5 ---------------------------------------------------------------------------------
+    micros = F.unix_micros(F.col(time_column))
+    shares = F.percentile_approx(micros, [k / parts for k in range(parts + 1)], 1000)
+    cuts = df.agg(shares).first()[0]
+    if cuts:
+        before = cuts[0]
+        for lo, hi in zip(cuts, cuts[1:]):
+            since = lo - int(again * (lo - before)) if lo > before else cuts[0] - 1
+            before = lo
+            df.where((micros > since) & (micros <= hi)).repartition(files).write.mode("append").parquet(path)
+        beat = df.agg((F.max(time_column) + F.lit(quiet)).alias("_at")).select(*(
+            F.col("_at").alias(f.name) if f.name == time_column else F.lit(heartbeat.get(f.name)).cast(f.dataType).alias(f.name)
+            for f in df.schema.fields
+        ))
+        beat.write.mode("append").parquet(path)
+    else:
+        df.write.mode("append").parquet(path)
+    return file_stream(df.sparkSession, path, files)
+
+
+# --- jobs ----------------------------------------------------------------------------------
 
 
 def stream_billing(order_lines: DataFrame, items: DataFrame) -> DataFrame:
@@ -124,33 +74,55 @@ def stream_billing(order_lines: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def settle_stream(
-    completed: DataFrame, path: str, order_lines: DataFrame, items: DataFrame, restaurants: DataFrame
-) -> DataFrame:
-    """Totals and paid bills per micro-batch of check-outs; returns the totals.
+def _checked_out(completed: DataFrame, delay: str) -> DataFrame:
+    """First completion of every booking with the day it falls on.
 
-    A booking settles once: only its first completion passes, however often and in however
-    many files it is delivered. A stream that carries ``status_before`` settles on the step
-    from ongoing alone. Each batch prices its bookings' lines once, into its own folders, and
-    sums the written bills; a repeated batch overwrites them and changes nothing.
+    A stream that carries ``status_before`` settles on the step from ongoing alone.
     """
-    spark = completed.sparkSession
     done = completed.where(F.col("booking_status") == "completed")
     if "status_before" in completed.columns:
         done = done.where(F.col("status_before") == "ongoing")
-    once = done.select("booking_id", "restaurant_id").dropDuplicates(["booking_id"])
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        session, folder = batch.sparkSession, f"{path}/paid/batch_id={batch_id}"
-        own_lines = order_lines.join(batch.select("booking_id"), "booking_id", "left_semi")
-        paid = bills.priced_lines(own_lines, items).drop("price", "quantity").withColumn("payment_status", F.lit("paid"))
-        paid.write.mode("overwrite").parquet(folder)
-        sums = bills.bill_sums(session.read.schema(paid.schema).parquet(folder))
-        totals = bills.with_totals(batch.join(sums, "booking_id", "left"), restaurants)
-        totals.write.mode("overwrite").parquet(f"{path}/past/batch_id={batch_id}")
-
-    run_batches(once, path, write)
-    return spark.read.parquet(f"{path}/past").drop("batch_id")
+    once = done.select("booking_id", "restaurant_id", "completed_at").withWatermark("completed_at", delay)
+    return once.dropDuplicatesWithinWatermark(["booking_id"]).select(
+        "booking_id", "restaurant_id", F.window("completed_at", "1 day").alias("day")
+    )
+
+
+def stream_settlement(
+    completed: DataFrame, order_lines: DataFrame, items: DataFrame, restaurants: DataFrame, delay: str = "1 hour"
+) -> DataFrame:
+    """Price, tax, total and number of bills of each booking as it is checked out.
+
+    ``completed`` (booking_id, restaurant_id, booking_status, completed_at) and
+    ``order_lines`` (booking_id, item_id, quantity, order_time) are streams; a booking's
+    orders and its check-out lie on one day. Lines are summed for each booking and day as
+    they arrive, before any shuffle within a task, and the sums meet the check-outs in a
+    stream-stream join on booking and day. State holds the open days only: a sum, a
+    check-out and a duplicate's mark all go once the watermark has closed their day. No
+    batch reads lines of an earlier one. A booking settles once, however often and in
+    however many batches its completion is delivered, and one without orders has NULL
+    totals and no bills.
+    """
+    dated = order_lines.withWatermark("order_time", delay)
+    cents = items.select("item_id", to_cents(F.col("price")).alias("_cents"))
+    daily = (
+        dated.join(cents, "item_id")
+        .groupBy(F.window("order_time", "1 day").alias("day"), "booking_id")
+        .agg(F.sum(F.col("_cents") * F.col("quantity")).alias("_sum"), F.count(F.lit(1)).alias("bills"))
+    )
+    met = _checked_out(completed, delay).join(daily, ["day", "booking_id"], "left_outer")
+    priced = met.withColumn("price", from_cents(F.col("_sum"))).select("booking_id", "restaurant_id", "price", "bills")
+    taxed = priced.join(restaurants.select("restaurant_id", "tax"), "restaurant_id", "left")
+    return bills.total_columns(taxed, F.coalesce("bills", F.lit(0)).cast("bigint").alias("bills"))
+
+
+def stream_paid_bills(completed: DataFrame, order_lines: DataFrame, items: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """The bills that check-outs pay, each once, by a stream-stream join on booking and day."""
+    dated = order_lines.withWatermark("order_time", delay).withColumn("day", F.window("order_time", "1 day"))
+    met = dated.join(_checked_out(completed, delay).select("day", "booking_id"), ["day", "booking_id"])
+    return bills.priced_lines(met, items).select(
+        "booking_id", "item_id", "quantity", "total_amount", F.lit("paid").alias("payment_status")
+    )
 
 
 def demand_tumbling(commands: DataFrame, size: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
