@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from seatledger.functions.expressions import from_cents, to_cents
 from seatledger.operators import billing as bills
+from seatledger.session import use_rocksdb
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """A parquet table, one file or a folder of files, as a stream with the schema it carries."""
@@ -35,32 +36,32 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFram
 
 
 def deliver(
-    df: DataFrame, path: str, time_column: str, heartbeat: dict[str, object], parts: int = 3, files: int = 4,
+    df: DataFrame, path: str, time_column: str, heartbeat: dict[str, object], parts: int = 2, files: int = 4,
     again: float = 0.25, quiet: timedelta = timedelta(days=2),
 ) -> DataFrame:
     """Land a table as files in ``parts`` steps of ascending time and return them as a stream.
 
     Every step but the first also brings the last ``again`` of the step before a second
-    time, and a last one a single row, ``quiet`` after the latest time, with the values of
-    ``heartbeat``: with it the watermark passes all rows. Files land before this returns;
-    a micro-batch takes the files of one step.
+    time; the last one ends with a row, ``quiet`` after the latest time, with the values of
+    ``heartbeat``: with it the watermark passes all rows. All files land before this
+    returns; a micro-batch takes the files of one step.
     """
     micros = F.unix_micros(F.col(time_column))
-    shares = F.percentile_approx(micros, [k / parts for k in range(parts + 1)], 1000)
-    cuts = df.agg(shares).first()[0]
-    if cuts:
-        before = cuts[0]
-        for lo, hi in zip(cuts, cuts[1:]):
-            since = lo - int(again * (lo - before)) if lo > before else cuts[0] - 1
-            before = lo
-            df.where((micros > since) & (micros <= hi)).repartition(files).write.mode("append").parquet(path)
-        beat = df.agg((F.max(time_column) + F.lit(quiet)).alias("_at")).select(*(
-            F.col("_at").alias(f.name) if f.name == time_column else F.lit(heartbeat.get(f.name)).cast(f.dataType).alias(f.name)
-            for f in df.schema.fields
-        ))
-        beat.write.mode("append").parquet(path)
-    else:
+    cuts = df.agg(F.percentile_approx(micros, [k / parts for k in range(parts + 1)], 1000)).first()[0]
+    if not cuts:
         df.write.mode("append").parquet(path)
+        return file_stream(df.sparkSession, path, files)
+    beat = df.agg((F.max(time_column) + F.lit(quiet)).alias("_at")).select(*(
+        F.col("_at").alias(f.name) if f.name == time_column else F.lit(heartbeat.get(f.name)).cast(f.dataType).alias(f.name)
+        for f in df.schema.fields
+    ))
+    since = cuts[0] - 1
+    for step, (lo, hi) in enumerate(zip(cuts, cuts[1:]), start=1):
+        rows = df.where((micros > since) & (micros <= hi))
+        if step == parts:
+            rows = rows.unionByName(beat)
+        rows.repartition(files).write.mode("append").parquet(path)
+        since = hi - int(again * (hi - lo))
     return file_stream(df.sparkSession, path, files)
 
 
@@ -103,6 +104,7 @@ def stream_settlement(
     however many batches its completion is delivered, and one without orders has NULL
     totals and no bills.
     """
+    use_rocksdb(order_lines.sparkSession)
     dated = order_lines.withWatermark("order_time", delay)
     cents = items.select("item_id", to_cents(F.col("price")).alias("_cents"))
     daily = (
@@ -118,6 +120,7 @@ def stream_settlement(
 
 def stream_paid_bills(completed: DataFrame, order_lines: DataFrame, items: DataFrame, delay: str = "1 hour") -> DataFrame:
     """The bills that check-outs pay, each once, by a stream-stream join on booking and day."""
+    use_rocksdb(order_lines.sparkSession)
     dated = order_lines.withWatermark("order_time", delay).withColumn("day", F.window("order_time", "1 day"))
     met = dated.join(_checked_out(completed, delay).select("day", "booking_id"), ["day", "booking_id"])
     return bills.priced_lines(met, items).select(
