@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatledger.functions.expressions import SLOTS_PER_DAY
+from seatledger.operators.graph import components
 from seatledger.operators.ordering import SEGMENT, ordered_segments
 
 
@@ -85,48 +86,55 @@ def assign_staff_snapshot(
 
 # --- ordered assignment ------------------------------------------------------------------
 
-_LOADS = "array<struct<employee_id: bigint, first_slot: int, load: bigint>>"
-_OUT = f"restaurant_id bigint, segment_id int, booking_id bigint, employee_id bigint, loads {_LOADS}"
+# A desk is a restaurant, or all restaurants that shared employees tie together.
+_ENTRY = pa.struct([
+    ("restaurant_id", pa.int64()), ("employee_id", pa.int64()), ("first_slot", pa.int32()), ("load", pa.int64()),
+])
+_LOADS = "array<struct<restaurant_id: bigint, employee_id: bigint, first_slot: int, load: bigint>>"
+_OUT = f"desk bigint, segment_id int, booking_id bigint, employee_id bigint, loads {_LOADS}"
 _OUT_ARROW = pa.schema([
-    ("restaurant_id", pa.int64()),
-    ("segment_id", pa.int32()),
-    ("booking_id", pa.int64()),
-    ("employee_id", pa.int64()),
-    ("loads", pa.list_(pa.struct([
-        ("employee_id", pa.int64()), ("first_slot", pa.int32()), ("load", pa.int64()),
-    ]))),
+    ("desk", pa.int64()), ("segment_id", pa.int32()), ("booking_id", pa.int64()), ("employee_id", pa.int64()),
+    ("loads", pa.list_(_ENTRY)),
 ])
 
 
 class _Desk:
-    """Loads of one restaurant, a heap of (load, employee) per first slot."""
+    """Loads of a desk's employees, with a heap of (load, employee) for each restaurant and first slot.
+
+    An employee who works at several restaurants stands in several heaps; loads only grow,
+    so an entry that another restaurant has overtaken is renewed when it comes to the top.
+    """
 
     def __init__(self, loads: list[dict] | None):
-        self._heaps: dict[int, list[tuple[int, int]]] = {}
-        for e in loads or ():
-            self._heaps.setdefault(e["first_slot"], []).append((e["load"], e["employee_id"]))
-        for heap in self._heaps.values():
-            heapq.heapify(heap)
-
-    def serve(self, slot: int | None) -> int | None:
-        open_heaps = [h for first, h in self._heaps.items() if slot is not None and first <= slot]
-        if not open_heaps:
+        self._roster = loads or []
+        self._load = {e["employee_id"]: e["load"] for e in self._roster}
+        self._heaps: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        for e in self._roster:
+            own = self._heaps.setdefault(e["restaurant_id"], {})
+            own.setdefault(e["first_slot"], []).append((e["load"], e["employee_id"]))
+        for own in self._heaps.values():
+            for heap in own.values():
+                heapq.heapify(heap)
+
+    def serve(self, restaurant: int, slot: int | None) -> int | None:
+        heaps = [h for first, h in self._heaps.get(restaurant, {}).items() if slot is not None and first <= slot]
+        for heap in heaps:
+            while heap[0][0] != self._load[heap[0][1]]:
+                heapq.heapreplace(heap, (self._load[heap[0][1]], heap[0][1]))
+        if not heaps:
             return None
-        heap = min(open_heaps, key=lambda h: h[0])
+        heap = min(heaps, key=lambda h: h[0])
         load, employee = heap[0]
+        self._load[employee] = load + 1
         heapq.heapreplace(heap, (load + 1, employee))
         return employee
 
     def loads(self) -> list[dict]:
-        entries = [
-            {"employee_id": employee, "first_slot": first, "load": load}
-            for first, heap in self._heaps.items() for load, employee in heap
-        ]
-        return sorted(entries, key=lambda e: e["employee_id"])
+        return [{**e, "load": self._load[e["employee_id"]]} for e in self._roster]
 
 
 def _serve_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows of (restaurant, segment): the loads row first, then check-ins in order.
+    """Sorted rows of (desk, segment): the loads row first, then check-ins in order.
 
     Emits one row per check-in and, when a piece ends, one row with its final loads.
     """
@@ -139,17 +147,17 @@ def _serve_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     for batch in batches:
         out = []
-        for restaurant, segment, incoming, slot, booking in zip(
-            *(batch.column(i).to_pylist() for i in range(5))
+        for number, segment, incoming, restaurant, slot, booking in zip(
+            *(batch.column(i).to_pylist() for i in range(6))
         ):
-            if piece != (restaurant, segment):
+            if piece != (number, segment):
                 if piece is not None:
                     out.append((*piece, None, None, desk.loads()))
-                piece, desk = (restaurant, segment), _Desk(None)
+                piece, desk = (number, segment), _Desk(None)
             if booking is None:
                 desk = _Desk(incoming)
             else:
-                out.append((restaurant, segment, booking, desk.serve(slot), None))
+                out.append((number, segment, booking, desk.serve(restaurant, slot), None))
         if out:
             yield table(out)
     if piece is not None:
@@ -171,20 +179,39 @@ def _pour(loads: np.ndarray, amount: int) -> np.ndarray:
 
 
 def _predict_loads(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Expected loads at the start of each piece of one restaurant, from counts per start slot."""
-    pdf = pdf.sort_values(SEGMENT)
-    state = [dict(e) for e in pdf["roster"].iloc[0]]
-    first = np.array([e["first_slot"] for e in state])
-    loads = np.array([e["load"] for e in state], dtype=np.int64)
-    incoming = []
-    for demand in pdf["demand"]:
-        incoming.append([{**e, "load": int(n)} for e, n in zip(state, loads)])
-        for slot, amount in enumerate(demand, start=1):
-            can = np.flatnonzero(first <= slot)
-            loads[can] = _pour(loads[can], int(amount))
-    return pd.DataFrame({
-        "restaurant_id": pdf["restaurant_id"], SEGMENT: pdf[SEGMENT], "loads": incoming,
-    })
+    """Expected loads at the start of each piece of one desk, from counts per restaurant and start slot."""
+    pdf = pdf.sort_values([SEGMENT, "restaurant_id"])
+    roster = [dict(e) for e in pdf["roster"].iloc[0]]
+    staff = sorted({e["employee_id"]: e["load"] for e in roster}.items())
+    place = {employee: k for k, (employee, _) in enumerate(staff)}
+    loads = np.array([load for _, load in staff], dtype=np.int64)
+    starts: dict[int, list[tuple[int, int]]] = {}
+    for e in roster:
+        starts.setdefault(e["restaurant_id"], []).append((place[e["employee_id"]], e["first_slot"]))
+    desks, segments, incoming = [], [], []
+    for (desk, segment), rows in pdf.groupby(["desk", SEGMENT], sort=True):
+        desks.append(desk)
+        segments.append(segment)
+        incoming.append([{**e, "load": int(loads[place[e["employee_id"]]])} for e in roster])
+        for restaurant, demand in zip(rows["restaurant_id"], rows["demand"]):
+            own = starts.get(restaurant, [])
+            for slot, amount in enumerate(demand, start=1):
+                can = np.array(sorted(k for k, first in own if first <= slot), dtype=np.int64)
+                loads[can] = _pour(loads[can], int(amount))
+    return pd.DataFrame({"desk": desks, SEGMENT: segments, "loads": incoming})
+
+
+def shared_desks(shifts: DataFrame) -> DataFrame:
+    """(restaurant_id, desk) of the restaurants that employees with shifts at several tie together.
+
+    Restaurants are nodes and an employee is a star around their least restaurant, so an
+    employee with very many restaurants makes no pairs; a desk has the number of its least
+    restaurant.
+    """
+    works = shifts.select("employee_id", "restaurant_id").where(F.col("restaurant_id").isNotNull()).distinct()
+    least = works.groupBy("employee_id").agg(F.min("restaurant_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    ties = works.join(least, "employee_id").where("restaurant_id <> a").select("a", F.col("restaurant_id").alias("b"))
+    return components(ties).select(F.col("node").alias("restaurant_id"), F.col("root").alias("desk"))
 
 
 def assign_staff_ordered(
@@ -196,65 +223,78 @@ def assign_staff_ordered(
 ) -> DataFrame:
     """Check-ins served in (ts, booking_id) order, each one raising its server's load.
 
-    Check-ins are range-partitioned by (restaurant, order), so a busy restaurant is cut
-    into pieces. A piece can only be replayed once the loads at its start are known:
-    they are predicted from the counts per start slot, the pieces are replayed in
-    parallel, and a piece whose predecessor ended with other loads than predicted is
-    replayed again. The first k pieces of a restaurant are final after k rounds, so the
-    loop ends with the sequential answer; the prediction is usually exact. A task holds
-    one entry per employee of the restaurant it works on, never its check-ins.
+    An employee with shifts at several restaurants carries one load, so those restaurants
+    form one desk; desks are the connected components of the restaurant-employee graph.
+    Check-ins are range-partitioned by (desk, order), so a busy desk is cut into pieces.
+    A piece can only be replayed once the loads at its start are known: they are predicted
+    from the counts per restaurant and start slot, the pieces are replayed in parallel, and
+    a piece whose predecessor ended with other loads than predicted is replayed again. The
+    first k pieces of a desk are final after k rounds, so the loop ends with the sequential
+    answer; without shared employees the prediction is usually exact. A task holds one entry
+    per employee and restaurant of the desk it works on, never its check-ins.
+
+    Runs its rounds while it is called; what it returns is the last pass.
     """
-    shared = shifts.groupBy("employee_id").agg(F.count_distinct("restaurant_id").alias("n")).where("n > 1")
-    if not shared.isEmpty():
-        raise ValueError("an employee rostered at several restaurants couples their loads")
+    several_places = shifts.groupBy("employee_id").agg(
+        F.min("restaurant_id").alias("least"), F.max("restaurant_id").alias("most")
+    ).where("least <> most")
+    tied = None if several_places.isEmpty() else shared_desks(shifts).checkpoint()
+
+    def at_desk(df: DataFrame) -> DataFrame:
+        if tied is None:
+            return df.withColumn("desk", F.col("restaurant_id"))
+        return df.join(tied, "restaurant_id", "left").withColumn("desk", F.coalesce("desk", "restaurant_id"))
 
     member = (
         shifts.groupBy("restaurant_id", "employee_id").agg(F.min("start_time_slot").alias("first_slot"))
         .join(staff_load(shifts, booking_status), "employee_id")
     )
-    roster = member.groupBy("restaurant_id").agg(
+    roster = at_desk(member).groupBy("desk").agg(
         F.sort_array(F.collect_list(F.struct(
-            "employee_id", F.col("first_slot").cast("int").alias("first_slot"),
+            F.col("restaurant_id").cast("bigint").alias("restaurant_id"),
+            F.col("employee_id").cast("bigint").alias("employee_id"),
+            F.col("first_slot").cast("int").alias("first_slot"),
             F.coalesce("load", F.lit(0)).cast("bigint").alias("load"),
         ))).alias("roster")
     )
     ranged = ordered_segments(
-        checkins.select("restaurant_id", "ts", "booking_id", "start_time_slot"),
-        ["restaurant_id", "ts", "booking_id"], partitions,
+        at_desk(checkins.select("restaurant_id", "ts", "booking_id", "start_time_slot")), ["desk", "ts", "booking_id"], partitions
     )
     slot = F.col("start_time_slot")
-    pieces = ranged.groupBy("restaurant_id", SEGMENT).agg(
+    demand = ranged.groupBy("desk", SEGMENT, "restaurant_id").agg(
         F.array(*[F.count_if(slot == s) for s in range(1, slots + 1)]).alias("demand")
     ).checkpoint()
-    key = ["restaurant_id", SEGMENT]
+    key = ["desk", SEGMENT]
+    pieces = demand.select(*key).distinct()
 
     def replay(rows: DataFrame, incoming: DataFrame) -> DataFrame:
         nothing = F.lit(None)
         seeds = incoming.select(
-            *key, F.col("loads").cast(_LOADS).alias("loads"), nothing.cast("int").alias("start_time_slot"),
-            nothing.cast("bigint").alias("booking_id"), nothing.cast("timestamp").alias("ts"),
+            *key, F.col("loads").cast(_LOADS).alias("loads"), nothing.cast("bigint").alias("restaurant_id"),
+            nothing.cast("int").alias("start_time_slot"), nothing.cast("bigint").alias("booking_id"),
+            nothing.cast("timestamp").alias("ts"),
         )
         steps = rows.select(
-            *key, nothing.cast(_LOADS).alias("loads"), F.col("start_time_slot").cast("int").alias("start_time_slot"),
-            "booking_id", F.col("ts").cast("timestamp").alias("ts"),
+            *key, nothing.cast(_LOADS).alias("loads"), F.col("restaurant_id").cast("bigint").alias("restaurant_id"),
+            F.col("start_time_slot").cast("int").alias("start_time_slot"), "booking_id", F.col("ts").cast("timestamp").alias("ts"),
         )
         # NULLs sort first: the seed of a piece precedes its check-ins.
         return (
             seeds.unionByName(steps).repartition(*key).sortWithinPartitions(*key, "ts", "booking_id")
-            .select(*key, "loads", "start_time_slot", "booking_id")
+            .select(*key, "loads", "restaurant_id", "start_time_slot", "booking_id")
             .mapInArrow(_serve_in_order, _OUT)
         )
 
-    several = pieces.groupBy("restaurant_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    cut = pieces.join(several, "restaurant_id", "left_semi").join(roster, "restaurant_id").checkpoint()
-    opening = roster.select("restaurant_id", F.col("roster").alias("loads"))
-    whole = pieces.join(several, "restaurant_id", "left_anti").join(opening, "restaurant_id", "left")
+    several = pieces.groupBy("desk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    cut = demand.join(several, "desk", "left_semi").join(roster, "desk").checkpoint()
+    opening = roster.select("desk", F.col("roster").alias("loads"))
+    whole = pieces.join(several, "desk", "left_anti").join(opening, "desk", "left")
     settled = whole.select(*key, "loads")
 
     if not cut.isEmpty():
         # At most two border pieces per range partition, so these frames stay small.
-        incoming = cut.groupBy("restaurant_id").applyInPandas(
-            _predict_loads, f"restaurant_id bigint, {SEGMENT} int, loads {_LOADS}"
+        incoming = cut.groupBy("desk").applyInPandas(
+            _predict_loads, f"desk bigint, {SEGMENT} int, loads {_LOADS}"
         ).checkpoint()
         redo, ended = incoming, None
         while True:
@@ -263,7 +303,7 @@ def assign_staff_ordered(
             if ended is not None:
                 fresh = fresh.unionByName(ended.join(redo.select(*key), key, "left_anti"))
             ended = fresh.checkpoint()
-            order = Window.partitionBy("restaurant_id").orderBy(SEGMENT)
+            order = Window.partitionBy("desk").orderBy(SEGMENT)
             handed = ended.select(*key, F.lag("after").over(order).alias("handed"))
             compared = incoming.join(handed, key).select(
                 *key, "loads", F.coalesce("handed", "loads").alias("handed")

@@ -12,7 +12,7 @@ from seatledger.operators.allocate import allocate_bookings
 from seatledger.operators.availability import occupancy_masks
 from seatledger.operators.lifecycle import final_states, lifecycle_replay
 from seatledger.operators.ordering import dense_keys, row_number_within
-from seatledger.operators.staffing import _pour, assign_staff_ordered
+from seatledger.operators.staffing import _pour, assign_staff_ordered, shared_desks
 
 T0 = datetime(2030, 1, 1)
 
@@ -159,12 +159,38 @@ def test_staff_in_order_at_a_busy_restaurant(spark, partitions):
     assert {r.booking_id: r.employee_id for r in got} == want
 
 
-def test_shared_employee_is_refused(spark):
-    shifts = spark.createDataFrame([(1, 5, 1), (2, 5, 1)], "restaurant_id long, employee_id long, start_time_slot int")
-    none = spark.createDataFrame([], "booking_id long, booking_status string, employee_id long")
-    arrivals = spark.createDataFrame([], "booking_id long, ts timestamp, restaurant_id long, start_time_slot int")
-    with pytest.raises(ValueError, match="several restaurants"):
-        assign_staff_ordered(arrivals, shifts, none)
+def serve_sequentially(arrivals, shifts, ongoing):
+    load = {e: sum(x[2] == e for x in ongoing) for _, e, _ in shifts}
+    out = {}
+    for booking, when, restaurant, slot in sorted(arrivals, key=lambda a: (a[1], a[0])):
+        can = {e for r, e, first in shifts if r == restaurant and first <= slot}
+        out[booking] = min(can, key=lambda e: (load[e], e), default=None)
+        if out[booking] is not None:
+            load[out[booking]] += 1
+    return out
+
+
+@pytest.mark.parametrize("seed, partitions", [(1, 1), (2, 4), (3, 9)])
+def test_employees_shared_by_restaurants_carry_one_load(spark, seed, partitions):
+    """Random rosters whose employees tie some restaurants into one desk, in chains and stars."""
+    rng = random.Random(seed)
+    shifts = [(r, 10 * r + k, rng.choice([1, 1, 4, 9])) for r in range(1, 9) for k in range(2)]
+    shifts += [(r, 500 + r // 2, rng.choice([1, 3])) for r in (1, 2, 3, 4)] + [(r, 600, 2) for r in (4, 6, 7)] + [(1, 10, 8)]
+    ongoing = [(1000 + i, "ongoing", rng.choice(shifts)[1]) for i in range(20)]
+    arrivals = [
+        (i, ts(rng.randrange(300)), rng.choice([1, 1, 2, 3, 4, 6, 7, 8, 11]), rng.choice([1, 2, 5, 10])) for i in range(400)
+    ]
+    got = assign_staff_ordered(
+        spark.createDataFrame(arrivals, "booking_id long, ts timestamp, restaurant_id long, start_time_slot int"),
+        spark.createDataFrame(shifts, "restaurant_id long, employee_id long, start_time_slot int"),
+        spark.createDataFrame(ongoing, "booking_id long, booking_status string, employee_id long"),
+        partitions=partitions,
+    ).collect()
+    assert {r.booking_id: r.employee_id for r in got} == serve_sequentially(arrivals, shifts, ongoing)
+    desks = {(r.restaurant_id, r.desk) for r in shared_desks(
+        spark.createDataFrame(shifts, "restaurant_id long, employee_id long, start_time_slot int")
+    ).collect()}
+    assert desks == {(2, 2), (3, 2), (4, 4), (6, 4), (7, 4)}
 
 
 # --- allocation -----------------------------------------------------------------------------------
