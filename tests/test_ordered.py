@@ -50,6 +50,27 @@ def test_row_number_within_a_hot_key(spark):
     assert got == want
 
 
+def test_row_numbers_of_null_keys_and_text(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, None, "a", "b"]), rng.choice([None, 1]), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, j int, v int").repartition(3)
+    got = {(r.k, r.j, r.v): r.n for r in row_number_within(df, ["k", "j"], ["v"], "n", partitions=5).collect()}
+    want = {}
+    for key in {r[:2] for r in rows}:
+        for n, v in enumerate(sorted(v for *k, v in rows if tuple(k) == key), start=1):
+            want[*key, v] = n
+    assert got == want
+
+
+def test_a_query_on_dense_keys_reads_its_columns_only(spark):
+    df = spark.range(1000).select("id", F.repeat(F.lit("x"), 50).alias("payload"))
+    keyed = dense_keys(df, ["id"], "k", partitions=4)
+    plan = keyed.select("k").groupBy().max("k")._jdf.queryExecution().executedPlan().toString()
+    assert "payload" not in plan and "LogicalRDD" not in plan and "ExistingRDD" not in plan
+    numbered = row_number_within(df, ["id"], ["payload"], "n").select("n")._jdf.queryExecution().executedPlan().toString()
+    assert "payload" not in numbered
+
+
 # --- lifecycle --------------------------------------------------------------------------------
 
 COMMANDS = ["new_booking", "member_in", "order_food", "member_out", "cancel_booking"]
