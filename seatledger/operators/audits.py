@@ -1,16 +1,17 @@
 """Declared rules checked over whole tables.
 
 Each audit returns the violations as (rule, table_name, key, n): the offending key as
-text and how many rows are involved. References are compared as distinct keys, so a hot
-key is reduced before any shuffle.
+text and how many rows are involved. Key rules are rows of a rule table and share one
+aggregate; column rules are metrics of a job that runs anyway.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from seatledger import schemas
@@ -45,96 +46,202 @@ def duplicates(df: DataFrame, table: str, key: str, rule: str, nulls_exempt: boo
     )
 
 
-def audit_primary_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+# --- rule tables ---------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A rule on one column; a reference also names the ``parent`` column it must be found in."""
+
+    name: str
+    table: str
+    column: str
+    parent: tuple[str, str] | None = None
+    null_breaks: bool = False
+
+
+def covered(
+    rules: Iterable[Rule], tables: Mapping[str, DataFrame], only: Iterable[str] | None = None, leave_out: Iterable[str] = ()
+) -> list[Rule]:
+    """The rules to check; a declared rule whose column isn't there is an error, not a pass.
+
+    ``only`` restricts the audit to some tables. ``leave_out`` names, as ``table`` or
+    ``table.column``, what is knowingly not checked.
+    """
+    only, leave_out = None if only is None else set(only), set(leave_out)
+    chosen = []
+    for rule in rules:
+        own = (rule.table, rule.column)
+        if only is not None and rule.table not in only or leave_out & {rule.table, ".".join(own)}:
+            continue
+        for table, column in (own, *([rule.parent] if rule.parent else ())):
+            if table not in tables or column not in tables[table].columns:
+                raise ValueError(f"{rule.name} of {'.'.join(own)} needs {table}.{column}, which is not there")
+        chosen.append(rule)
+    return chosen
+
+
+def key_findings(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+    """All broken key rules from one scan of each table and one aggregate.
+
+    A row becomes one (rule, key, side) for each rule its table takes part in, on the side
+    that must be unique or must have a parent, or on the parent's side. Counts are combined
+    before the shuffle, so a hot key costs one record for each task.
+    """
+    sides: dict[str, list[Column]] = {}
+    for number, rule in enumerate(rules):
+        ends = [(rule.table, rule.column, 1), *([(*rule.parent, 0)] if rule.parent else ())]
+        for table, column, own in ends:
+            sides.setdefault(table, []).append(F.struct(
+                F.lit(number).alias("rule"), F.col(column).cast("string").alias("key"), F.lit(own).alias("own")
+            ))
+    if not rules:
+        raise ValueError("no rules to check")
+    nullable = [n for n, rule in enumerate(rules) if rule.null_breaks]
+    counted = F.col("key").isNotNull() | F.col("rule").isin(nullable) if nullable else F.col("key").isNotNull()
+    rows = stack(tables[t].select(F.explode(F.array(*own)).alias("r")).select("r.*") for t, own in sides.items())
+    both = rows.where(counted).groupBy("rule", "key").agg(F.sum("own").alias("n"), F.sum(1 - F.col("own")).alias("parents"))
+    references = [n for n, rule in enumerate(rules) if rule.parent]
+    dangling = F.col("rule").isin(references) if references else F.lit(False)
+    broken = F.when(dangling, (F.col("n") > 0) & (F.col("parents") == 0)).otherwise((F.col("n") > 1) | F.col("key").isNull())
+    return both.where(broken).select(
+        *(F.element_at(F.array(*(F.lit(text) for text in texts)), F.col("rule") + 1).alias(name)
+          for name, texts in (("rule", [r.name for r in rules]), ("table_name", [r.table for r in rules]))),
+        "key", F.col("n").cast("bigint").alias("n"),
+    )
+
+
+def primary_key_rules() -> list[Rule]:
+    return [Rule("primary_key", t, key, null_breaks=True) for t, key in schemas.PRIMARY_KEYS.items()]
+
+
+def unique_rules() -> list[Rule]:
+    return [Rule(f"unique:{c}", t, c) for t, c in schemas.UNIQUE_COLUMNS]
+
+
+def reference_rules(foreign_keys: Iterable[schemas.ForeignKey] = schemas.FOREIGN_KEYS) -> list[Rule]:
+    return [Rule(f"foreign_key:{fk.column}", fk.child, fk.column, (fk.parent, fk.parent_key)) for fk in foreign_keys]
+
+
+def audit_primary_keys(
+    tables: Mapping[str, DataFrame], only: Iterable[str] | None = None, leave_out: Iterable[str] = ()
+) -> DataFrame:
     """Primary keys are unique and present."""
-    return stack(
-        duplicates(tables[t], t, key, "primary_key", nulls_exempt=False)
-        for t, key in schemas.PRIMARY_KEYS.items()
-        if t in tables and key in tables[t].columns
-    )
+    return key_findings(tables, covered(primary_key_rules(), tables, only, leave_out))
 
 
-def audit_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
+def audit_unique(
+    tables: Mapping[str, DataFrame], only: Iterable[str] | None = None, leave_out: Iterable[str] = ()
+) -> DataFrame:
     """UNIQUE columns; NULLs are exempt."""
-    return stack(
-        duplicates(tables[t], t, c, f"unique:{c}")
-        for t, c in schemas.UNIQUE_COLUMNS
-        if t in tables and c in tables[t].columns
-    )
-
-
-def dangling(child: DataFrame, column: str, parent: DataFrame, parent_key: str, table: str) -> DataFrame:
-    used = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(_count().alias("n"))
-    return used.join(parent.select(F.col(parent_key).alias("k")), "k", "left_anti").select(
-        *_finding(f"foreign_key:{column}", table, "k", "n")
-    )
+    return key_findings(tables, covered(unique_rules(), tables, only, leave_out))
 
 
 def audit_foreign_keys(
-    tables: Mapping[str, DataFrame], foreign_keys: Iterable[schemas.ForeignKey] = schemas.FOREIGN_KEYS
+    tables: Mapping[str, DataFrame], foreign_keys: Iterable[schemas.ForeignKey] = schemas.FOREIGN_KEYS,
+    only: Iterable[str] | None = None, leave_out: Iterable[str] = (),
 ) -> DataFrame:
     """Every non-NULL reference has its parent."""
-    return stack(
-        dangling(tables[fk.child], fk.column, tables[fk.parent], fk.parent_key, fk.child)
-        for fk in foreign_keys
-        if fk.child in tables and fk.parent in tables
-        and fk.column in tables[fk.child].columns and fk.parent_key in tables[fk.parent].columns
-    )
+    return key_findings(tables, covered(reference_rules(foreign_keys), tables, only, leave_out))
 
 
-def _per_column(df: DataFrame, table: str, checks: Mapping[str, tuple[str, Column]]) -> DataFrame:
-    """Violation counts of several columns in one pass; ``checks`` maps rule -> (column, test)."""
-    counted = df.agg(*[F.count_if(test).alias(rule) for rule, (_, test) in checks.items()])
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("key"), F.col(f"`{rule}`").alias("n"))
-        for rule, (column, _) in checks.items()
-    ])).alias("f")
-    return counted.select(pairs).where("f.n > 0").select(
-        F.col("f.rule").alias("rule"), F.lit(table).alias("table_name"),
-        F.col("f.key").alias("key"), F.col("f.n").cast("bigint").alias("n"),
-    )
+def audit_keys(
+    tables: Mapping[str, DataFrame], only: Iterable[str] | None = None, leave_out: Iterable[str] = ()
+) -> DataFrame:
+    """C1, C2 and C3 together, still with one scan of each table."""
+    rules = [*primary_key_rules(), *unique_rules(), *reference_rules()]
+    return key_findings(tables, covered(rules, tables, only, leave_out))
+
+
+# --- column rules as metrics of a job that runs anyway --------------------------------------
 
 
-def _column_audit(tables: Mapping[str, DataFrame], rule: str, tests: Mapping[tuple[str, str], Column]) -> DataFrame:
-    found = []
-    for table, df in tables.items():
-        checks = {
-            f"{rule}:{c}": (c, test)
-            for (t, c), test in tests.items()
-            if t == table and c in df.columns
-        }
-        if checks:
-            found.append(_per_column(df, table, checks))
-    return stack(found)
-
-
-def audit_not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """C4: required columns are present; one scan per table."""
-    tests = {(t, c): F.col(c).isNull() for t, c in schemas.NOT_NULL_COLUMNS}
-    return _column_audit(tables, "not_null", tests)
-
-
-def audit_enum_domain(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Values outside their domain, compared without regard to case."""
-    found = []
-    for (table, column), allowed in schemas.DOMAINS.items():
-        if table in tables and column in tables[table].columns:
-            values = tables[table].groupBy(F.col(column).alias("v")).agg(_count().alias("n"))
-            found.append(
-                values.where(F.col("v").isNotNull() & ~F.lower(F.trim("v")).isin(*allowed)).select(
-                    *_finding(f"domain:{column}", table, "v", "n")
-                )
-            )
-    return stack(found)
-
-
-def audit_type_bounds(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Texts longer than declared and amounts outside their declared precision."""
-    tests = {(t, c): F.length(c) > n for (t, c), n in schemas.TEXT_LIMITS.items()}
-    tests |= {
-        (t, c): F.abs(F.col(c)) >= F.lit(10 ** (p - s)) for (t, c), (p, s) in schemas.DECIMAL_LIMITS.items()
+def not_null_tests() -> dict[Rule, Column]:
+    return {Rule(f"not_null:{c}", t, c): F.col(c).isNull() for t, c in schemas.NOT_NULL_COLUMNS}
+
+
+def bounds_tests() -> dict[Rule, Column]:
+    """Texts longer than declared and amounts outside their declared precision."""
+    tests = {Rule(f"bounds:{c}", t, c): F.length(c) > n for (t, c), n in schemas.TEXT_LIMITS.items()}
+    return tests | {
+        Rule(f"bounds:{c}", t, c): F.abs(F.col(c)) >= F.lit(10 ** (p - s)) for (t, c), (p, s) in schemas.DECIMAL_LIMITS.items()
     }
-    return _column_audit(tables, "bounds", tests)
+
+
+class ColumnWatch:
+    """Counts broken column rules while a table is loaded or written.
+
+    ``over`` attaches the counts to a frame; they are collected as metrics of whatever job
+    then reads all of it, such as its write, and need no scan of their own. ``findings``
+    returns them afterwards. A frame that no job has run through makes ``findings`` wait.
+    """
+
+    def __init__(self, tests: Mapping[Rule, Column]):
+        self._tests = dict(tests)
+        self._watched: list[tuple[list[Rule], Observation]] = []
+
+    def over(self, df: DataFrame, table: str) -> DataFrame:
+        rules = [r for r in self._tests if r.table == table and r.column in df.columns]
+        if not rules:
+            return df
+        seen = Observation(f"watch-{table}-{len(self._watched)}")
+        self._watched.append((rules, seen))
+        return df.observe(seen, *(F.count_if(self._tests[r]).alias(f"m{k}") for k, r in enumerate(rules)))
+
+    def findings(self, spark: SparkSession) -> DataFrame:
+        rows = [
+            (r.name, r.table, r.column, int(seen.get[f"m{k}"]))
+            for rules, seen in self._watched for k, r in enumerate(rules)
+        ]
+        return spark.createDataFrame([r for r in rows if r[3]], "rule string, table_name string, key string, n bigint")
+
+
+def _watched_pass(
+    tables: Mapping[str, DataFrame], tests: Mapping[Rule, Column], only: Iterable[str] | None, leave_out: Iterable[str]
+) -> DataFrame:
+    chosen = covered(tests, tables, only, leave_out)
+    watch = ColumnWatch({r: tests[r] for r in chosen})
+    names = dict.fromkeys(r.table for r in chosen)
+    if not names:
+        raise ValueError("no rules to check")
+    passing = stack(watch.over(tables[t], t).select(F.lit(1).alias("row")) for t in names)
+    passing.write.format("noop").mode("overwrite").save()
+    return watch.findings(passing.sparkSession)
+
+
+def audit_not_null(
+    tables: Mapping[str, DataFrame], only: Iterable[str] | None = None, leave_out: Iterable[str] = ()
+) -> DataFrame:
+    """C4: required columns are present; one job over all tables, which runs when this is called."""
+    return _watched_pass(tables, not_null_tests(), only, leave_out)
+
+
+def audit_type_bounds(
+    tables: Mapping[str, DataFrame], only: Iterable[str] | None = None, leave_out: Iterable[str] = ()
+) -> DataFrame:
+    """Declared lengths and precisions hold; one job over all tables, which runs when this is called."""
+    return _watched_pass(tables, bounds_tests(), only, leave_out)
+
+
+def audit_enum_domain(
+    tables: Mapping[str, DataFrame], only: Iterable[str] | None = None, leave_out: Iterable[str] = ()
+) -> DataFrame:
+    """Values outside their domain, compared without regard to case.
+
+    Each table is scanned once, and only values outside reach the shuffle.
+    """
+    allowed = {Rule(f"domain:{c}", t, c): values for (t, c), values in schemas.DOMAINS.items()}
+    rules = covered(allowed, tables, only, leave_out)
+    outside: dict[str, list[Column]] = {}
+    for rule in rules:
+        own = F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.table).alias("table_name"), F.col(rule.column).alias("key"))
+        wrong = F.col(rule.column).isNotNull() & ~F.lower(F.trim(F.col(rule.column))).isin(*allowed[rule])
+        outside.setdefault(rule.table, []).append(F.when(wrong, own))
+    rows = stack(tables[t].select(F.explode(F.array_compact(F.array(*own))).alias("r")).select("r.*") for t, own in outside.items())
+    return rows.groupBy("rule", "table_name", "key").agg(_count().cast("bigint").alias("n"))
+
+
+# --- invariants ------------------------------------------------------------------------------
 
 
 def audit_status_one_to_one(bookings: DataFrame, booking_status: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatledger.operators import billing, changes, lifecycle, staffing
+from seatledger.operators.audits import ColumnWatch
 from seatledger.operators.allocate import allocate_bookings
 from seatledger.operators.availability import grid_masks
 from seatledger.sources.tables import Database, reload_table
@@ -135,11 +136,14 @@ def cancel(db: Database, commands: DataFrame) -> tuple[Database, DataFrame]:
     ), outcome
 
 
-def settle_to(db: Database, root: str) -> Database:
-    """Write every table to a fresh folder and continue from the files, cutting the lineage."""
+def settle_to(db: Database, root: str, watch: ColumnWatch | None = None) -> Database:
+    """Write every table to a fresh folder and continue from the files, cutting the lineage.
+
+    ``watch`` counts broken column rules on the way, without a scan of its own.
+    """
     stored = {}
     for name, df in db.tables().items():
         path = f"{root.rstrip('/')}/{name}"
-        reload_table(df, path)
+        reload_table(watch.over(df, name) if watch else df, path)
         stored[name] = df.sparkSession.read.schema(df.schema).parquet(path)
     return Database(stored)

@@ -665,12 +665,14 @@ def oracles() -> dict[str, str]:
                  "'scheduled', 'ongoing', 'completed', 'cancelled'")))
     q["audit_type_bounds"] = _sql(f"restaurant member item staff {_BK} order_line price totals", _union(
         _count_rule("bounds", "restaurant", "restaurant_name", "restaurant", "length(restaurant_name) > 100"),
+        _count_rule("bounds", "restaurant", "zip_code", "restaurant", "length(restaurant_name) > 10"),
         _count_rule("bounds", "restaurant", "tax", "restaurant", "abs(tax) >= 10"),
         _count_rule("bounds", "employee", "employee_name", "staff", "length(employee_name) > 50"),
         _count_rule("bounds", "member", "username", "member", "length(username) > 50"),
         _count_rule("bounds", "member", "email", "member", "length(email) > 100"),
         _count_rule("bounds", "item", "item_name", "item", "length(item_name) > 255"),
-        _count_rule("bounds", "item", "price", "item", "abs(price) >= 1000"),
+        _count_rule("bounds", "item", "price", "lineitem JOIN part ON p_partkey = l_partkey",
+                    "abs(l_extendedprice / l_quantity) >= 1000"),
         _count_rule("bounds", "past_booking", "total_price", "totals", "abs(total_price) >= 100000000"),
         _count_rule("bounds", "past_booking", "total_tax", "totals", "abs(total_tax) >= 100000000"),
         _count_rule("bounds", "past_booking", "total_price_after_tax", "totals",
@@ -691,10 +693,18 @@ def oracles() -> dict[str, str]:
     q["audit_member_single_open"] = _sql(
         f"{_BK} open_booking", _repeated("several_open_bookings", "booking", "open_booking", "member_id"))
     q["audit_billing_reconciliation"] = _sql(
-        f"item {_BK} order_line",
-        f"{_finding('payment_status_wrong', 'billing', 'booking_id')} "
-        "FROM order_line JOIN item USING (item_id) JOIN booking USING (booking_id) "
-        "WHERE booking_status = 'ongoing' GROUP BY booking_id")
+        f"item {_BK} order_line price", _union(
+            f"{_finding('payment_status_wrong', 'billing', 'booking_id', 'bills')} FROM sums "
+            "WHERE booking_status = 'ongoing' AND bills > 0",
+            f"{_finding('bills_do_not_add_up', 'billing', 'booking_id', 'bills')} FROM sums "
+            "WHERE price IS DISTINCT FROM billed"), """
+        sums AS (
+            SELECT booking_id, booking_status, price, CAST(coalesce(b.bills, 0) AS BIGINT) AS bills, b.billed
+            FROM booking LEFT JOIN price USING (booking_id)
+                 LEFT JOIN (SELECT l_orderkey AS booking_id, count(*) AS bills,
+                                   CAST(sum(price * CAST(l_quantity AS INTEGER)) AS DECIMAL(18,2)) AS billed
+                            FROM lineitem JOIN item ON item_id = l_partkey
+                            WHERE l_returnflag <> 'R' GROUP BY 1) b USING (booking_id))""")
 
     # --- streaming
     q["stream_demand_tumbling"] = _sql("command", """

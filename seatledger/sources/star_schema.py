@@ -218,6 +218,18 @@ class StarSchema(Database):
 
         return settle_bills(self.pending_billing, self.bookings_in("completed"))
 
+    @cached_property
+    def plain_billing(self) -> DataFrame:
+        """Bills without their numbers, for questions that don't ask for them: no global sort."""
+        from seatledger.operators.billing import priced_lines, settle_bills
+
+        if "billing" in self.__dict__:  # numbered already, or exchanged
+            return self.billing
+        bills = priced_lines(self.order_line, self.item).select(
+            "booking_id", "total_amount", F.lit("pending").alias("payment_status")
+        )
+        return settle_bills(bills, self.bookings_in("completed"))
+
     @cached_property
     def menu(self) -> DataFrame:
         listed = self.raw("lineitem").select(
