@@ -124,3 +124,31 @@ def log_message(
             line("Booking ID ", booking, " which is not a valid tried ordering food. FAILED!!"),
         )
     )
+
+
+def caller_message(outcome: Column, booking: Column) -> Column:
+    """What the caller of a command is told; NULL after a check-out, which tells nothing.
+
+    Fixed values: the wording of the messages.
+    """
+    held = F.concat(
+        F.lit("Member already has a scheduled booking. Please handle existing booking (ID:"), booking,
+        F.lit(") before creating a new one."),
+    )
+    texts = {
+        "confirmed": "Booking Confirmed",
+        "no_table": "No available table found for the requested time slot.",
+        "cancelled": "Order cancelled successfully.",
+        "not_allowed": "Order cancellation not allowed.",
+        "not_found": "Order does not exist.",
+        "checked_in": "has checked-in.",
+        "no_scheduled_booking": "No scheduled booking found for member ID",
+        "not_checked_in": " has not checked in.",
+        "accepted": "Order recieved",
+        "item_unavailable": "MenuItem is unavailable",
+        "invalid_booking": "Not a valid Booking ID",
+    }
+    message = F.when(outcome == "has_open_booking", held)
+    for code, text in texts.items():
+        message = message.when(outcome == code, F.lit(text))
+    return message

@@ -6,14 +6,14 @@ States: none -> scheduled -> ongoing -> completed, with scheduled -> cancelled.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatledger.functions.expressions import COMMANDS, log_message
-from seatledger.operators.availability import find_available_table
+from seatledger.functions.expressions import COMMANDS, SLOTS_PER_DAY, caller_message, log_message, slot_fits, slot_mask
 from seatledger.operators.ordering import SEGMENT, ordered_segments, row_number_within
 from seatledger.operators.replay import CARRIED, NONE, STATES, prefix_maps, run, segment_starts
 
@@ -117,85 +117,126 @@ def validate_orders(commands: DataFrame, booking_state: DataFrame, menu: DataFra
     )
 
 
-def command_outcomes(
-    commands: DataFrame, booking_state: DataFrame, menu: DataFrame, rtables: DataFrame, masks: DataFrame,
-    gate: Sequence[str] = ("member_id",),
-) -> DataFrame:
-    """The outcome of every command, each judged alone against the snapshot.
+def _snapshot(booking_state: DataFrame, by_day: bool) -> DataFrame:
+    """What commands ask of the bookings, by (tag, id, day), from one scan and one aggregate.
 
-    An open booking of the member gates a request; ``gate`` may add ``service_date`` to ask
-    for one of the same date. The effect of
-    earlier commands in the batch is the business of :func:`lifecycle_replay` and
-    ``allocate_bookings``.
+    ``b``: status, owner and restaurant of a booking. ``m``: a member's latest scheduled and
+    ongoing booking and the first open one; ``g`` the same for one service date.
     """
-    columns = ["command_id", "ts", "command", "member_id", "booking_id", "restaurant_id", "item_id", "outcome"]
-    nothing = F.lit(None).cast("bigint")
-
-    held = (
-        booking_state.where(F.col("booking_status").isin(*OPEN))
-        .groupBy(*gate)
-        .agg(F.min("booking_id").alias("held_id"))
-    )
-    requests = commands.where(F.col("command") == "new_booking").drop("booking_id")
-    booked = (
-        find_available_table(requests, rtables, masks)
-        .join(held, list(gate), "left")
-        .withColumn(
-            "outcome",
-            F.when(F.col("held_id").isNotNull(), "has_open_booking")
-            .when(F.col("table_id").isNotNull(), "confirmed")
-            .otherwise("no_table"),
-        )
-        .withColumn(
-            "booking_id",
-            F.when(F.col("outcome") == "confirmed", F.col("command_id")).otherwise(F.col("held_id")),
+    status, booking = F.col("booking_status"), F.col("booking_id")
+    opened = status.isin(*OPEN)
+
+    def fact(tag: str, key: Column, day: Column) -> Column:
+        mine = F.lit(tag != "b")
+        return F.struct(
+            F.lit(tag).alias("tag"), key.cast("bigint").alias("id"), day.cast("date").alias("day"),
+            F.when(mine & (status == "scheduled"), booking).alias("scheduled"),
+            F.when(mine & (status == "ongoing"), booking).alias("ongoing"),
+            F.when(mine, booking).alias("first_open"),
+            F.when(~mine, F.struct(status.alias("status"), F.col("member_id").alias("owner"), F.col("restaurant_id").alias("place")))
+            .alias("booked"),
+        )
+
+    member = [F.when(opened, fact("m", F.col("member_id"), F.lit(NO_DAY)))]
+    if by_day:
+        member.append(F.when(opened, fact("g", F.col("member_id"), F.col("service_date"))))
+    facts = F.array_compact(F.array(fact("b", booking, F.lit(NO_DAY)), *member))
+    return (
+        booking_state.select(F.explode(facts).alias("f")).select("f.*").where("id is not null")
+        .groupBy("tag", "id", "day")
+        .agg(
+            F.max("scheduled").alias("scheduled"), F.max("ongoing").alias("ongoing"), F.min("first_open").alias("first_open"),
+            F.max("booked.status").alias("status"), F.max("booked.owner").alias("owner"), F.max("booked.place").alias("place"),
+            F.max(F.col("tag") == "b").alias("exists"),
         )
-        .withColumn("item_id", nothing)
-        .select(columns)
-    )
+    )
 
-    latest = latest_open_booking(booking_state)
 
-    def moved(command: str, state: str, done: str, refused: str) -> DataFrame:
-        own = latest.where(F.col("booking_status") == state).select(
-            "member_id", F.col("booking_id").alias("own_id")
-        )
-        return (
-            commands.where(F.col("command") == command)
-            .join(own, "member_id", "left")
-            .withColumn("outcome", F.when(F.col("own_id").isNotNull(), done).otherwise(refused))
-            .withColumn("booking_id", F.col("own_id"))
-            .withColumns({"restaurant_id": nothing, "item_id": nothing})
-            .select(columns)
-        )
+NO_DAY = "0001-01-01"
+#: Ways that rows without a key are spread over in a left join.
+SCATTER = 1024
 
-    ordered = (
-        validate_orders(commands, booking_state, menu)
-        .withColumn("command", F.lit("order_food"))
-        .select(columns)
-    )
-    state = booking_state.select(
-        "booking_id", F.col("member_id").alias("owner_id"), "booking_status", F.lit(True).alias("known")
+
+def _looked_up(rows: DataFrame, facts: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """Left join of ``facts`` on the given keys; rows whose key is NULL don't meet in one task."""
+    absent = reduce(lambda x, y: x | y, (k.isNull() for k in keys.values()))
+    salt = F.when(absent, F.pmod(F.xxhash64("command_id"), F.lit(SCATTER))).otherwise(0)
+    keyed = rows.withColumns({**{f"_{n}": k for n, k in keys.items()}, "_salt": salt})
+    named = facts.select(*(F.col(n).alias(f"_{n}") if n in keys else F.col(n) for n in facts.columns), F.lit(0).cast("bigint").alias("_salt"))
+    own = [f"_{n}" for n in keys]
+    return keyed.join(named, [*own, "_salt"], "left").drop(*own, "_salt")
+
+
+def command_outcomes(
+    commands: DataFrame, booking_state: DataFrame, menu: DataFrame, rtables: DataFrame, masks: DataFrame,
+    gate: Sequence[str] = ("member_id",), slots: int = SLOTS_PER_DAY,
+) -> DataFrame:
+    """The outcome of every command and the caller's message, each judged alone against the snapshot.
+
+    An open booking of the member gates a request; ``gate`` may add ``service_date`` to ask
+    for one of the same date. The effect of earlier commands in the batch is the business
+    of :func:`lifecycle_replay` and ``allocate_bookings``.
+
+    Commands are read once and looked up in four aggregates: bookings and members by tagged
+    key, tables by restaurant, occupied slots by restaurant and date, the menu by
+    restaurant and item. Bookings are read twice with the occupied slots.
+    """
+    by_day = "service_date" in gate
+    command, nothing = F.col("command"), F.lit(None).cast("bigint")
+    new, ordered = command == "new_booking", command == "order_food"
+    by_booking = command.isin("order_food", "cancel_booking")
+    known = commands.where(command.isin(*COMMANDS)).select(
+        "command_id", "ts", "command", "member_id", "booking_id", "restaurant_id", "item_id", "service_date",
+        "start_time_slot", "booking_duration",
+    )
+    gated = F.lit("g" if by_day else "m")
+    day = F.when(new, F.col("service_date")).otherwise(F.lit(NO_DAY).cast("date")) if by_day else F.lit(NO_DAY).cast("date")
+    facts = _looked_up(known, _snapshot(booking_state, by_day), {
+        "tag": F.when(by_booking, F.lit("b")).when(new, gated).otherwise(F.lit("m")),
+        "id": F.when(by_booking, F.col("booking_id")).otherwise(F.col("member_id")),
+        "day": day,
+    })
+
+    # New bookings: the lowest table of the restaurant that isn't taken in any slot asked for.
+    tables = rtables.groupBy("restaurant_id").agg(F.collect_set("table_id").alias("tables"))
+    taken = masks.join(rtables.select("table_id", "restaurant_id"), "table_id").groupBy("restaurant_id", "service_date").agg(
+        F.collect_list(F.struct("table_id", "occupied_mask")).alias("taken")
     )
-    cancelled = (
-        commands.where(F.col("command") == "cancel_booking")
-        .drop("member_id")
-        .join(state, "booking_id", "left")
-        .withColumn(
-            "outcome",
-            F.when(F.col("known").isNull(), "not_found")
-            .when(F.col("booking_status") == "scheduled", "cancelled")
-            .otherwise("not_allowed"),
-        )
-        .withColumns({"restaurant_id": nothing, "item_id": nothing, "member_id": F.col("owner_id")})
-        .select(columns)
+    placed = _looked_up(facts, tables, {"restaurant_id": F.when(new, F.col("restaurant_id"))})
+    placed = _looked_up(placed, taken, {"restaurant_id": F.when(new, F.col("restaurant_id")), "service_date": F.when(new, F.col("service_date"))})
+    start, duration = F.col("start_time_slot"), F.col("booking_duration")
+    wanted = slot_mask(start, duration)
+    blocked = F.transform(F.filter("taken", lambda t: t["occupied_mask"].bitwiseAND(wanted) != 0), lambda t: t["table_id"])
+    free = F.array_except("tables", F.coalesce(blocked, F.array().cast("array<bigint>")))
+    table = F.when(new & slot_fits(start, duration, slots), F.array_min(free))
+
+    # Orders: an ongoing booking, then an item that any entry of its restaurant's menu offers.
+    offers = menu.groupBy("restaurant_id", "item_id").agg(F.max("availability").alias("offered"))
+    serving = ordered & (F.col("status") == "ongoing")
+    judged = _looked_up(placed, offers, {"restaurant_id": F.when(serving, F.col("place")), "item_id": F.when(serving, F.col("item_id"))})
+
+    outcome = (
+        F.when(new, F.when(F.col("first_open").isNotNull(), "has_open_booking").when(table.isNotNull(), "confirmed").otherwise("no_table"))
+        .when(command == "member_in", F.when(F.col("scheduled").isNotNull(), "checked_in").otherwise("no_scheduled_booking"))
+        .when(command == "member_out", F.when(F.col("ongoing").isNotNull(), "checked_out").otherwise("not_checked_in"))
+        .when(ordered, F.when(~F.coalesce(serving, F.lit(False)), "invalid_booking")
+              .when(F.coalesce("offered", F.lit(False)), "accepted").otherwise("item_unavailable"))
+        .otherwise(F.when(F.col("exists").isNull(), "not_found").when(F.col("status") == "scheduled", "cancelled").otherwise("not_allowed"))
     )
-    return (
-        booked.unionByName(moved("member_in", "scheduled", "checked_in", "no_scheduled_booking"))
-        .unionByName(ordered)
-        .unionByName(moved("member_out", "ongoing", "checked_out", "not_checked_in"))
-        .unionByName(cancelled)
+    decided = judged.withColumn("outcome", outcome)
+    booking = (
+        F.when(F.col("outcome") == "confirmed", F.col("command_id")).when(new, F.col("first_open"))
+        .when(command == "member_in", F.col("scheduled")).when(command == "member_out", F.col("ongoing"))
+        .otherwise(F.col("booking_id"))
     )
+    return decided.select(
+        "command_id", "ts", "command",
+        F.when(by_booking, F.col("owner")).otherwise(F.col("member_id")).alias("member_id"),
+        booking.alias("booking_id"),
+        F.when(new, F.col("restaurant_id")).when(ordered, F.col("place")).otherwise(nothing).alias("restaurant_id"),
+        F.when(ordered, F.col("item_id")).otherwise(nothing).alias("item_id"),
+        "outcome", caller_message(F.col("outcome"), booking).alias("message"),
+    )
 
 
 def audit_log(outcomes: DataFrame) -> DataFrame:

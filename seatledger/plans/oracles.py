@@ -577,7 +577,21 @@ def oracles() -> dict[str, str]:
     judged = f"{_BK} rtable menu command open_booking open_cell occupied_cell command_ask"
     vacant = _VACANT.format(ask="command_ask")
     q["command_outcomes"] = _sql(judged, """
-        SELECT command_id, ts, command, member_id, booking_id, restaurant_id, item_id, outcome
+        SELECT command_id, ts, command, member_id, booking_id, restaurant_id, item_id, outcome,
+               CASE outcome
+               WHEN 'has_open_booking' THEN 'Member already has a scheduled booking. Please handle existing booking (ID:'
+                                            || booking_id || ') before creating a new one.'
+               WHEN 'confirmed' THEN 'Booking Confirmed'
+               WHEN 'no_table' THEN 'No available table found for the requested time slot.'
+               WHEN 'checked_in' THEN 'has checked-in.'
+               WHEN 'no_scheduled_booking' THEN 'No scheduled booking found for member ID'
+               WHEN 'not_checked_in' THEN ' has not checked in.'
+               WHEN 'cancelled' THEN 'Order cancelled successfully.'
+               WHEN 'not_allowed' THEN 'Order cancellation not allowed.'
+               WHEN 'not_found' THEN 'Order does not exist.'
+               WHEN 'accepted' THEN 'Order recieved'
+               WHEN 'item_unavailable' THEN 'MenuItem is unavailable'
+               WHEN 'invalid_booking' THEN 'Not a valid Booking ID' END AS message
         FROM outcomes""", vacant, _OUTCOMES)
     q["audit_log_messages"] = _sql(judged, """
         SELECT command_id AS log_id, ts AS log_timestamp,

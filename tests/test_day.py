@@ -5,6 +5,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import at, booking_request, frame, small_database
 from seatledger.plans import day
@@ -157,3 +158,48 @@ def test_log(story):
     assert log[50] == "Booking ID 7 by member ID 3 is CANCELLED!!"
     assert log[53] == "Booking ID 99 does not eexist and cannot be cancelled. FAILED!!"
     assert log[32] == "MenuItem ID 3 at restaurant ID 1 was not available for booking ID 1. FAILED!!"
+
+
+def test_every_outcome_with_its_message(spark):
+    """Hand-worked decisions, with either gate; NULL keys match nothing."""
+    from datetime import date
+
+    from seatledger.operators import lifecycle
+
+    state = spark.createDataFrame(
+        [
+            (1, 1, 7, date(2030, 5, 4), "scheduled"), (2, 1, 7, date(2030, 5, 5), "scheduled"), (3, 2, 7, date(2030, 5, 4), "ongoing"),
+            (4, 3, 7, date(2030, 5, 4), "completed"), (5, None, 7, date(2030, 5, 4), None),
+        ],
+        "booking_id long, member_id long, restaurant_id long, service_date date, booking_status string",
+    )
+    rtables = spark.createDataFrame([(71, 7), (72, 7)], "table_id long, restaurant_id long")
+    masks = spark.createDataFrame([(71, date(2030, 5, 4), 0b0110)], "table_id long, service_date date, occupied_mask long")
+    menu = spark.createDataFrame([(7, 1, True), (7, 2, False), (7, 2, False)], "restaurant_id long, item_id long, availability boolean")
+    rows = [
+        # command, member, booking, restaurant, date, start, duration, item -> outcome by either gate
+        (10, "new_booking", 1, None, 7, date(2030, 5, 4), 2, 1, None), (11, "new_booking", 1, None, 7, date(2030, 5, 9), 2, 1, None),
+        (12, "new_booking", 9, None, 7, date(2030, 5, 4), 13, 3, None), (13, "new_booking", None, None, 7, date(2030, 5, 4), 2, 1, None),
+        (14, "new_booking", 9, None, 8, date(2030, 5, 4), 2, 1, None), (15, "member_in", 1, None, None, None, None, None, None),
+        (16, "member_in", 2, None, None, None, None, None, None), (17, "member_out", 2, None, None, None, None, None, None),
+        (18, "member_out", 1, None, None, None, None, None, None), (19, "order_food", None, 3, None, None, None, None, 1),
+        (20, "order_food", None, 3, None, None, None, None, 2), (21, "order_food", None, 1, None, None, None, None, 1),
+        (22, "cancel_booking", None, 1, None, None, None, None, None), (23, "cancel_booking", None, 4, None, None, None, None, None),
+        (24, "cancel_booking", None, 99, None, None, None, None, None), (25, "cancel_booking", None, None, None, None, None, None, None),
+        (26, "cancel_booking", None, 5, None, None, None, None, None), (27, "dance", 1, 1, 7, date(2030, 5, 4), 1, 1, 1),
+    ]
+    commands = spark.createDataFrame(
+        rows, "command_id long, command string, member_id long, booking_id long, restaurant_id long, service_date date, "
+              "start_time_slot int, booking_duration int, item_id long",
+    ).withColumn("ts", F.lit("2030-05-04 10:00:00").cast("timestamp"))
+    want = {
+        10: ("has_open_booking", 1), 11: ("has_open_booking", 1), 12: ("no_table", None), 13: ("confirmed", 13), 14: ("no_table", None),
+        15: ("checked_in", 2), 16: ("no_scheduled_booking", None), 17: ("checked_out", 3), 18: ("not_checked_in", None),
+        19: ("accepted", 3), 20: ("item_unavailable", 3), 21: ("invalid_booking", 1), 22: ("cancelled", 1), 23: ("not_allowed", 4),
+        24: ("not_found", 99), 25: ("not_found", None), 26: ("not_allowed", 5),
+    }
+    for gate, changed in ((("member_id",), {}), (("member_id", "service_date"), {11: ("confirmed", 11)})):
+        got = {r.command_id: r for r in lifecycle.command_outcomes(commands, state, menu, rtables, masks, gate).collect()}
+        assert {c: (r.outcome, r.booking_id) for c, r in got.items()} == {**want, **changed}
+        assert got[10].message.endswith("(ID:1) before creating a new one.") and got[17].message is None
+        assert sum(r.message is None for r in got.values()) == 1

@@ -8,8 +8,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from seatledger.operators import lifecycle
 from seatledger.plans import reports
 from seatledger.plans.registry import all_queries
+from seatledger.sources.star_schema import StarSchema
 from seatledger.sources.tables import Database
 
 BATCH = [q for q in all_queries() if not q.startswith("stream_")]
@@ -112,3 +114,13 @@ def test_vacant_cells_do_not_meet_in_one_partition(spark, no_broadcast):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == 20000 and max(sizes) < 20000 / 4
+
+
+def test_decisions_read_commands_once_and_bookings_twice(spark, sf_dir):
+    db = StarSchema(spark, sf_dir)
+    outcomes = lifecycle.command_outcomes(db.command, db.booking_state, db.menu, db.rtable, db.masks)
+    plan = outcomes._jdf.queryExecution().optimizedPlan().toString()
+    scans = {t: sum(f"{c}#" in line for line in plan.splitlines() if "Relation [" in line) for t, c in {
+        "events": "event_id", "orders": "o_orderkey", "lineitem": "l_orderkey",
+    }.items()}
+    assert scans == {"events": 1, "orders": 2, "lineitem": 1}
