@@ -241,12 +241,17 @@ def near_duplicates(
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, of one document in each group: its smallest id.
 
-    Rows without id stay; of rows that repeat an id one stays.
+    Rows without id stay; of rows that repeat an id the one with the least text stays.
     """
     found = near_duplicates(docs).where("doc_id is not null and kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
     found = stored(found.select(F.col("doc_id").alias("_kept"), "_n"), "kept")
-    repeated = not found.where("_n > 1").isEmpty()
-    stay = docs.join(found.select("_kept"), docs["doc_id"].cast("bigint") == F.col("_kept"), "left_semi")
-    if repeated:
-        stay = stay.dropDuplicates(["doc_id"])
+    stay = docs.alias("d").join(found.alias("f"), F.col("d.doc_id").cast("bigint") == F.col("f._kept"), "left_semi")
+    if not found.where("_n > 1").isEmpty():
+        several = found.where("_n > 1").select(F.col("_kept").alias("_again"))
+        again = stay.join(several, stay["doc_id"].cast("bigint") == several["_again"], "left_semi")
+        once = stay.join(several, stay["doc_id"].cast("bigint") == several["_again"], "left_anti")
+        # Of rows with the least text, any may stay: other columns have no order.
+        least = again.groupBy(F.col("doc_id").alias("_id")).agg(F.min("text").alias("_text"))
+        first = again.join(least, (again["doc_id"] == least["_id"]) & again["text"].eqNullSafe(least["_text"]), "left_semi")
+        stay = once.unionByName(first.dropDuplicates(["doc_id"]))
     return stay.unionByName(docs.where("doc_id is null"))

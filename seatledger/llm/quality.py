@@ -208,10 +208,15 @@ def training_sample(labels: DataFrame, label_col: str, sample: int = SAMPLE, see
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Fit on the labelled documents among ``docs``; the sample's ids are few enough to broadcast."""
+    """Fit on the labelled documents among ``docs``; the sample's ids are few enough to broadcast.
+
+    A document that comes in several rows trains by its least text, so the driver gets no
+    more rows than the sample has ids, in whatever order the table lies.
+    """
     chosen = F.broadcast(training_sample(labels, "quality", sample))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = texts.join(chosen, "doc_id").select("doc_id", "label", document_statistics("text").alias("_x")).toArrow()
+    one = texts.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = one.select("doc_id", "label", document_statistics("text").alias("_x")).toArrow()
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     x = rows.column("_x").combine_chunks().flatten().to_numpy().reshape(-1, len(STATISTICS))
     return fit_trees(x[order], rows.column("label").to_numpy()[order])

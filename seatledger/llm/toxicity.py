@@ -175,7 +175,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     chosen = F.broadcast(training_sample(labels, "toxic", sample))
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("?")) if "lang" in docs.columns else F.lit("?")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", lang.alias("lang"))
-    rows = texts.join(chosen, "doc_id").select("doc_id", "lang", "label", text_terms("text").alias("terms"))
+    # A document in several rows trains by the least of them: at most as many rows as the sample has ids.
+    one = texts.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("text", "lang")).alias("_r"))
+    rows = one.select("doc_id", "label", "_r.*").select("doc_id", "lang", "label", text_terms("text").alias("terms"))
     rows = stored(rows, "terms")
     if rows.isEmpty():
         return Chain(names, {}, [np.zeros(1 + j) for j in range(len(names))])
