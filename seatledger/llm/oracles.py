@@ -90,7 +90,7 @@ m AS (SELECT c, len(l) AS n, d, list_slice(l, 1, d) AS s FROM (SELECT c, l, unne
 k AS (
   SELECT s, d, min(c) AS conv_id, count(*) AS n_convs,
          sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256,
-         CASE WHEN d > 0 THEN len(regexp_extract_all(s[d].x, '[^ 	-]+')) ELSE 0 END AS w
+         CASE WHEN d > 0 THEN len(regexp_extract_all(s[d].x, '[^\x20\x09-\x0D]+')) ELSE 0 END AS w
   FROM m GROUP BY s, d),
 e AS (SELECT s[1:d - 1] AS s, d - 1 AS d, count(*) AS n FROM k WHERE d > 0 GROUP BY ALL),
 f AS (SELECT k.*, coalesce(e.n, 0) AS n_children FROM k LEFT JOIN e USING (s, d)),
