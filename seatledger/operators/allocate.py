@@ -13,8 +13,12 @@ Member gate. Starting from "nobody is gated", allocate, take each member's earli
 success, gate that member's later requests, and repeat until no request's gate changes.
 After round k the first k requests of the global order are final, because a request's gate
 and its restaurant's state depend only on earlier requests, so the loop ends, and a round
-that changes no gate satisfies the sequential rule for every request. A round scans only
-the (restaurant, date) pairs whose gates moved.
+that changes no gate satisfies the sequential rule for every request.
+
+Rounds work on changes alone. A round looks at the requests of members whose first success
+moved, scans the (restaurant, date) pairs where that moved a gate, and appends what it found
+under its number; nothing written is written again. A pair's bookings are those of the last
+round that scanned it, and the versions are merged once, after the last round.
 """
 
 from __future__ import annotations
@@ -24,10 +28,11 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seatledger.functions.expressions import SLOTS_PER_DAY, slot_fits, slot_mask
 from seatledger.operators.availability import SHAPE
-from seatledger.session import checkpoint_root
+from seatledger.session import scratch_path, stored
 
 DAY = ["restaurant_id", "service_date"]
 
@@ -62,6 +67,24 @@ def _first_fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class _Versions:
+    """Rows of several rounds below one shared folder, each round written once."""
+
+    def __init__(self, rows: DataFrame, name: str):
+        self._spark, self._folder, self._rounds = rows.sparkSession, scratch_path(rows.sparkSession, name), 0
+        self.schema = rows.schema
+        self.append(rows)
+
+    def append(self, rows: DataFrame) -> None:
+        rows.select(*self.schema.names).write.parquet(f"{self._folder}/_round={self._rounds}")
+        self._rounds += 1
+
+    def rows(self) -> DataFrame:
+        """All rounds so far, with the number of each row's in ``_round``."""
+        kinds = T.StructType([*self.schema.fields, T.StructField("_round", T.IntegerType())])
+        return self._spark.read.schema(kinds).parquet(self._folder)
+
+
 def _leading_per_shape(requests: DataFrame, salts: int, widest: int) -> DataFrame:
     """The first ``table_count`` requests of every shape.
 
@@ -95,10 +118,10 @@ def allocate_bookings(
 
     ``masks`` is the occupancy before the batch, ``open_bookings`` the bookings that
     already gate their member: an open booking anywhere refuses the request. With
-    ``gate=("member_id", "service_date")`` only one of the same date does.
+    ``gate=("member_id", "service_date")`` only one of the same date does. The rounds run
+    when this is called, not when the result is read.
     """
     spark = requests.sparkSession
-    checkpoint_root(spark)
     gate = list(gate)
     if not set(gate) <= {"member_id", "service_date"}:
         raise ValueError("the gate is made of member_id and service_date")
@@ -110,21 +133,21 @@ def allocate_bookings(
 
     table_count = rtables.groupBy("restaurant_id").agg(F.count(F.lit(1)).alias("table_count"))
     widest = table_count.agg(F.max("table_count")).first()[0] or 0
-    live = (
+    live = stored(
         batch.where(F.col("held_booking").isNull() & slot_fits(start, duration, slots))
         .join(table_count, "restaurant_id")
-        .select("request_id", "ts", "member_id", *SHAPE, "table_count")
-        .checkpoint()
+        .select("request_id", "ts", "member_id", *SHAPE, "table_count"),
+        "live",
     )
-    day_tables = (
+    day_tables = stored(
         live.select(*DAY).distinct()
         .join(rtables.select("restaurant_id", "table_id"), "restaurant_id")
         .join(masks, ["table_id", "service_date"], "left")
         .select(
             *DAY, "table_id", F.coalesce("occupied_mask", F.lit(0).cast("bigint")).alias("mask"),
             F.lit(None).cast("bigint").alias("request_id"), F.lit(None).cast(live.schema["ts"].dataType).alias("ts"),
-        )
-        .checkpoint()
+        ),
+        "day-tables",
     )
 
     order = F.struct("ts", "request_id")
@@ -143,33 +166,49 @@ def allocate_bookings(
         )
         return eligible.select("request_id", "ts", *DAY, "member_id").join(chosen, "request_id")
 
-    def earliest(accepted: DataFrame, name: str) -> DataFrame:
-        return accepted.groupBy(*gate).agg(F.min(order).alias(name))
-
     def passes(first: str) -> Column:
         return F.col(first).isNull() | (order <= F.col(first))
 
+    def earliest(bookings: DataFrame) -> DataFrame:
+        return bookings.groupBy(*gate).agg(F.min(order).alias("first_success"))
+
+    scanned = _Versions(day_tables.select(*DAY).limit(0), "scanned")
+    found = _Versions(scan(live, day_tables), "accepted")
+
+    def accepted() -> DataFrame:
+        last = scanned.rows().groupBy(*DAY).agg(F.max("_round").alias("_last"))
+        return found.rows().join(last, DAY, "left").where("_round = coalesce(_last, 0)").drop("_round", "_last")
+
+    firsts = _Versions(earliest(accepted()), "firsts")
+
+    def latest() -> DataFrame:
+        return firsts.rows().groupBy(*gate).agg(F.max_by("first_success", "_round").alias("first_success"))
+
     # A member with one request cannot be gated by the batch; the rest decide about more rounds.
-    several = live.groupBy(*gate).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*gate).checkpoint()
-    accepted = scan(live, day_tables).checkpoint()
-    latest = earliest(accepted, "first_success").checkpoint()
-    known = latest.limit(0)
+    several = stored(live.groupBy(*gate).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*gate), "several")
+    moved = firsts.rows().drop("_round").withColumn("_before", F.lit(None).cast(firsts.schema["first_success"].dataType))
     while True:
-        # Only days where some request's gate moved have to be scanned again.
-        moved = known.withColumnRenamed("first_success", "_before").join(latest, gate, "full")
-        gated = live.join(moved.join(several, gate, "left_semi"), gate, "left")
-        stale = gated.where(passes("_before") != passes("first_success")).select(*DAY).distinct().checkpoint()
+        touched = live.join(moved.join(several, gate, "left_semi"), gate)
+        stale = stored(touched.where(passes("_before") != passes("first_success")).select(*DAY).distinct(), "stale")
         if stale.isEmpty():
             break
-        again = gated.where(passes("first_success")).drop("_before", "first_success")
-        fresh = scan(again.join(stale, DAY, "left_semi"), day_tables.join(stale, DAY, "left_semi"))
-        accepted = accepted.join(stale, DAY, "left_anti").unionByName(fresh).checkpoint()
-        known, latest = latest, earliest(accepted, "first_success").checkpoint()
-
-    won = accepted.select("request_id", "table_id")
+        again = live.join(stale, DAY, "left_semi").join(latest(), gate, "left").where(passes("first_success"))
+        fresh = scan(again.drop("first_success"), day_tables.join(stale, DAY, "left_semi"))
+        known = firsts.rows()
+        found.append(fresh)
+        scanned.append(stale)
+        # Whoever held or holds a booking of a scanned day may have another first success.
+        asked = found.rows().join(stale, DAY, "left_semi").select(*gate).distinct()
+        before = known.groupBy(*gate).agg(F.max_by("first_success", "_round").alias("_before"))
+        now = asked.join(earliest(accepted().join(asked, gate, "left_semi")), gate, "left")
+        changed = now.join(before, gate, "left").where(~F.col("first_success").eqNullSafe(F.col("_before")))
+        moved = stored(changed, "moved")
+        firsts.append(moved.drop("_before"))
+
+    won, latest_first = accepted().select("request_id", "table_id"), latest()
     own_earlier = F.coalesce(F.col("first_success") < order, F.lit(False))
     return (
-        batch.join(latest, gate, "left")
+        batch.join(latest_first, gate, "left")
         .join(won, "request_id", "left")
         .withColumn(
             "outcome",
