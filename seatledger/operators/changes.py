@@ -11,9 +11,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatledger.functions.expressions import CANCELLATION_FEE, slots_of
+from seatledger.functions.expressions import CANCELLATION_FEE, SLOTS_PER_DAY, slots_of
 from seatledger.schemas import FOREIGN_KEYS, ForeignKey
-from seatledger.session import checkpoint_root
+from seatledger.session import scratch_path
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
@@ -67,12 +67,13 @@ def apply_changes(
 def booking_cells(bookings: DataFrame) -> DataFrame:
     """One row per (booking, slot) it occupies, turning the interval into an equi-key.
 
-    The factor is the booking duration, at most the number of slots in a day.
+    The factor is the booking duration, at most the number of slots in a day. A booking that
+    runs past closing ends with the day's last slot: no table has cells beyond it.
     """
     return bookings.select(
         "booking_id", "table_id", "service_date",
         F.explode(slots_of(F.col("start_time_slot"), F.col("booking_duration"))).alias("slot_id"),
-    )
+    ).where(F.col("slot_id") <= SLOTS_PER_DAY)
 
 
 def occupy_slots(grid: DataFrame, accepted: DataFrame) -> DataFrame:
@@ -147,36 +148,43 @@ def cascade_delete(
 ) -> dict[str, DataFrame]:
     """Remove rows of ``root`` and everything that references them, level by level.
 
-    ``deleted`` carries the root's key column. Each table drops the rows whose parent is
-    among the removed ones, with NULL references kept, and hands the keys it lost itself
-    to its own children. Those keys are checkpointed, so a level is not derived again for
-    every level below it.
+    ``deleted`` carries the root's key column. Every table is read once: it meets the keys
+    its parents lost in one pass that marks each row, NULL references staying unmarked. A
+    table with children of its own is written with its marks, so that the rows that stay
+    and the keys it lost are two folders of the same write. Runs when called.
     """
-    checkpoint_root(deleted.sparkSession)
+    spark = deleted.sparkSession
     edges = [fk for fk in foreign_keys if fk.child in tables and fk.parent in tables]
     lost: dict[str, DataFrame] = {root: deleted}
     remaining = dict(tables)
     for name in _children_after_parents(edges, root):
-        doomed = [fk for fk in edges if fk.child == name and fk.parent in lost]
         if name == root:
             remaining[name] = tables[name].join(deleted, deleted.columns, "left_anti")
             continue
-        if not doomed:
-            continue
-        frame = tables[name]
-        gone = None
-        for fk in doomed:
-            keys = lost[fk.parent].select(F.col(fk.parent_key).alias(fk.column)).distinct()
-            hit = frame.join(keys, fk.column, "left_semi")
-            frame = frame.join(keys, fk.column, "left_anti")
-            gone = hit if gone is None else gone.unionByName(hit)
-        remaining[name] = frame
+        marked = _marked(tables[name], [fk for fk in edges if fk.child == name and fk.parent in lost], lost)
         referenced = sorted({fk.parent_key for fk in edges if fk.parent == name})
         if referenced:
-            lost[name] = gone.select(*referenced).distinct().checkpoint()
+            folder = scratch_path(spark, f"cascade-{name}")
+            marked.write.partitionBy("_gone").parquet(folder)
+            marked = spark.read.schema(marked.schema).parquet(folder)
+            lost[name] = marked.where("_gone").select(*referenced).distinct()
+        remaining[name] = marked.where("not _gone").drop("_gone")
     return remaining
 
 
+def _marked(frame: DataFrame, references: list[ForeignKey], lost: Mapping[str, DataFrame]) -> DataFrame:
+    """``frame`` with ``_gone``: whether any of its references is among the lost keys."""
+    columns, hits = frame.columns, []
+    for i, fk in enumerate(references):
+        hits.append(F.coalesce(F.col(f"_hit{i}"), F.lit(False)))
+        keys = lost[fk.parent].select(F.col(fk.parent_key).alias(f"_key{i}"), F.lit(True).alias(f"_hit{i}")).distinct()
+        frame = frame.join(keys, F.col(fk.column) == F.col(f"_key{i}"), "left")
+    gone = F.lit(False)
+    for hit in hits:
+        gone = gone | hit
+    return frame.select(*columns, gone.alias("_gone"))
+
+
 def _children_after_parents(edges: list[ForeignKey], root: str) -> list[str]:
     """Tables reachable from ``root``, every table after all of its reachable parents."""
     reachable = {root}

@@ -98,9 +98,9 @@ VIEWS: dict[str, str] = {
     "open_booking": "SELECT * FROM booking WHERE booking_status IN ('scheduled', 'ongoing')",
     "open_cell": """
         SELECT booking_id, table_id, service_date, CAST(s.k AS INTEGER) AS slot_id
-        FROM open_booking, range(1, 21) s(k)
+        FROM open_booking, range(1, 15) s(k)
         WHERE s.k BETWEEN start_time_slot AND start_time_slot + booking_duration - 1""",
-    "occupied_cell": "SELECT DISTINCT table_id, service_date, slot_id FROM open_cell WHERE slot_id <= 14",
+    "occupied_cell": "SELECT DISTINCT table_id, service_date, slot_id FROM open_cell",
     "ask": """
         SELECT booking_id AS request_id, restaurant_id, service_date, start_time_slot, booking_duration
         FROM booking WHERE booking_status = 'cancelled'""",
