@@ -445,6 +445,23 @@ def oracles() -> dict[str, str]:
                CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN 'cancelled' ELSE 'scheduled' END
                    AS booking_status
         FROM orders"""
+    month = "strftime({}, '%Y-%m')".format
+    q["insert_defaults"] = _sql(f"item member {_BK} order_line time_slot", """
+        SELECT arrival, column_name, value, count(*) AS n FROM (
+            SELECT 'member' AS arrival, 'cancellation_penalty' AS column_name, '0.00' AS value FROM member
+            UNION ALL SELECT 'booking', 'booking_created', """ + month("booking_created") + """ FROM booking
+            UNION ALL SELECT 'table_status', 'status', 'vacant'
+                      FROM (SELECT DISTINCT table_id, service_date FROM booking), time_slot
+            UNION ALL SELECT 'booking_status', 'booking_status', 'scheduled' FROM booking
+            UNION ALL SELECT 'booking_status', 'last_activity', """ + month("booking_created") + """ FROM booking
+            UNION ALL SELECT 'booking_status, given', 'booking_status', 'cancelled' FROM booking
+                      WHERE booking_status = 'cancelled'
+            UNION ALL SELECT 'booking_status, given', 'last_activity', NULL FROM booking
+                      WHERE booking_status = 'cancelled'
+            UNION ALL SELECT 'order_line', 'order_time', """ + month("l_shipdate") + """ FROM lineitem
+            UNION ALL SELECT 'billing', 'payment_status', 'pending' FROM order_line JOIN item USING (item_id)
+            UNION ALL SELECT 'program_log', 'log_timestamp', """ + month("ts") + """ FROM events)
+        GROUP BY ALL""")
     q["dense_keys"] = """
         SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
                                            l_extendedprice) AS order_id,

@@ -12,9 +12,9 @@ from seatledger.operators.allocate import allocate_bookings
 from seatledger.operators.availability import available_tables, find_available_table
 from seatledger.operators.ordering import dense_keys
 from seatledger.plans import reports
-from seatledger.schemas import DEFAULTS, FOREIGN_KEYS, ForeignKey
+from seatledger.schemas import DEFAULTS, FOREIGN_KEYS, NOW_DEFAULTS, ForeignKey
 from seatledger.session import scratch_path
-from seatledger.sources import generators
+from seatledger.sources import catalogue, generators
 from seatledger.sources.star_schema import LINE_ORDER, StarSchema
 from seatledger.streaming import jobs
 from seatledger.streaming import lifecycle as keyed
@@ -75,6 +75,42 @@ def ingest_defaults(db):
     return changes.with_defaults(arriving, DEFAULTS["booking_status"])
 
 
+def _arrivals(db) -> dict[str, tuple[DataFrame, str | None]]:
+    """Rows as they arrive, without the columns that have defaults, and their event time."""
+    asked = db.booking.withColumnRenamed("booking_created", "at")
+    cancelled = db.bookings_in("cancelled").select("booking_id", F.col("booking_status"), F.col("booking_created").alias("at"))
+    ordered = db.raw("lineitem").select(
+        F.col("l_orderkey").alias("booking_id"), F.col("l_partkey").alias("item_id"),
+        F.col("l_quantity").cast("int").alias("quantity"), F.col("l_shipdate").cast("timestamp").alias("at"),
+    )
+    told = db.command.select(F.col("command_id").alias("log_id"), F.col("command").alias("message"), F.col("ts").alias("at"))
+    return {
+        "member": (db.member.drop("cancellation_penalty"), None),
+        "booking": (asked, "at"),
+        "table_status": (generators.booked_days_grid(db.booking).select("table_id", "service_date", "slot_id"), None),
+        "booking_status": (asked.select("booking_id", "at"), "at"),
+        # Rows that bring the column keep what they bring, a NULL too.
+        "booking_status, given": (cancelled.withColumn("last_activity", F.lit(None).cast("timestamp")), "at"),
+        "order_line": (ordered, "at"),
+        "billing": (billing.priced_lines(db.order_line, db.item).select("booking_id", "total_amount"), None),
+        "program_log": (told, "at"),
+    }
+
+
+@query
+def insert_defaults(db):
+    """What inserts that leave out the columns with defaults store in them: rows per value, times by month."""
+    found = []
+    for arrival, (rows, event_time) in _arrivals(db).items():
+        table = arrival.split(",")[0]
+        stored_rows = catalogue.inserted(rows, table, event_time)
+        for column in (*DEFAULTS.get(table, ()), *NOW_DEFAULTS.get(table, ())):
+            value = F.date_format(column, "yyyy-MM") if column in NOW_DEFAULTS.get(table, ()) else F.col(column).cast("string")
+            counted = stored_rows.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+            found.append(counted.select(F.lit(arrival).alias("arrival"), F.lit(column).alias("column_name"), "value", "n"))
+    return audits.stack(found)
+
+
 @query
 def _dense_keys(db):
     lines = db.raw("lineitem").select(*LINE_ORDER)

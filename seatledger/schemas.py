@@ -103,6 +103,14 @@ DEFAULTS: dict[str, dict[str, object]] = {
     "billing": {"payment_status": "pending"},
 }
 
+# The columns whose declared default is the current time.
+NOW_DEFAULTS: dict[str, tuple[str, ...]] = {
+    "booking": ("booking_created",),
+    "booking_status": ("last_activity",),
+    "order_line": ("order_time",),
+    "program_log": ("log_timestamp",),
+}
+
 # Declared text lengths.
 TEXT_LIMITS: dict[tuple[str, str], int] = {
     ("restaurant", "restaurant_name"): 100,
@@ -133,6 +141,7 @@ DECIMAL_LIMITS: dict[tuple[str, str], tuple[int, int]] = {
     ("past_booking", "total_price_after_tax"): (10, 2),
 }
 
+# Keys, unique and mandatory columns, references.
 PRIMARY_KEYS: dict[str, str] = {
     "restaurant": "restaurant_id",
     "rtable": "table_id",

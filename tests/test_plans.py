@@ -16,7 +16,7 @@ from seatledger.sources.tables import Database
 
 BATCH = [q for q in all_queries() if not q.startswith("stream_")]
 # These run jobs while being built; their last plan says little about them.
-EAGER = {"cascade_delete_restaurant"}
+EAGER = {"cascade_delete_restaurant", "insert_defaults"}
 
 
 def plan(df) -> str:

@@ -4,11 +4,12 @@ from decimal import Decimal
 
 import pytest
 
-from fixtures import small_database
+from fixtures import at, small_database
 from seatledger.functions.expressions import log_message
 from seatledger.plans import reports
+from seatledger.schemas import DEFAULTS, NOW_DEFAULTS
 from seatledger.session import checkpoint_root, scratch_path
-from seatledger.sources import generators
+from seatledger.sources import catalogue, generators
 from seatledger.sources.tables import Database, append_table, read_table, reload_table, write_bucketed
 from pyspark.sql import functions as F
 
@@ -102,3 +103,32 @@ def test_reports_run_on_an_empty_database(spark):
                    reports.avg_revenue_per_booking, reports.active_member_website_bookings, reports.busiest_slots):
         assert report(db).count() == 0
     assert reports.member_booking_summary(db).count() == 4
+
+
+def test_inserts_fill_declared_defaults_and_keep_given_nulls(spark, tmp_path):
+    early = spark.createDataFrame([(1, at(1)), (2, at(2))], "booking_id long, seen timestamp")
+    plain = {r.booking_id: r for r in catalogue.inserted(early, "booking_status", "seen").collect()}
+    assert {r.booking_status for r in plain.values()} == {"scheduled"}
+    times = dict(early.selectExpr("booking_id", "unix_timestamp(seen)").collect())
+    stored = catalogue.inserted(early, "booking_status", "seen").selectExpr("booking_id", "unix_timestamp(last_activity)")
+    assert dict(stored.collect()) == times and all(r.out_time is None and r.employee_id is None for r in plain.values())
+
+    given = early.selectExpr("booking_id", "cast(null as string) booking_status", "cast(null as timestamp) last_activity")
+    row = catalogue.inserted(given, "booking_status").first()
+    assert row.booking_status is None and row.last_activity is None
+    # Without an event time the clock dates the row; an empty insert stores nothing.
+    assert catalogue.inserted(early.select("booking_id"), "booking_status").where("last_activity is null").isEmpty()
+    assert catalogue.inserted(early.limit(0), "booking_status", "seen").isEmpty()
+    with pytest.raises(ValueError):
+        catalogue.inserted(early, "booking_status")
+
+    # The definition stays while the table does, and fills later inserts too.
+    name = catalogue.create_table(spark, "member", str(tmp_path / "member"), "kept_member")
+    try:
+        for k in (1, 2):
+            catalogue.insert_rows(spark.createDataFrame([(k,)], "member_id long"), "member", name)
+        assert spark.table(name).where("cancellation_penalty = 0 and username is null").count() == 2
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    declared = {(t, c) for t in DEFAULTS for c in DEFAULTS[t]} | {(t, c) for t in NOW_DEFAULTS for c in NOW_DEFAULTS[t]}
+    assert all(catalogue.default_clause(t, c) for t, c in declared)
