@@ -9,10 +9,10 @@
 2. Equal sets collapse into classes by a 128-bit fingerprint, whatever their number.
 3. ``ROWS`` coordinates make one band. Members of a bucket are compared with its least
    member only (their commonest pivot); classes that this links are contracted.
-4. Buckets that still hold several components are searched again: members outside the
-   largest component meet the rest inside a join whose condition is the similarity of the
-   full sets. No link is lost to the choice of pivots, and no pair leaves the join unless
-   it is one.
+4. The members of buckets that still hold several components are searched again, by an
+   index on their full sets: rarest shingles first, as many as a link has to meet in. No
+   link is lost to the choice of pivots, and a family of documents that share a template
+   without being near makes no candidates.
 5. Links are confirmed on full sets throughout; components come from star contraction.
 
 With 72 bands of 6 rows a pair at exactly 0.75 is missed with a chance below 1e-6.
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatledger.llm.components import components, stored
@@ -151,39 +151,47 @@ def _first_pairs(buckets: DataFrame) -> DataFrame:
     return shared.groupBy("node").agg(best.alias("_best")).select((-F.col("_best._p")).alias("a"), F.col("node").alias("b"))
 
 
-def _open_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (key, node, root, minor) of the buckets that hold several components.
-
-    ``minor`` marks the members outside the bucket's largest component.
-    """
+def _open_members(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (node, root) of the buckets that hold several components."""
     own = roots.withColumnRenamed("root", "_root")
-    members = buckets.join(own, "node", "left").select("key", "node", F.coalesce("_root", "node").alias("root"))
-    parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("_n"))
-    largest = parts.groupBy("key").agg(F.max(F.struct("_n", "root")).alias("_top"), F.count(F.lit(1)).alias("_parts"))
-    still = largest.where("_parts > 1").select("key", F.col("_top.root").alias("_main"))
-    return members.join(still, "key").select("key", "node", "root", (F.col("root") != F.col("_main")).alias("minor"))
+    members = stored(buckets.join(own, "node", "left").select("key", "node", F.coalesce("_root", "node").alias("root")), "members")
+    still = members.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi")
+    return members.join(still.select("key"), "key").select("node", "root").distinct()
 
 
 def _cross_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Near pairs between different components of one bucket, minor members against all others.
-
-    Sets of half-length hashes stand in the rows and their similarity in the join's
-    condition: pairs are judged while the join meets them, and only near ones leave it. Two
-    shingles of one pair may fall on the same short hash, for which ``slack`` allows; full
-    sets decide afterwards.
+    """Candidates (a, b) for near pairs between different components of ``members``.
+
+    An index on the full sets. Shingles stand in one order for all sets: first those that a
+    single component holds, then by the number of sets that hold them. A near pair shares a
+    shingle among the first quarter (100 - percent) of the larger set and among the first
+    seventh of the smaller, by the overlap that their sizes ask for. Sets of one template
+    below the similarity have more than that of their own in front of the template's
+    shingles, so such a family makes no pairs, whatever its size. Among the sets that meet at
+    a shingle, those of the largest component are not compared with each other.
     """
-    brief = sets.select("node", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("_s"))
-    full = members.join(brief, "node")
-    small = full.where("minor").select("key", F.col("node").alias("_x"), F.col("root").alias("_rx"), F.col("_s").alias("_sx"))
-    every = full.select("key", F.col("node").alias("_y"), F.col("root").alias("_ry"), F.col("minor").alias("_my"), F.col("_s").alias("_sy"))
-    m, n = F.size("_sx"), F.size("_sy")
-    sized = (m * 100 >= n * percent) & (n * 100 >= m * percent)
-    once = (F.col("_rx") != F.col("_ry")) & (~F.col("_my") | (F.col("_x") < F.col("_y")))
-    slack = 2 + (m + n) / 2000
-    # |x and y| * 100 >= percent * (m + n - |x and y|), solved for the common part
-    near = (F.size(F.array_intersect("_sx", "_sy")) + slack) * (100 + percent) >= (m + n) * percent
-    joined = small.alias("s").join(every.alias("e"), (F.col("s.key") == F.col("e.key")) & once & sized & near)
-    return joined.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).distinct()
+    p = percent
+    held = members.join(sets, "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    holders = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("_c"), F.min("root").alias("_lo"), F.max("root").alias("_hi"))
+    shared = held.join(holders.where("_lo < _hi").select("shingle", "_c"), "shingle")
+    ranked = Window.partitionBy("node").orderBy("_c", "shingle")
+    at = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node")) + F.row_number().over(ranked) - 1
+    front = shared.withColumn("at", at).where(f"at <= n - (n * {p} + 99) div 100")
+    front = front.withColumn("early", F.expr(f"at <= n - (2 * {p} * n + {99 + p}) div {100 + p}"))
+    entries = stored(front.select("shingle", "node", "root", "n", "at", "early"), "entries")
+
+    parts = entries.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("_n"))
+    largest = parts.groupBy("shingle").agg(F.max(F.struct("_n", "root")).alias("_top"), F.count(F.lit(1)).alias("_parts"))
+    met = entries.join(largest.where("_parts > 1").select("shingle", F.col("_top.root").alias("_main")), "shingle")
+    met = stored(met.withColumn("minor", F.col("root") != F.col("_main")).drop("_main"), "met")
+    x = met.where("early").select("shingle", *(F.col(c).alias(f"{c}_x") for c in ("node", "root", "n", "at", "minor")))
+    y = met.select("shingle", *(F.col(c).alias(f"{c}_y") for c in ("node", "root", "n", "at", "minor")))
+    smaller = F.struct("n_x", "node_x") < F.struct("n_y", "node_y")
+    room = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
+    fits = (F.col("n_y") * p <= F.col("n_x") * 100) & (room * (100 + p) >= (F.col("n_x") + F.col("n_y")) * p)
+    meeting = [x.where("minor_x").join(y, "shingle"), x.where("not minor_x").join(y.where("minor_y"), "shingle")]
+    pairs = meeting[0].unionByName(meeting[1]).where((F.col("root_x") != F.col("root_y")) & smaller & fits)
+    return pairs.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -217,7 +225,7 @@ def near_duplicates(
     links = stored(_confirmed(_first_pairs(buckets), sets, percent), "links")
     roots = stored(components(links), "roots")
 
-    open_ones = stored(_open_buckets(buckets, roots), "members")
+    open_ones = stored(_open_members(buckets, roots), "open")
     more = stored(_confirmed(_cross_pairs(open_ones, sets, percent), sets, percent), "links")
     if not more.isEmpty():
         joined = more.unionByName(links)
@@ -226,6 +234,8 @@ def near_duplicates(
     labels = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "f1", "f2", F.coalesce("root", "rep").alias("_root")
     )
+    # Written first, so that the join below is a stage of its own and can be split where copies abound.
+    labels = stored(labels, "labels")
     out = signed.select("doc_id", "n", *(F.when(F.col("n") > 0, F.col(c)).alias(c) for c in ("f1", "f2")))
     alone = F.col("doc_id").isNull() | (F.col("n") == 0)
     settled = out.where(~alone).join(labels, ["f1", "f2"]).select("doc_id", "n", "_root")

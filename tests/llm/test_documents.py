@@ -83,6 +83,40 @@ def test_near_duplicates_of_random_edits(spark):
     assert {r.doc_id for r in stay.collect()} == {k[0] for k in got if k[3]}
 
 
+def template_family(n, shared=150, own=50):
+    body = " ".join(f"s{k}" for k in range(shared))
+    return [(i, body + "".join(f" o{i}x{k}" for k in range(own))) for i in range(n)]
+
+
+def test_a_family_of_one_template_makes_no_candidates(spark):
+    docs = template_family(300)
+    docs += [(1000 + i, t.replace(f"o{i}x49", "edit")) for i, t in docs[:5]]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()}
+    assert got == {i: i % 1000 for i, _ in docs}
+    sets = df.select(F.col("doc_id").alias("node"), near_dedup._full_sets(5)("text").alias("shingles"))
+    members = df.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("root"))
+    pairs = near_dedup._cross_pairs(members, sets, 75).collect()
+    assert {(r.a, r.b) for r in pairs} == {(i, 1000 + i) for i in range(5)}
+
+
+@pytest.mark.parametrize("percent", [60, 75, 90])
+def test_index_on_full_sets_meets_every_near_pair(spark, percent):
+    rng = random.Random(percent)
+    base = list(range(60))
+    sets = [sorted({*rng.sample(base, rng.randint(30, 60)), *rng.sample(range(60, 200), rng.randint(0, 12))}) for _ in range(150)]
+    root = [rng.randrange(40) for _ in sets]
+    near = {
+        (i, j) for i in range(150) for j in range(i + 1, 150)
+        if root[i] != root[j] and 100 * len({*sets[i]} & {*sets[j]}) >= percent * len({*sets[i]} | {*sets[j]})
+    }
+    given = spark.createDataFrame(list(enumerate(sets)), "node bigint, shingles array<bigint>")
+    members = spark.createDataFrame(list(enumerate(root)), "node bigint, root bigint")
+    found = {(r.a, r.b) for r in near_dedup._cross_pairs(members, given, percent).collect()}
+    # Two sets of the largest component at a shingle are never in question: their roots are equal.
+    assert near and near <= found
+
+
 def test_representatives_keep_columns_and_one_row(edge):
     stay = near_dedup.representatives(edge)
     assert stay.columns == edge.columns
