@@ -34,7 +34,11 @@ FROM m GROUP BY doc_id"""
 
 _OP4 = f"""
 WITH i AS ({_shingles('benchmark', 'item_id')}),
-d AS ({_shingles('documents', 'doc_id')}),
+v AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
+k AS (SELECT 5 AS k UNION SELECT len(string_split(g, ' ')) FROM i),
+d AS (SELECT DISTINCT doc_id, g FROM (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda j: array_to_string(w[j:j + k - 1], ' '))) AS g
+  FROM v JOIN k ON len(w) >= k)),
 n AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id)
 SELECT doc_id, item_id, n_shingles, count(*) AS n_found
 FROM d JOIN i USING (g) JOIN n USING (item_id)
