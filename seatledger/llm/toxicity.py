@@ -30,9 +30,9 @@ FOLDS, RIDGE, STEPS = 5, 1.0, 8
 #: Threshold without labels of both kinds.
 ACCEPT = 0.5
 
-#: The narrower categories. ``labels`` has no names for kinds of toxicity: these stand for the first
+#: The narrower categories. ``labels`` has no kinds of toxicity, so these are term groups: the first
 #: and second group of toxic terms that occur together in the sample, found for every language.
-GROUPS = ("insult", "contempt")
+GROUPS = ("terms_1", "terms_2")
 #: Toxic terms of a language that are grouped; their least chi-square, and as a part of the strongest one's.
 GROUPED, LEAST_CHI, LEAST_PART = 48, 15.0, 0.05
 
@@ -219,7 +219,7 @@ def category_scores(chain: Chain, text: Column) -> Column:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, p_insult, p_contempt, p_toxic, toxic`` for every row of ``docs``.
+    """``doc_id, p_terms_1, p_terms_2, p_toxic, toxic`` for every row of ``docs``.
 
     ``toxic`` is 1 from the chain's threshold on (a half without labels of both kinds). Null and empty texts have no words. Labels
     that are null are left out, the held-out fold of operator 1 never trains; without usable
