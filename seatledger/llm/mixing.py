@@ -87,6 +87,19 @@ def leaf_quotas(leaves: DataFrame, weights: Mapping[str, Mapping[str, int]], bud
     return leaves.join(parents, list(levels))
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its underscore columns under other names, and the name of each column."""
+    taken = {c.lower() for c in docs.columns}
+    names = {}
+    for c in docs.columns:
+        other = c
+        while c.startswith("_") and (other == c or other.lower() in taken):
+            other = f"aside{other}"
+        taken.add(other.lower())
+        names[c] = other
+    return docs.withColumnsRenamed({c: n for c, n in names.items() if c != n}), names
+
+
 def mix(
     docs: DataFrame,
     weights: Mapping[str, Mapping[str, int]],
@@ -105,8 +118,13 @@ def mix(
     of levels are compared as text; null is the name ``?``. Weights are whole numbers of at
     least 1. Null and empty texts have no tokens: they cost nothing and come with every
     whole epoch, and with a partial one when they stand before its end. Ties in the order
-    (equal id and text) are interchangeable rows. An empty table gives no rows.
+    (equal id and text) are interchangeable rows. Columns of ``docs`` that begin with an
+    underscore are kept under their names, unless the result has one of that name itself:
+    such a column is left out (:func:`mixed_rows` keeps it). An empty table gives no rows.
     """
+    added = {*(f"_{k}".lower() for k in levels), "_epoch", "_tokens", "_take"}
+    stays = [c for c in docs.columns if c.lower() not in added]
+    docs, names_of = _aside(docs)
     names = [f"_{k}" for k in levels]
     own = {f"_{k}": F.coalesce(v.cast("string"), F.lit("?")) for k, v in levels.items()}
     named = docs.select("*", *(c.alias(n) for n, c in own.items()))
@@ -144,10 +162,23 @@ def mix(
     upto = Window.partitionBy(*names).orderBy("_order", id_col, "_tokens").rowsBetween(Window.unboundedPreceding, -1)
     border = border.withColumn("_left", F.col("_part") - F.col("_before") - F.coalesce(F.sum("_tokens").over(upto), F.lit(0)))
     partial = border.where("_left > 0").withColumn("_epoch", F.col("_whole")).withColumn("_take", F.least("_tokens", "_left"))
-    columns = [*docs.columns, *names, "_epoch", "_tokens", "_take"]
+    columns = [*(F.col(names_of[c]).alias(c) for c in stays), *names, "_epoch", "_tokens", "_take"]
     return full.select(*columns).unionByName(partial.select(*columns))
 
 
+def mixed_rows(docs: DataFrame, weights: Mapping[str, Mapping[str, int]], levels: Mapping[str, Column], **how) -> DataFrame:
+    """The rows of :func:`mix` with the columns of ``docs`` alone, whatever their names, and a
+    text cut where a quota ends inside it; ``n_chars``, if there is one, follows the cut."""
+    hidden, names = _aside(docs)
+    taken = mix(hidden, weights, levels, **how)
+    whole = F.col("_take") >= F.col("_tokens")
+    out = taken.withColumn("text", cut_text(F.col("text"), F.col("_tokens"), F.col("_take")))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(length))
+    return out.select(*(F.col(n).alias(c) for c, n in names.items()))
+
+
 def cut_text(text: Column, tokens: Column, take: Column) -> Column:
     """``text``, or its first ``take`` words joined by blanks where a quota ends inside it."""
     return F.when(take >= tokens, text).otherwise(F.array_join(F.slice(words(text), F.lit(1), take.cast("int")), " "))
