@@ -173,7 +173,9 @@ def _cross_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     p = percent
     held = members.join(sets, "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     holders = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("_c"), F.min("root").alias("_lo"), F.max("root").alias("_hi"))
-    shared = held.join(holders.where("_lo < _hi").select("shingle", "_c"), "shingle")
+    # Counts are written before they are joined: a join that isn't planned with their aggregate can be split.
+    holders = stored(holders.where("_lo < _hi").select("shingle", "_c"), "holders")
+    shared = held.join(holders, "shingle")
     ranked = Window.partitionBy("node").orderBy("_c", "shingle")
     at = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node")) + F.row_number().over(ranked) - 1
     front = shared.withColumn("at", at).where(f"at <= n - (n * {p} + 99) div 100")
@@ -182,7 +184,8 @@ def _cross_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
     parts = entries.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("_n"))
     largest = parts.groupBy("shingle").agg(F.max(F.struct("_n", "root")).alias("_top"), F.count(F.lit(1)).alias("_parts"))
-    met = entries.join(largest.where("_parts > 1").select("shingle", F.col("_top.root").alias("_main")), "shingle")
+    largest = stored(largest.where("_parts > 1").select("shingle", F.col("_top.root").alias("_main")), "largest")
+    met = entries.join(largest, "shingle")
     met = stored(met.withColumn("minor", F.col("root") != F.col("_main")).drop("_main"), "met")
     x = met.where("early").select("shingle", *(F.col(c).alias(f"{c}_x") for c in ("node", "root", "n", "at", "minor")))
     y = met.select("shingle", *(F.col(c).alias(f"{c}_y") for c in ("node", "root", "n", "at", "minor")))
