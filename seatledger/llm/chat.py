@@ -82,11 +82,11 @@ def maximal_conversations(turns: DataFrame) -> DataFrame:
     hashed = ["position", "h1", "h2"]
     inner = marked.where("position < n_turns").select(*hashed).distinct()
     last = marked.where("position = n_turns").select("_key", "conv_id", *hashed)
-    whole = last.join(inner, hashed, "left_anti")
-    # Numeric ids first and in numeric order, then the keyless ones.
+    # Numeric ids first and in numeric order, then the keyless ones. Equal conversations become
+    # one row, combined before the shuffle, before they meet the prefixes.
     first = F.min(F.struct(F.col("conv_id").isNull().alias("_void"), "conv_id", "_key")).alias("_first")
-    chosen = whole.groupBy(*hashed).agg(first, F.count(F.lit(1)).alias("n_copies"))
-    kept = chosen.select(F.col("_first._key").alias("_key"), F.col("position").alias("n_turns"), "n_copies")
+    chosen = last.groupBy(*hashed).agg(first, F.count(F.lit(1)).alias("n_copies"))
+    kept = chosen.join(inner, hashed, "left_anti").select(F.col("_first._key").alias("_key"), F.col("position").alias("n_turns"), "n_copies")
     return prefixed.join(kept, "_key").select("conv_id", "_key", "position", "role", "text", "n_turns", "n_copies")
 
 
