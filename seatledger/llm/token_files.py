@@ -2,17 +2,20 @@
 
 Format, below one folder:
 
-``part-NNNNN.ids``   token ids of the part's documents one after another, little-endian
-                     unsigned, 16 bits wide when the vocabulary allows it, else 32
-``part-NNNNN.idx``   per document three little-endian 64-bit integers: doc_id, offset of its
-                     first id in the part, and 1 when the row has an id (0: doc_id is void);
-                     a closing entry holds the part's length
-``parts``            Parquet table (part, n_docs, n_ids, doc_base, id_base, width): the bases
-                     are prefix sums over the parts, so a document's place in the whole
-                     collection is base plus offset
-
-Parts are ranges of doc_id in ascending order. Each task writes under a name of its own
-attempt and renames it at the end, so a repeated task replaces a part by equal content.
+``part-NNNNN-*.ids``  token ids of the part's documents one after another, little-endian
+                      unsigned, 16 bits wide when the vocabulary allows it, else 32
+``part-NNNNN-*.idx``  per document three little-endian 64-bit integers: doc_id, offset of its
+                      first id in the part, and 1 when the row has an id (0: doc_id is void);
+                      a closing entry holds the part's length
+``parts``             Parquet table (part, n_docs, n_ids, width, file, doc_base, id_base): the
+                      name of the part's two files without their ending, and bases that are
+                      prefix sums over the parts, so a document's place in the whole
+                      collection is base plus offset
+
+Parts are ranges of (doc_id, text) in ascending order, so many rows without id or of one id
+spread over parts. Each attempt of a task writes files of its own name, and the table of
+parts names those of the attempt whose row was committed: nothing is renamed or replaced,
+and files that a lost attempt left are never read.
 """
 
 from __future__ import annotations
@@ -38,8 +41,10 @@ REMEMBERED = 400_000
 JOINED = 20_000
 #: Bytes of text in one part.
 PART_BYTES = 64 << 20
+#: Characters of a text that range bounds hold; whole texts would fill the driver with the sample.
+BOUND_CHARS = 64
 
-_PARTS = pa.schema([("part", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32())])
+_PARTS = pa.schema([("part", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()), ("file", pa.string())])
 _FOUND = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
@@ -120,7 +125,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, width: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         store, root = _place(folder)
-        own = f"{root}/part-{part:05d}", f"-{uuid.uuid4().hex}"
+        name = f"part-{part:05d}-{uuid.uuid4().hex}"
         encoder, n_docs, n_ids = None, 0, 0
         ids_file = index_file = None
         for batch in batches:
@@ -128,8 +133,8 @@ def _writer(folder: str, tokenizer: str, end_id: int, width: int):
                 continue
             if encoder is None:
                 encoder = _encoder(tokenizer)
-                ids_file = store.open_output_stream(f"{own[0]}.ids{own[1]}")
-                index_file = store.open_output_stream(f"{own[0]}.idx{own[1]}")
+                ids_file = store.open_output_stream(f"{root}/{name}.ids")
+                index_file = store.open_output_stream(f"{root}/{name}.idx")
             doc_ids = batch.column("doc_id")
             there = doc_ids.is_valid().to_numpy(zero_copy_only=False)
             doc_ids = doc_ids.fill_null(0).to_numpy(zero_copy_only=False)
@@ -145,10 +150,9 @@ def _writer(folder: str, tokenizer: str, end_id: int, width: int):
                 n_docs, n_ids = n_docs + len(piece), n_ids + int(counts.sum())
         if encoder is not None:
             index_file.write(np.array([0, n_ids, 0], "<i8").tobytes())
-            for file, kind in ((ids_file, "ids"), (index_file, "idx")):
-                file.close()
-                store.move(f"{own[0]}.{kind}{own[1]}", f"{own[0]}.{kind}")
-            yield pa.record_batch([[part], [n_docs], [n_ids], [width]], schema=_PARTS)
+            ids_file.close()
+            index_file.close()
+            yield pa.record_batch([[part], [n_docs], [n_ids], [width], [name]], schema=_PARTS)
 
     return write
 
@@ -168,8 +172,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     parts = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
     store, root = _place(folder)
     store.create_dir(root, recursive=True)
-    ordered = docs.select("doc_id", "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    written = ordered.mapInArrow(_writer(folder, tokenizer, end_id, width), "part int, n_docs bigint, n_ids bigint, width int")
+    # Beginnings of texts are ordered as the texts are, so both sort orders agree at the borders.
+    ranged = docs.select("doc_id", "text").repartitionByRange(parts, "doc_id", F.substring("text", 1, BOUND_CHARS))
+    ordered = ranged.sortWithinPartitions("doc_id", "text")
+    written = ordered.mapInArrow(_writer(folder, tokenizer, end_id, width), "part int, n_docs bigint, n_ids bigint, width int, file string")
     written.write.mode("overwrite").parquet(f"{folder}/sizes")
     # One row per part: the window over them all is over metadata.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -191,8 +197,8 @@ def _reader(folder: str):
         store, root = _place(folder)
         for batch in batches:
             for row in batch.to_pylist():
-                index = _mapped(store, f"{root}/part-{row['part']:05d}.idx", "<i8").reshape(-1, 3)
-                ids = _mapped(store, f"{root}/part-{row['part']:05d}.ids", f"<u{row['width']}")
+                index = _mapped(store, f"{root}/{row['file']}.idx", "<i8").reshape(-1, 3)
+                ids = _mapped(store, f"{root}/{row['file']}.ids", f"<u{row['width']}")
                 for lo in range(0, len(index) - 1, 4096):
                     own = index[lo : lo + 4097]
                     a, b = own[:-1, 1], own[1:, 1]

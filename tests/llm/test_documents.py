@@ -252,3 +252,22 @@ def test_encoder_beyond_its_memory(monkeypatch):
         whole = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in ("some words in a text", "", "a longer text of other words")]
         assert ids.tolist() == sum(whole, []) and counts.tolist() == [len(w) for w in whole]
     assert len(encoder.place) == 3
+
+
+def test_token_files_split_rows_of_one_id(spark):
+    """Rows without id and rows of one id spread over parts; files that no part names are not read."""
+    texts = [f"{k:04d} {'word ' * 40}{k}" for k in range(600)]
+    docs = spark.createDataFrame([(None if k % 2 else 7, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    folder = scratch_path(spark, "tokens")
+    parts = token_files.write_token_files(docs, folder, tokenizer_path())
+    sizes = [r["n_docs"] for r in parts.collect()]
+    assert len(sizes) >= 6 and max(sizes) < 200
+    place = folder.removeprefix("file:")
+    for kind in ("ids", "idx"):  # what a lost attempt leaves
+        with open(f"{place}/part-00000-lost.{kind}", "wb") as file:
+            file.write(b"\1\2\3")
+    read = token_files.read_token_files(spark, folder).collect()
+    assert Counter(r["doc_id"] for r in read) == {None: 300, 7: 300}
+    read.sort(key=lambda r: r["start"])
+    assert [r["doc_id"] for r in read] == [None] * 300 + [7] * 300
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(read, read[1:], strict=False))
