@@ -9,9 +9,11 @@ family is shared out does just that, in one window per level over node rows.
 
 A leaf streams its documents in epochs, each in an own order seeded by (seed, epoch,
 document), and takes the prefix of its quota in tokens: whole epochs, then a prefix of the
-next, whose last document may be cut. The prefix of a leaf that holds a third of all rows
-needs no sort of the leaf: token counts of 4,096 hash buckets find the bucket in which the
-quota ends, and only that bucket's documents are ordered.
+next, whose last document may be cut. Texts are read twice: once for a slim table of their
+token counts and hashes, once for the result. The prefix of a leaf that holds a third of all
+rows needs no sort of the leaf: the place where its quota ends is found digit by digit, by
+token counts of the first three hexadecimal digits of the order, then of the next three
+where those end, then of single documents, about one in 16 million of the leaf.
 """
 
 from __future__ import annotations
@@ -25,9 +27,10 @@ from seatledger.llm.components import stored
 from seatledger.llm.text import WORD, words
 
 LEVELS = ("domain", "lang", "source")
-BUCKET_BITS = 12
-#: Leaves that may be broadcast (about 100 bytes each); with more, the joins shuffle.
-BROADCAST_LEAVES = 100_000
+#: Digits of the order (32 in all) known after each round of the search for a quota's end.
+DIGITS = (3, 6, 32)
+#: Bytes of a table of leaves that may be broadcast; beyond, the joins shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 def token_count(text: Column) -> Column:
@@ -129,7 +132,11 @@ def mix(
     own = {f"_{k}": F.coalesce(v.cast("string"), F.lit("?")) for k, v in levels.items()}
     named = docs.select("*", *(c.alias(n) for n, c in own.items()))
     text = F.col(text_col)
-    leaves = stored(named.groupBy(*names).agg(F.sum(token_count(text)).alias("tokens"), F.count(F.lit(1)).alias("rows")), "leaves")
+    # An order for every epoch follows from one hash of the row; digits keep their order as text.
+    row_hash = F.md5(F.concat_ws("\x1f", F.lit(seed), F.col(id_col), text))
+    order = F.md5(F.concat_ws("\x1f", F.col("_whole"), F.col("_hash")))
+    slim = stored(named.select(*names, row_hash.alias("_hash"), token_count(text).alias("_tokens")), "tokens")
+    leaves = stored(slim.groupBy(*names).agg(F.sum("_tokens").alias("tokens")), "leaves")
     quotas = leaf_quotas(leaves, {f"_{k}": v for k, v in weights.items()}, budget, share, epochs, names)
     cut = quotas.select(
         *names, "quota", "tokens",
@@ -137,30 +144,28 @@ def mix(
         F.when(F.col("tokens") > 0, F.col("quota") % F.col("tokens")).otherwise(F.lit(0)).alias("_part"),
     )
     cut = stored(cut, "quotas")
-    small = leaves.count() <= BROADCAST_LEAVES
-    at_leaf = lambda table: F.broadcast(table) if small else table
-
-    order = F.xxhash64(F.lit(seed), F.col("_whole"), F.col(id_col), text)
-    bucket = F.shiftrightunsigned(order, 64 - BUCKET_BITS).cast("int")
-    counted = (
-        named.select(*names, id_col, text_col)
-        .join(at_leaf(cut.where("_part > 0")), names)
-        .groupBy(*names, bucket.alias("_bucket"), "_part")
-        .agg(F.sum(token_count(text)).alias("_n"))
-    )
-    running = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counted = counted.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
-    ends = counted.where("_before < _part and _before + _n >= _part").select(*names, F.col("_bucket").alias("_end"), "_before")
-    state = stored(cut.join(ends, names, "left").select(*names, "_whole", "_part", "_end", "_before"), "ends")
-
-    rows = named.join(at_leaf(state), names).withColumn("_bucket", bucket)
-    inside = rows.where("_whole > 0 or _bucket < _end").withColumn("_tokens", token_count(text))
-    last = F.when(F.col("_bucket") < F.col("_end"), F.col("_whole")).otherwise(F.col("_whole") - 1)
-    full = inside.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn("_take", F.col("_tokens"))
-
-    border = rows.where("_bucket = _end").withColumn("_tokens", token_count(text)).withColumn("_order", order)
-    upto = Window.partitionBy(*names).orderBy("_order", id_col, "_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    border = border.withColumn("_left", F.col("_part") - F.col("_before") - F.coalesce(F.sum("_tokens").over(upto), F.lit(0)))
+    size = leaves.agg(F.sum(sum((F.octet_length(n) for n in names), F.lit(100)))).first()[0] or 0
+    at_leaf = lambda table: F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+    ends = cut.where("_part > 0").select(*names, "_whole", "_part", F.lit("").alias("_end"), F.lit(0).cast("bigint").alias("_before"))
+    running = Window.partitionBy(*names).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    for digits in DIGITS:
+        inside = slim.join(at_leaf(ends), names).withColumn("_order", order).where(F.col("_order").startswith(F.col("_end")))
+        counted = inside.groupBy(*names, "_whole", "_part", "_before", F.substring("_order", 1, digits).alias("_at")).agg(F.sum("_tokens").alias("_n"))
+        counted = counted.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_n").over(running), F.lit(0)))
+        ends = counted.where("_before < _part and _before + _n >= _part").select(*names, "_whole", "_part", F.col("_at").alias("_end"), "_before")
+        ends = stored(ends, "ends")
+    state = stored(cut.join(ends.select(*names, "_end", "_before"), names, "left").select(*names, "_whole", "_part", "_end", "_before"), "state")
+
+    rows = named.withColumn("_hash", row_hash).join(at_leaf(state), names).withColumn("_order", order)
+    taken = rows.where("_whole > 0 or _order < _end").withColumn("_tokens", token_count(text))
+    last = F.when(F.col("_order") < F.col("_end"), F.col("_whole")).otherwise(F.col("_whole") - 1)
+    full = taken.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn("_take", F.col("_tokens"))
+
+    # The rows in which a quota ends: one a leaf, or the copies of one.
+    border = rows.where("_order = _end").withColumn("_tokens", token_count(text))
+    copy = F.row_number().over(Window.partitionBy(*names).orderBy("_order")) - 1
+    border = border.withColumn("_left", F.col("_part") - F.col("_before") - F.col("_tokens") * copy)
     partial = border.where("_left > 0").withColumn("_epoch", F.col("_whole")).withColumn("_take", F.least("_tokens", "_left"))
     columns = [*(F.col(names_of[c]).alias(c) for c in stays), *names, "_epoch", "_tokens", "_take"]
     return full.select(*columns).unionByName(partial.select(*columns))
