@@ -32,6 +32,59 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(x, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id"""
 
+#: Weights of the mixture's nodes by level; other names weigh 1.
+_WEIGHTS = {
+    "domain": "CASE domain WHEN '0' THEN 2 WHEN '1' THEN 3 WHEN '2' THEN 2 ELSE 1 END",
+    "lang": "CASE lang WHEN 'en' THEN 6 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 WHEN 'es' THEN 2 ELSE 1 END",
+    "source": "1",
+}
+
+
+def _family(levels: list[str]) -> str:
+    """Budgets of the nodes of a level. A node is full if its family's needs, at the water level
+    at which it becomes full, stay within the budget; the others share the rest by weight."""
+    above, own, table = levels[:-1], levels[-1], "_".join(levels)
+    family = f"PARTITION BY {', '.join(above)}" if above else ""
+    joined = f"USING ({', '.join(above)})" if above else "ON true"
+    return f"""
+n_{table} AS (
+  SELECT {', '.join(f'n.{c}' for c in levels)}, n.cap, n.weight, p.quota AS budget
+  FROM (SELECT {', '.join(levels)}, sum(2 * tokens) AS cap, any_value({_WEIGHTS[own]}) AS weight FROM leaf GROUP BY ALL) n
+  JOIN {f"q_{'_'.join(above)}" if above else 'root'} p {joined}),
+f_{table} AS (
+  SELECT a.*, (SELECT sum(least(b.cap * a.weight, b.weight * a.cap)) FROM n_{table} b
+               WHERE {' AND '.join([f'b.{c} = a.{c}' for c in above] or ['true'])}) <= a.budget * a.weight AS is_full
+  FROM n_{table} a),
+o_{table} AS (
+  SELECT *, budget - coalesce(sum(cap) FILTER (WHERE is_full) OVER ({family}), 0) AS rest,
+         sum(weight) FILTER (WHERE NOT is_full) OVER ({family}) AS every,
+         sum(weight) FILTER (WHERE NOT is_full) OVER ({family} ORDER BY cap::DOUBLE / weight, {own}) AS upto
+  FROM f_{table}),
+q_{table} AS (
+  SELECT {', '.join(levels)}, (CASE WHEN is_full THEN cap ELSE rest * upto // every - rest * (upto - weight) // every END)::BIGINT AS quota
+  FROM o_{table})"""
+
+
+_OP3 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce((TRY_CAST(nullif(regexp_extract(source, '(\d{{1,9}})$', 1), '') AS BIGINT) % 4)::VARCHAR, '?') AS domain,
+         coalesce(lang, '?') AS lang, coalesce(source, '?') AS source,
+         md5(concat_ws(chr(31), 11, doc_id, text)) AS h, len({_WORDS})::BIGINT AS n
+  FROM documents),
+leaf AS (SELECT domain, lang, source, sum(n)::BIGINT AS tokens FROM d GROUP BY ALL),
+root AS (SELECT least(floor(sum(tokens) * 0.5)::BIGINT, sum(2 * tokens)) AS quota FROM leaf),
+{_family(['domain'])},
+{_family(['domain', 'lang'])},
+{_family(['domain', 'lang', 'source'])},
+c AS (SELECT *, CASE WHEN tokens > 0 THEN quota // tokens ELSE 1 END AS whole, CASE WHEN tokens > 0 THEN quota % tokens ELSE 0 END AS part
+      FROM leaf JOIN q_domain_lang_source USING (domain, lang, source)),
+r AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY domain, lang, source ORDER BY md5(concat_ws(chr(31), whole, h))
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+      FROM d JOIN c USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, unnest(range(whole)) AS epoch, n AS n_tokens, n AS take_tokens FROM r
+UNION ALL
+SELECT doc_id, domain, lang, source, whole, n, least(n, part - b)::BIGINT FROM r WHERE b < part"""
+
 _OP4 = f"""
 WITH i AS ({_shingles('benchmark', 'item_id')}),
 v AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
@@ -54,6 +107,75 @@ m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM documents JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
+#: Measures of operator 6 as whole numbers, and the bins of their sketches with their borders.
+_MEASURES = """
+  SELECT doc_id, lang, source, unnest(['symbol_share', 'word_share', 'word_length', 'capital_share']) AS measure,
+         unnest([marks * 100000 // word_chars,
+                 trunc(greatest(commonest - 2 * sqrt(commonest::DOUBLE), 0::DOUBLE) * 100000 / n_words)::BIGINT,
+                 (word_chars - marks) * 1000 // n_words, capitals * 100000 // word_chars]) AS v
+  FROM j WHERE NOT base_failed"""
+_BIN = "CASE WHEN v < 64 THEN v ELSE (len(bin(v)) - 6) * 32 + (v >> (len(bin(v)) - 6)) END"
+
+
+def _top(b: str) -> str:
+    return f"(CASE WHEN {b} < 64 THEN {b} ELSE (({b} % 32 + 33) << ({b} // 32 - 1)) - 1 END)"
+
+
+def _fence(table: str, by: str) -> str:
+    """Quantiles 0.1 and 0.4 of a weighted sketch, interpolated in their bins, and the fence."""
+    bottom = f"(CASE WHEN bin > 0 THEN {_top('(bin - 1)')} + 1 ELSE 0 END)"
+    at = lambda q: f"arg_min({bottom} + (every * {q}::DOUBLE - (upto - w)) / w::DOUBLE * ({_top('bin')} - {bottom}), bin) FILTER (WHERE upto >= every * {q}::DOUBLE)"
+    return f"""
+  SELECT *, centre + (centre - low) * 10 AS fence FROM (
+    SELECT {by}, {at('0.1')} AS low, {at('0.4')} AS centre FROM (
+      SELECT *, (sum(w) OVER (PARTITION BY {by} ORDER BY bin))::DOUBLE AS upto, (sum(w) OVER (PARTITION BY {by}))::DOUBLE AS every
+      FROM {table}) GROUP BY {by})"""
+
+
+def _lean(own: str, larger: str, by: str, shared: str) -> str:
+    """A sketch with 20 documents' worth of the larger group's, in millionths of a document."""
+    return f"""
+  SELECT {by}, bin, sum(w)::BIGINT AS w FROM (
+    SELECT {by}, bin, n * 1000000 AS w FROM {own}
+    UNION ALL
+    SELECT {by}, bin, w FROM (SELECT DISTINCT {by} FROM {own})
+    JOIN (SELECT {shared}, bin, n * 20000000 // sum(n) OVER (PARTITION BY {shared}) AS w FROM {larger}) USING ({shared}))
+  WHERE w > 0 GROUP BY {by}, bin"""
+
+
+_OP6 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '?') AS lang, coalesce(source, '?') AS source, coalesce(text, '') AS x, {_WORDS} AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i+4], ' ') AS g FROM (SELECT doc_id, w, unnest({_windows(5)}) AS i FROM d)),
+t AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM s), range(5) r(k)
+      WHERE c > 1 GROUP BY doc_id),
+u AS (SELECT doc_id, max(n) AS n FROM (SELECT doc_id, y, count(*) AS n FROM (SELECT doc_id, unnest(w) AS y FROM d) GROUP BY ALL) GROUP BY doc_id),
+b AS (
+  SELECT doc_id, lang, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda y: len(y))), 0)::BIGINT AS word_chars,
+         len(regexp_replace(x, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         list_filter(string_split(x, chr(10)), lambda y: regexp_matches(y, '[^ 	-]')) AS lines,
+         coalesce(t.n, 0) AS n_repeat_words, len(regexp_replace(x, '[^!-/:-@\[-`{{-~]', '', 'g')) AS marks,
+         len(regexp_replace(x, '[^A-Z]', '', 'g')) AS capitals, coalesce(u.n, 0) AS commonest
+  FROM d LEFT JOIN t USING (doc_id) LEFT JOIN u USING (doc_id)),
+j AS (SELECT * EXCLUDE (lines), (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+             n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b),
+v AS ({_MEASURES}),
+by_source AS (SELECT lang, source, measure, {_BIN} AS bin, count(*) AS n FROM v GROUP BY ALL),
+by_lang AS (SELECT lang, measure, bin, sum(n)::BIGINT AS n FROM by_source GROUP BY ALL),
+by_none AS (SELECT measure, bin, sum(n)::BIGINT AS n FROM by_lang GROUP BY ALL),
+w_lang AS ({_lean('by_lang', 'by_none', 'lang, measure', 'measure')}),
+w_source AS ({_lean('by_source', 'by_lang', 'lang, source, measure', 'lang, measure')}),
+w_none AS (SELECT measure, bin, n * 1000000 AS w FROM by_none),
+f AS ({_fence('w_none', 'measure')}),
+l AS ({_fence('w_lang', 'lang, measure')}),
+o AS ({_fence('w_source', 'lang, source, measure')}),
+h AS (SELECT lang, measure, l.centre, CASE WHEN l.low <= f.centre THEN least(l.fence, f.fence) ELSE l.fence END AS fence FROM l JOIN f USING (measure)),
+limits AS (SELECT lang, o.source, measure, CASE WHEN o.low <= h.centre THEN least(o.fence, h.fence) ELSE o.fence END AS fence
+           FROM o JOIN h USING (lang, measure)),
+over AS (SELECT DISTINCT doc_id FROM v JOIN limits USING (lang, source, measure) WHERE v > fence)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM over) AS kept
+FROM j"""
+
 _OP7 = """
 WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
 c AS (SELECT conv_id, list(struct_pack(r := role, x := text) ORDER BY turn, role, text) AS l FROM t GROUP BY conv_id),
@@ -129,8 +251,10 @@ WHERE rank <= 3"""
 def llm_oracles() -> dict[str, str]:
     return {
         "op2_line_dedup": _OP2,
+        "op3_source_mixing": _OP3,
         "op4_benchmark_decontamination": _OP4,
         "op5_minhash_near_dedup": _OP5,
+        "op6_quality_rules": _OP6,
         "op7_chat_formatting": _OP7,
         "op10_substring_dedup": _OP10,
         "op11_prefix_trie": _OP11,
