@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatledger.functions.expressions import from_cents, tax_amount, to_cents
@@ -28,6 +28,17 @@ def line_sums(order_lines: DataFrame, items: DataFrame, keys: Sequence[str] = ("
     )
 
 
+def with_prices(baskets: DataFrame, items: DataFrame, how: str = "inner") -> DataFrame:
+    """Every row of ``baskets`` with the ``price`` of its whole booking (A12), by a window over the booking.
+
+    Rows of one booking meet in one task, as its lines do in any case. With ``how="left"`` rows
+    of unknown items stay; they add nothing to the price.
+    """
+    cents = items.select("item_id", to_cents(F.col("price")).alias("_cents"))
+    total = F.sum(F.col("_cents") * F.col("quantity")).over(Window.partitionBy("booking_id"))
+    return baskets.join(cents, "item_id", how).withColumn("price", from_cents(total)).drop("_cents")
+
+
 def bill_sums(billing: DataFrame) -> DataFrame:
     """Price per booking from its bills, in the type of :func:`line_sums`."""
     return (
@@ -42,7 +53,7 @@ def booking_price(bookings: DataFrame, order_lines: DataFrame, items: DataFrame)
     return bookings.select("booking_id").join(line_sums(order_lines, items), "booking_id", "left")
 
 
-def total_columns(taxed: DataFrame, *further: Column) -> DataFrame:
+def total_columns(taxed: DataFrame, *further: Column | str) -> DataFrame:
     """Tax rounded to cents, then price plus the rounded tax; NULL price stays NULL."""
     tax = tax_amount(F.col("price"), F.col("tax"))
     return taxed.select(

@@ -103,10 +103,16 @@ def validate_orders(commands: DataFrame, booking_state: DataFrame, menu: DataFra
     )
     state = booking_state.select("booking_id", "booking_status", "restaurant_id", "member_id")
     # Nothing declares a menu entry unique; an item is available if any of its entries says so.
-    offers = menu.groupBy("restaurant_id", "item_id").agg(F.max("availability").alias("availability"))
+    # Only entries that some order asks for are brought together.
+    placed = mine.join(state, "booking_id", "left")
+    asked = placed.select("restaurant_id", "item_id").distinct()
+    offers = (
+        menu.join(asked, ["restaurant_id", "item_id"], "left_semi")
+        .groupBy("restaurant_id", "item_id")
+        .agg(F.max("availability").alias("availability"))
+    )
     return (
-        mine.join(state, "booking_id", "left")
-        .join(offers, ["restaurant_id", "item_id"], "left")
+        placed.join(offers, ["restaurant_id", "item_id"], "left")
         .select(
             "command_id", "ts", "booking_id", "member_id", "restaurant_id", "item_id", "quantity",
             F.when(~(F.col("booking_status").eqNullSafe("ongoing")), "invalid_booking")

@@ -126,20 +126,20 @@ def _mean_total_by_item(db, per_line: bool) -> DataFrame:
         .join(active, "member_id", "left_semi")
         .select("booking_id", "restaurant_id")
     )
-    # One row per (booking, item) serves both the totals and the attribution below; it
-    # carries the restaurant, so the totals need no second look at the bookings.
+    # One row per (booking, item) serves both the totals and the attribution; the totals are a
+    # window over the booking, so the baskets are made once.
     baskets = (
         db.order_line.select("booking_id", "item_id", "quantity")
         .join(visits, "booking_id")
         .groupBy("booking_id", "restaurant_id", "item_id")
         .agg(_rows().alias("n_lines"), F.sum("quantity").cast("bigint").alias("quantity"))
     )
-    prices = bills.line_sums(baskets, db.item, ("booking_id", "restaurant_id"))
-    totals = bills.with_totals(prices, db.restaurant).select("booking_id", "total_price_after_tax")
+    priced = bills.with_prices(baskets, db.item, "left").join(db.restaurant.select("restaurant_id", "tax"), "restaurant_id", "left")
     weight = F.col("n_lines") if per_line else F.lit(1).cast("bigint")
-    per_item = baskets.join(totals, "booking_id").groupBy("item_id").agg(
-        F.sum((F.col("total_price_after_tax") * weight).cast("decimal(28,2)")).alias("s"),
-        F.sum(F.when(F.col("total_price_after_tax").isNotNull(), weight)).alias("n"),
+    totals = bills.total_columns(priced, "item_id", weight.alias("weight"))
+    per_item = totals.groupBy("item_id").agg(
+        F.sum((F.col("total_price_after_tax") * F.col("weight")).cast("decimal(28,2)")).alias("s"),
+        F.sum(F.when(F.col("total_price_after_tax").isNotNull(), F.col("weight"))).alias("n"),
     )
     return (
         per_item.join(db.item.select("item_id", "item_name"), "item_id")

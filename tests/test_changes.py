@@ -93,6 +93,16 @@ def test_totals_round_tax_before_adding(spark):
     }
 
 
+def test_prices_of_baskets_with_unknown_items(spark):
+    baskets = spark.createDataFrame([(1, 10, 2), (1, 11, 1), (1, 99, 5), (2, 99, 1)], "booking_id long, item_id long, quantity long")
+    items = spark.createDataFrame([(10, Decimal("1.25")), (11, Decimal("3.00")), (12, None)], "item_id long, price decimal(10,2)")
+    kept = billing.with_prices(baskets, items, "left").collect()
+    assert {(r["booking_id"], r["item_id"], r["price"]) for r in kept} == {
+        (1, 10, Decimal("5.50")), (1, 11, Decimal("5.50")), (1, 99, Decimal("5.50")), (2, 99, None)
+    }
+    assert {(r["booking_id"], r["item_id"]) for r in billing.with_prices(baskets, items).collect()} == {(1, 10), (1, 11)}
+
+
 def test_available_tables_edges(spark):
     rtable = spark.createDataFrame([(1, 11), (1, 12)], "restaurant_id long, table_id long")
     held = spark.createDataFrame(

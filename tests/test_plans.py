@@ -124,3 +124,15 @@ def test_decisions_read_commands_once_and_bookings_twice(spark, sf_dir):
         "events": "event_id", "orders": "o_orderkey", "lineitem": "l_orderkey",
     }.items()}
     assert scans == {"events": 1, "orders": 2, "lineitem": 1}
+
+
+@pytest.mark.parametrize("name", ["avg_total_by_item_active", "avg_total_by_item_active_dedup"])
+def test_baskets_are_made_once(spark, sf_dir, no_broadcast, name):
+    """Lines are read once and keep their place by booking for baskets and totals alike."""
+    text = plan(all_queries()[name](spark, sf_dir))
+    assert len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", text)) == 1
+
+
+def test_only_menus_that_orders_ask_for_are_grouped(spark, sf_dir, no_broadcast):
+    text = plan(all_queries()["validate_orders"](spark, sf_dir))
+    assert "LeftSemi" in text
