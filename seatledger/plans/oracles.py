@@ -100,6 +100,10 @@ VIEWS: dict[str, str] = {
         SELECT booking_id, table_id, service_date, CAST(s.k AS INTEGER) AS slot_id
         FROM open_booking, range(1, 15) s(k)
         WHERE s.k BETWEEN start_time_slot AND start_time_slot + booking_duration - 1""",
+    "held_slot": """
+        SELECT booking_id, table_id, service_date,
+               CAST(unnest(range(start_time_slot, start_time_slot + booking_duration)) AS INTEGER) AS slot_id
+        FROM open_booking""",
     "occupied_cell": "SELECT DISTINCT table_id, service_date, slot_id FROM open_cell",
     "ask": """
         SELECT booking_id AS request_id, restaurant_id, service_date, start_time_slot, booking_duration
@@ -495,7 +499,7 @@ def oracles() -> dict[str, str]:
 
     # --- availability and occupation
     q["booking_slot_occupancy"] = _sql(
-        f"{_BK} open_booking open_cell", "SELECT booking_id, table_id, service_date, slot_id FROM open_cell")
+        f"{_BK} open_booking held_slot", "SELECT booking_id, table_id, service_date, slot_id FROM held_slot")
     q["occupy_slots"] = _sql(f"{_BK} open_booking open_cell time_slot", """
         SELECT g.table_id, g.service_date, g.slot_id, max(c.booking_id) AS booking_id,
                CASE WHEN max(c.booking_id) IS NULL THEN 'vacant' ELSE 'occupied' END AS status

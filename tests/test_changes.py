@@ -50,6 +50,15 @@ def test_occupy_then_release(spark):
     assert masks == {12: 1}
 
 
+def test_a_booking_holds_the_slots_past_closing_too(spark):
+    booking = spark.createDataFrame(
+        [(1, 11, DAY, 13, 5), (2, 11, DAY, 14, 9), (3, 12, DAY, 2, 0), (4, 12, DAY, 2, None), (5, 12, DAY, None, 2)],
+        "booking_id long, table_id long, service_date date, start_time_slot int, booking_duration int",
+    )
+    held = rows(changes.booking_cells(booking), "booking_id", "slot_id")
+    assert held == [(1, s) for s in range(13, 18)] + [(2, s) for s in range(14, 23)]
+
+
 def test_touch_keeps_the_later_time(spark):
     status = spark.createDataFrame([(1, at(5)), (2, None)], "booking_id long, last_activity timestamp")
     seen = spark.createDataFrame([(1, at(3)), (2, at(4)), (2, at(6))], "booking_id long, ts timestamp")
