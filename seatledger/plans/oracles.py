@@ -719,8 +719,8 @@ def oracles() -> dict[str, str]:
         "WHERE booking_status = 'cancelled'"))
     cell_key = "table_id || '/' || strftime(service_date, '%Y-%m-%d') || '/' || slot_id"
     q["audit_double_booking"] = _sql(
-        f"{_BK} open_booking open_cell",
-        f"{_finding('double_booking', 'booking', cell_key)} FROM open_cell "
+        f"{_BK} open_booking held_slot",
+        f"{_finding('double_booking', 'booking', cell_key)} FROM held_slot "
         "GROUP BY table_id, service_date, slot_id HAVING count(*) > 1")
     q["audit_slot_overrun"] = _sql(
         _BK, f"{_finding('slot_overrun', 'booking', 'booking_id', '1')} FROM booking "

@@ -90,6 +90,14 @@ def test_double_booking_counts_open_bookings_only(states):
     assert found(audits.audit_double_booking(states)) == {("double_booking", "booking", f"11/{DAY}/4", 2)}
 
 
+def test_double_booking_looks_past_closing(spark):
+    state = spark.createDataFrame(
+        [(1, 11, DAY, 14, 3, "scheduled"), (2, 11, DAY, 13, 4, "ongoing"), (3, 11, DAY, 16, 1, "completed")],
+        "booking_id long, table_id long, service_date date, start_time_slot int, booking_duration int, booking_status string",
+    )
+    assert found(audits.audit_double_booking(state)) == {("double_booking", "booking", f"11/{DAY}/{s}", 2) for s in (14, 15, 16)}
+
+
 def test_slot_overrun_includes_empty_intervals(states):
     assert found(audits.audit_slot_overrun(states)) == {
         ("slot_overrun", "booking", "4", 1), ("slot_overrun", "booking", "5", 1),
