@@ -3,10 +3,12 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import DAY, at
 from seatledger.operators import availability, billing, changes, staffing
 from seatledger.plans import reports
+from seatledger.sources import generators
 from seatledger.sources.tables import Database
 
 
@@ -50,6 +52,28 @@ def test_occupy_then_release(spark):
     assert masks == {12: 1}
 
 
+def test_occupied_cells_are_those_of_the_grid(spark):
+    """A packed grid gives the cells of an unpacked one; cells that no slot of the day covers stay as they are."""
+    booking = spark.createDataFrame(
+        [(1, 11, DAY, 13, 5), (2, 11, DAY, 14, 1), (None, 12, DAY, 2, 1), (4, 12, DAY, 5, 0), (5, 12, DAY, -1, 4), (6, None, DAY, 1, 9)],
+        "booking_id long, table_id long, service_date date, start_time_slot int, booking_duration int",
+    )
+    cells = ("table_id", "slot_id", "booking_id", "status")
+    plain = changes.occupy_slots(generators.booked_days_grid(booking.where("table_id is not null")), booking)
+    got = {r[:2]: r[2:] for r in plain.select(*cells).collect()}
+    taken = {k: v for k, v in got.items() if v[1] == "occupied"}
+    assert len(got) == 28
+    assert taken == {(11, 13): (1, "occupied"), (11, 14): (2, "occupied"), (12, 1): (5, "occupied"), (12, 2): (5, "occupied")}
+    packed = changes.occupy_slots(generators.booked_days_grid(booking.where("table_id is not null"), packed=True), booking)
+    assert packed.columns == plain.columns and packed.exceptAll(plain).isEmpty() and plain.exceptAll(packed).isEmpty()
+    # Cells beyond the day, and a booking without id that takes a cell.
+    odd = spark.createDataFrame([(11, DAY, 15, 9, "old"), (12, DAY, None, 8, "old"), (13, DAY, 2, 7, "old")],
+                                "table_id long, service_date date, slot_id int, booking_id long, status string")
+    assert sorted(changes.occupy_slots(odd, booking).collect(), key=str) == sorted(odd.collect(), key=str)
+    nameless = changes.occupy_slots(odd.where("table_id = 13"), booking.where("booking_id is null").withColumn("table_id", F.lit(13)))
+    assert [r[3:] for r in nameless.collect()] == [(None, "occupied")]
+
+
 def test_a_booking_holds_the_slots_past_closing_too(spark):
     booking = spark.createDataFrame(
         [(1, 11, DAY, 13, 5), (2, 11, DAY, 14, 9), (3, 12, DAY, 2, 0), (4, 12, DAY, 2, None), (5, 12, DAY, None, 2)],

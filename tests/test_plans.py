@@ -116,6 +116,13 @@ def test_vacant_cells_do_not_meet_in_one_partition(spark, no_broadcast):
     assert sum(sizes) == 20000 and max(sizes) < 20000 / 4
 
 
+def test_release_shuffles_days_and_named_cells_only(spark, sf_dir, no_broadcast):
+    """The grid is brought together by table and date; no cell is shuffled by its slot."""
+    text = plan(all_queries()["release_slots"](spark, sf_dir))
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)", text)
+    assert shuffles and not any("slot_id" in keys for keys in shuffles)
+
+
 def test_decisions_read_commands_once_and_bookings_twice(spark, sf_dir):
     db = StarSchema(spark, sf_dir)
     outcomes = lifecycle.command_outcomes(db.command, db.booking_state, db.menu, db.rtable, db.masks)
