@@ -123,6 +123,27 @@ def test_release_shuffles_days_and_named_cells_only(spark, sf_dir, no_broadcast)
     assert shuffles and not any("slot_id" in keys for keys in shuffles)
 
 
+def test_commands_without_a_key_do_not_meet_in_one_partition(spark, no_broadcast):
+    """What looks nothing up, here every command, spreads over the partitions of the joins."""
+    commands = spark.range(20000).selectExpr(
+        "id as command_id", "timestamp '2024-01-01' as ts", "if(id < 0, 'order_food', 'new_booking') as command",
+        *(f"if(id < 0, id, null) as {c}" for c in ("member_id", "booking_id", "restaurant_id", "item_id")),
+        "date '2024-01-01' as service_date", "1 as start_time_slot", "1 as booking_duration",
+    )
+    one = spark.range(1, 2)
+    state = one.selectExpr("id as booking_id", "id as member_id", "id as restaurant_id", "date '2024-01-01' as service_date", "'scheduled' as booking_status")
+    menu = one.selectExpr("id as restaurant_id", "id as item_id", "true as availability")
+    tables = one.selectExpr("id as table_id", "id as restaurant_id")
+    masks = one.selectExpr("id as table_id", "date '2024-01-01' as service_date", "id as occupied_mask")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        decided = lifecycle.command_outcomes(commands, state, menu, tables, masks)
+        sizes = [r["count"] for r in decided.groupBy("outcome", "message", F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 20000 and max(sizes) < 20000 / 4
+
+
 def test_decisions_read_commands_once_and_bookings_twice(spark, sf_dir):
     db = StarSchema(spark, sf_dir)
     outcomes = lifecycle.command_outcomes(db.command, db.booking_state, db.menu, db.rtable, db.masks)
