@@ -1,6 +1,6 @@
 """The booking lifecycle as a keyed stateful operator in event time.
 
-A member's commands wait in keyed state until the watermark has passed them and are then
+Members share keyed state in groups. A member's commands wait in it until the watermark has passed them and are then
 applied in (ts, command_id) order by the column-wise state machine of the batch replay. A
 command may so arrive in any micro-batch within the watermark's delay, and more than once.
 """
@@ -17,28 +17,32 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from seatledger.functions.expressions import COMMANDS
 from seatledger.operators.lifecycle import command_code, replay_outcome, state_name
-from seatledger.operators.replay import NONE, prefix_maps, run
+from seatledger.operators.replay import NONE, prefix_maps, run, segment_starts
 from seatledger.session import use_rocksdb
 
-#: A waiting command as it lies in state: micros, id, code.
-_WAITING = np.dtype([("ts", "<i8"), ("id", "<i8"), ("code", "<i2")])
+#: Groups of members that share a key of the state; a micro-batch costs a few state calls for each.
+GROUPS = 2048
+#: A waiting command as it lies in state: owner, whether it has no member, micros, id, code.
+_WAITING = np.dtype([("owner", "<i8"), ("alone", "?"), ("ts", "<i8"), ("id", "<i8"), ("code", "<i2")])
+#: Where a member stands: state and booking, if any.
+_HELD = np.dtype([("owner", "<i8"), ("state", "<i2"), ("booking", "<i8"), ("booked", "?")])
 _OUT = (
     "command_id bigint, micros bigint, member_id bigint, code int, before int, after int, booking_id bigint"
 )
 
 
 class MemberLifecycle(StatefulProcessor):
-    """State of one member: the commands that wait, in one block for each micro-batch, and the booking.
+    """State of a group of members: the commands that wait, in one block for each micro-batch, and their bookings.
 
-    A block is a packed array, so a member costs a few state calls in a micro-batch however
-    many commands it sends. Commands of a member wait and are sorted in one task, as keyed
-    state has it; the delay bounds how many wait.
+    Blocks are packed arrays, so a group costs a few state calls in a micro-batch however
+    many members and commands it has. Commands of a group wait and are sorted in one task,
+    as keyed state has it; the delay bounds how many wait.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", "block binary")
-        self.current = handle.getValueState("current", "state int, booking_id bigint")
+        self.current = handle.getValueState("current", "held binary")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # Spark lets rows pass that only the watermark of this micro-batch makes late; timers have
@@ -49,6 +53,7 @@ class MemberLifecycle(StatefulProcessor):
             frame = frame[frame["code"].notna() & (frame["micros"] > passed)]
             if len(frame):
                 part = np.empty(len(frame), _WAITING)
+                part["owner"], part["alone"] = frame["owner"], frame["alone"]
                 part["ts"], part["id"], part["code"] = frame["micros"], frame["command_id"], frame["code"]
                 parts.append(part)
         if parts:
@@ -63,34 +68,45 @@ class MemberLifecycle(StatefulProcessor):
             return
         waiting = np.concatenate(blocks)
         passed = waiting["ts"] <= timerValues.getCurrentWatermarkInMs() * 1000
-        later = waiting[~passed]
-        if len(later):
+        later, due = waiting[~passed], waiting[passed]
+        if len(due) and len(later):
             self.waiting.put([(later.tobytes(),)])
-            self._wake_at(later["ts"].min())
-        else:
+        elif len(due):
             self.waiting.clear()
-        due = waiting[passed]
+        if len(later):
+            self._wake_at(later["ts"].min())
         if not len(due):
             return
-        due = due[np.lexsort((due["id"], due["ts"]))]
-        _, first = np.unique(due["id"], return_index=True)
-        due = due[np.sort(first)]
-        yield self._apply(key, due)
-
-    def _apply(self, key: tuple, due: np.ndarray) -> pd.DataFrame:
-        held = self.current.get() if self.current.exists() else None
-        state, booking = (held[0], held[1]) if held else (NONE, None)
-        n = len(due)
-        starts, codes = np.zeros(n, np.int64), due["code"].astype(np.int64)
-        entering = np.full(n, 0 if booking is None else booking, np.int64), np.full(n, booking is not None)
+        # The first copy of a command that an owner sent, then each owner's commands in order.
+        due = due[np.lexsort((due["ts"], due["id"], due["owner"], due["alone"]))]
+        due = due[_changes(due, "alone", "owner", "id")]
+        yield self._apply(due[np.lexsort((due["id"], due["ts"], due["owner"], due["alone"]))])
+
+    def _apply(self, due: np.ndarray) -> pd.DataFrame:
+        held = np.frombuffer(self.current.get()[0], _HELD) if self.current.exists() else np.empty(0, _HELD)
+        first = _changes(due, "alone", "owner")
+        starts = segment_starts(first)
+        known = np.zeros(len(due), bool)
+        place = np.zeros(len(due), np.int64)
+        if len(held):
+            place = np.minimum(np.searchsorted(held["owner"], due["owner"]), len(held) - 1)
+            known = (held["owner"][place] == due["owner"]) & ~due["alone"]
+            state, booking, booked = held["state"][place], held["booking"][place], held["booked"][place]
+        else:
+            state = booking = booked = np.zeros(len(due), np.int64)
+        codes = due["code"].astype(np.int64)
         before, after, (owner, owned) = run(
-            codes, (due["id"], np.ones(n, bool)), starts, prefix_maps(codes, starts), np.full(n, state), entering
+            codes, (due["id"], np.ones(len(due), bool)), starts, prefix_maps(codes, starts),
+            np.where(known, state, NONE).astype(np.int64), (np.where(known, booking, 0), known & booked.astype(bool)),
         )
-        member, alone = key
-        if not alone:
-            self.current.update((int(after[-1]), int(owner[-1]) if owned[-1] else None))
+        last = np.append(first[1:], True) & ~due["alone"]
+        if last.any():
+            now = np.empty(int(last.sum()), _HELD)
+            now["owner"], now["state"], now["booking"], now["booked"] = due["owner"][last], after[last], owner[last], owned[last]
+            both = np.concatenate([held[~np.isin(held["owner"], now["owner"])], now])
+            self.current.update((both[np.argsort(both["owner"])].tobytes(),))
         return pd.DataFrame({
-            "command_id": due["id"], "micros": due["ts"], "member_id": pd.array([None if alone else member] * n, dtype="Int64"),
+            "command_id": due["id"], "micros": due["ts"], "member_id": pd.arrays.IntegerArray(due["owner"].copy(), due["alone"].copy()),
             "code": codes.astype(np.int32), "before": before.astype(np.int32), "after": after.astype(np.int32),
             "booking_id": pd.arrays.IntegerArray(owner.astype(np.int64), ~owned),
         })
@@ -102,6 +118,15 @@ class MemberLifecycle(StatefulProcessor):
         pass
 
 
+def _changes(rows: np.ndarray, *columns: str) -> np.ndarray:
+    """Where a row differs from the one before it in any of the columns; true for the first."""
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = False
+    for c in columns:
+        fresh[1:] |= rows[c][1:] != rows[c][:-1]
+    return fresh
+
+
 def stream_lifecycle(commands: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Decisions over a stream of (command_id, ts, member_id, command), in event time.
 
@@ -123,7 +148,8 @@ def stream_lifecycle(commands: DataFrame, delay: str = "1 hour") -> DataFrame:
         # Keys must not be null: Python would take two nulls for different keys.
         F.coalesce("member_id", "command_id", F.lit(0)).alias("owner"), F.col("member_id").isNull().alias("alone"),
     )
-    decided = known.withWatermark("ts", delay).groupBy("owner", "alone").transformWithStateInPandas(
+    grouped = known.withColumn("part", F.pmod(F.xxhash64("owner", "alone"), F.lit(GROUPS)))
+    decided = grouped.withWatermark("ts", delay).groupBy("part").transformWithStateInPandas(
         MemberLifecycle(), outputStructType=_OUT, outputMode="append", timeMode="eventTime"
     )
     command = F.element_at(F.array(*(F.lit(c) for c in COMMANDS)), F.col("code") + 1)

@@ -63,6 +63,27 @@ def test_lifecycle_ignores_what_is_no_command(spark, tmp_path):
     assert lifecycle_of(spark, tmp_path / "in", parts) == {1: (1, "none", "scheduled")}
 
 
+def test_members_share_keys_of_the_state(spark, tmp_path, monkeypatch):
+    """State grows with groups, not with members, and members of a group don't meet."""
+    monkeypatch.setattr(keyed, "GROUPS", 3, raising=False)
+    rows = [(4 * m + k, at(m + 100 * k), m, COMMANDS[k % 2]) for m in range(-20, 40) for k in range(3)]
+    rows += [(1000 + m, at(50), None, COMMANDS[m % 2]) for m in range(20)]
+    # The last part's watermark decides the commands of the first two minutes; the members' states stay.
+    stream = drop_files(spark, tmp_path / "in", [rows, [(5000, at(130), 5, "sing")], QUIET], COMMAND)
+    path = scratch_path(spark, "t1")
+    query = (
+        keyed.stream_lifecycle(stream, "1 minute").writeStream.format("parquet")
+        .option("checkpointLocation", f"{path}.checkpoint").trigger(availableNow=True).start(path)
+    )
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert kept and max(kept) <= 3 * 4
+    got = {r.command_id: (r.booking_id, r.status_before, r.status_after) for r in spark.read.parquet(path).collect()}
+    want, _ = sequential_lifecycle([r for r in rows if r[2] is not None])
+    alone = {1000 + m: (None if m % 2 else 1000 + m, "none", "none" if m % 2 else "scheduled") for m in range(20)}
+    assert {c: v for c, v in got.items()} == {**want, **alone}
+
+
 def test_a_resting_stream_holds_the_last_commands_back(spark, tmp_path):
     stream = drop_files(spark, tmp_path / "in", [[(1, at(0), 1, "new_booking"), (2, at(120), 1, "member_in")]], COMMAND)
     out = jobs.run_to_table(keyed.stream_lifecycle(stream), scratch_path(spark, "t1"))
