@@ -38,7 +38,7 @@ END_ID = 1
 #: Words whose ids a task remembers; later words are encoded again in every batch.
 REMEMBERED = 400_000
 #: Characters of distinct words handed to the tokenizer at a time.
-JOINED = 20_000
+JOINED = 5_000
 #: Bytes of text in one part.
 PART_BYTES = 64 << 20
 #: Characters of a text that range bounds hold; whole texts would fill the driver with the sample.
@@ -62,7 +62,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.place: dict[bytes, int] = {}
-        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        # Entry 0 is the closing id, words follow.
+        self.ids, self.ends = np.zeros(1, np.uint32), np.arange(2, dtype=np.int64)
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and how many each has."""
@@ -88,21 +89,19 @@ class WordEncoder:
         # looked for in the raw text, so a text that may hold one is left as it is.
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         place, known = self.place, len(self.place)
+        self.ids[0] = end_id
         new = list(set(chain.from_iterable(split)).difference(place))
         fresh, counts = self._encode(new)
         flat = np.concatenate([self.ids, fresh])
         ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
-        place.update(zip(new, range(known, known + len(new)), strict=True))
+        place.update(zip(new, range(known + 1, known + 1 + len(new)), strict=True))
         n = np.fromiter(map(len, split), np.int64, len(split))
         which = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
         for word in new[max(0, REMEMBERED - known) :]:
             del place[word]
-        self.ends = ends[: len(place) + 1]
+        self.ends = ends[: len(place) + 2]
         self.ids = flat[: self.ends[-1]]
-        # The closing id is one more entry behind every text.
-        end_at = len(ends) - 1
-        flat, ends = np.append(flat, np.uint32(end_id)), np.append(ends, ends[-1] + 1)
-        which = np.insert(which, np.cumsum(n), end_at)
+        which = np.insert(which, np.cumsum(n), 0)
         lengths = (ends[1:] - ends[:-1])[which]
         stops = np.cumsum(lengths)
         ids = flat[np.repeat(ends[which] - (stops - lengths), lengths) + np.arange(stops[-1] if len(stops) else 0)]

@@ -254,6 +254,15 @@ def test_encoder_beyond_its_memory(monkeypatch):
     assert len(encoder.place) == 3
 
 
+def test_the_closing_id_is_kept_with_the_words():
+    """It is entry 0 of what an encoder remembers, so a batch needn't copy all ids to add it."""
+    encoder = token_files.WordEncoder(tokenizer_path())
+    for end in (1, 7):
+        ids, counts = encoder.encode([b"some words", b"", b"words"], end)
+        assert ids.tolist() == sum(([*encoder.tokenizer.encode(t, add_special_tokens=False).ids, end] for t in ("some words", "", "words")), [])
+        assert counts.sum() == len(ids) and encoder.ids[0] == end
+
+
 def test_token_files_split_rows_of_one_id(spark):
     """Rows without id and rows of one id spread over parts; files that no part names are not read."""
     texts = [f"{k:04d} {'word ' * 40}{k}" for k in range(600)]
