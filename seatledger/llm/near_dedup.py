@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatledger.llm.components import components, stored
-from seatledger.llm.text import LOWERED, blocks, mix, window_hashes, window_rows, word_hashes, word_spans
+from seatledger.llm.text import LOWERED, ROWS_AT_ONCE, blocks, mix, window_hashes, window_rows, word_hashes, word_spans
+from seatledger.session import small_batches
 
 WIDTH = 5
 PERCENT = 75
@@ -103,7 +104,7 @@ def _signatures(width: int, bands: int, rows: int):
     @F.arrow_udf("n bigint, f1 bigint, f2 bigint, keys array<bigint>")
     def signature(texts: pa.Array) -> pa.Array:
         parts = []
-        for _, data, borders in blocks(texts, 4 << 20):
+        for _, data, borders in blocks(texts, rows=ROWS_AT_ONCE):
             values, firsts = shingle_sets(data, borders, width)
             f1, f2 = fingerprints(values, firsts)
             n = np.diff(firsts)
@@ -124,7 +125,7 @@ def _full_sets(width: int):
     @F.arrow_udf("array<bigint>")
     def full_set(texts: pa.Array) -> pa.Array:
         parts = [pa.array([], pa.list_(pa.int64()))]
-        for _, data, borders in blocks(texts, 4 << 20):
+        for _, data, borders in blocks(texts, rows=ROWS_AT_ONCE):
             values, firsts = shingle_sets(data, borders, width)
             parts.append(pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(values.view(np.int64))))
         return pa.concat_arrays(parts)
@@ -208,6 +209,7 @@ def near_duplicates(
     repeat an id follow their own text each. Other columns of ``docs`` are ignored; an
     empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     signed = docs.select("doc_id", _signatures(width, BANDS, ROWS)("text").alias("_s"))
     signed = stored(signed.select("doc_id", "_s.*"), "signatures")

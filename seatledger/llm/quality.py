@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seatledger.llm.text import blocks, window_hashes, window_rows, word_hashes, word_spans
+from seatledger.llm.text import ROWS_AT_ONCE, blocks, window_hashes, window_rows, word_hashes, word_spans
+from seatledger.session import small_batches
 
 #: Most labelled documents used for fitting.
 SAMPLE = 20_000
@@ -104,7 +105,7 @@ def statistics(data: np.ndarray, borders: np.ndarray) -> np.ndarray:
 
 
 def _all_statistics(texts: pa.Array) -> np.ndarray:
-    return np.concatenate([np.zeros((0, len(STATISTICS))), *(statistics(d, b) for _, d, b in blocks(texts))])
+    return np.concatenate([np.zeros((0, len(STATISTICS))), *(statistics(d, b) for _, d, b in blocks(texts, rows=ROWS_AT_ONCE))])
 
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
@@ -213,6 +214,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tre
     A document that comes in several rows trains by its least text, so the driver gets no
     more rows than the sample has ids, in whatever order the table lies.
     """
+    small_batches(docs.sparkSession)
     chosen = F.broadcast(training_sample(labels, "quality", sample))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     one = texts.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))

@@ -21,6 +21,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes hashed at a time; longer texts are taken in pieces that end at white space.
 PIECE = 1 << 20
 
+#: Rows taken at a time where each costs memory of its own, however short its text.
+ROWS_AT_ONCE = 1000
+
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)  # odd, so that its powers have inverses modulo 2**64
 _INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -78,12 +81,13 @@ def byte_column(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[borders[0] : borders[-1]], borders - borders[0]
 
 
-def blocks(texts: pa.Array, size: int = PIECE) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    """Consecutive rows of about ``size`` bytes: their slice, bytes and borders."""
+def blocks(texts: pa.Array, size: int = PIECE, rows: int | None = None) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Consecutive rows of about ``size`` bytes, at most ``rows``: their slice, bytes and borders."""
     data, borders = byte_column(texts)
     lo = 0
     while lo < len(borders) - 1:
         hi = max(lo + 1, int(np.searchsorted(borders, borders[lo] + size, "right")) - 1)
+        hi = min(hi, lo + rows) if rows else hi
         yield slice(lo, hi), data[borders[lo] : borders[hi]], borders[lo : hi + 1] - borders[lo]
         lo = hi
 

@@ -34,6 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seatledger.session import small_batches
+
 END_ID = 1
 #: Words whose ids a task remembers; later words are encoded again in every batch.
 REMEMBERED = 400_000
@@ -120,7 +122,7 @@ def _place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def _writer(folder: str, tokenizer: str, end_id: int, width: int):
+def _writer(folder: str, tokenizer: str, end_id: int, width: int, keep_words: bool = True):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         store, root = _place(folder)
@@ -131,7 +133,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, width: int):
             if not batch.num_rows:
                 continue
             if encoder is None:
-                encoder = _encoder(tokenizer)
+                encoder = _encoder(tokenizer) if keep_words else WordEncoder(tokenizer)
                 ids_file = store.open_output_stream(f"{root}/{name}.ids")
                 index_file = store.open_output_stream(f"{root}/{name}.idx")
             doc_ids = batch.column("doc_id")
@@ -156,16 +158,19 @@ def _writer(folder: str, tokenizer: str, end_id: int, width: int):
     return write
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, keep_words: bool = True) -> DataFrame:
     """Write (doc_id, text) in the format above; returns the table of parts with their bases.
 
     Ascending doc_id, rows without id first; ties are ordered by text. Null and empty texts
     hold the closing id alone. ``tokenizer`` is the path of a ``tokenizers`` file that
     lower-cases and for which ASCII white space only separates. An empty table writes no part.
+    ``keep_words``: Python workers keep the words' ids, up to 150 MB each, for later tasks; without,
+    each task begins anew and leaves that memory to whatever the worker runs next.
     """
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
+    small_batches(spark)
     width = 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
@@ -174,7 +179,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     # Beginnings of texts are ordered as the texts are, so both sort orders agree at the borders.
     ranged = docs.select("doc_id", "text").repartitionByRange(parts, "doc_id", F.substring("text", 1, BOUND_CHARS))
     ordered = ranged.sortWithinPartitions("doc_id", "text")
-    written = ordered.mapInArrow(_writer(folder, tokenizer, end_id, width), "part int, n_docs bigint, n_ids bigint, width int, file string")
+    written = ordered.mapInArrow(_writer(folder, tokenizer, end_id, width, keep_words), "part int, n_docs bigint, n_ids bigint, width int, file string")
     written.write.mode("overwrite").parquet(f"{folder}/sizes")
     # One row per part: the window over them all is over metadata.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from seatledger.llm import lines, near_dedup, quality, rules, substrings, text, token_files
 from seatledger.llm.components import components
 from seatledger.llm.queries import tokenizer_path
-from seatledger.session import scratch_path
+from seatledger.session import scratch_path, small_batches
 
 
 def rows_of(df):
@@ -280,3 +281,48 @@ def test_token_files_split_rows_of_one_id(spark):
     read.sort(key=lambda r: r["start"])
     assert [r["doc_id"] for r in read] == [None] * 300 + [7] * 300
     assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(read, read[1:], strict=False))
+
+
+def test_blocks_of_short_texts_are_bounded_in_rows(spark):
+    texts = pa.array([f"one two three four five {k}" for k in range(10_000)])
+    taken = list(text.blocks(texts, rows=text.ROWS_AT_ONCE))
+    assert [s.stop - s.start for s, _, _ in taken] == [1000] * 10
+    assert b"".join(d.tobytes() for _, d, _ in taken) == "".join(texts.to_pylist()).encode()
+    for measured, most in ((near_dedup._signatures(5, near_dedup.BANDS, near_dedup.ROWS).func, 30), (quality._all_statistics, 20)):
+        tracemalloc.start()
+        assert len(measured(texts)) == len(texts)
+        peak = tracemalloc.get_traced_memory()[1] / 2**20
+        tracemalloc.stop()
+        assert peak < most
+
+
+def test_python_gets_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, then in (("10000", "1000"), ("0", "1000"), ("70", "70")):
+            spark.conf.set(key, given)
+            small_batches(spark)
+            assert spark.conf.get(key) == then
+        spark.conf.set(key, "10000")
+        near_dedup.near_duplicates(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"))
+        assert spark.conf.get(key) == "1000"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_writer_need_not_leave_its_words_in_the_worker(tmp_path, monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(token_files, "TaskContext", Task)
+    token_files._encoder.cache_clear()
+    batch = pa.record_batch([pa.array([1, 2]), pa.array(["a word", None])], names=["doc_id", "text"])
+    found = []
+    for keep in (False, True):
+        (row,) = token_files._writer(str(tmp_path), tokenizer_path(), 1, 2, keep)(iter([batch]))
+        found.append((tmp_path / f"{row.column('file')[0]}.ids").read_bytes())
+        assert token_files._encoder.cache_info().currsize == keep
+    assert found[0] == found[1]
+    token_files._encoder.cache_clear()
