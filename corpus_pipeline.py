@@ -42,7 +42,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` read back from the written token files."""
     folder = scratch_path(spark, "tokens")
-    token_files.write_token_files(docs, folder, tokenizer_path(), keep_words=False)
+    token_files.write_token_files(docs, folder, tokenizer_path(), keep_words=False, split_marks=True)
     return token_files.read_token_files(spark, folder)
 
 

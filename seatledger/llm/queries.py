@@ -12,7 +12,8 @@ from seatledger.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Vocabulary of operator 9, by its name among the installed public tokenizers.
+#: Vocabulary of operator 9, by its name among the installed public tokenizers. Its words are runs of
+#: letters, single digits, runs of other characters, and 's 't 're 've 'm 'll 'd: marks split from letters and digits.
 VOCABULARY = "word_bpe_49k.json"
 
 #: Target weights of operator 3; domains of the synthetic sources are their numbers modulo 4.
@@ -74,7 +75,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
-    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path())
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path(), split_marks=True)
     return token_files.read_token_files(spark, folder)
 
 

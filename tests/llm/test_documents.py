@@ -264,6 +264,47 @@ def test_the_closing_id_is_kept_with_the_words():
         assert counts.sum() == len(ids) and encoder.ids[0] == end
 
 
+def test_a_word_is_encoded_once_whatever_marks_follow():
+    """Only what is new goes to the tokenizer, and offsets, dearer than ids, are asked only where words hold more than letters."""
+    asked = []
+
+    class Encoding:
+        def __init__(self, done):
+            self.ids, self.word_ids, self._offsets = done.ids, done.word_ids, done.offsets
+
+        @property
+        def offsets(self):
+            asked.append("offsets")
+            return self._offsets
+
+    class Tokenizer:
+        def encode(self, joined, **options):
+            asked.append(sorted(joined.split()))
+            return Encoding(tokenizer.encode(joined, **options))
+
+    encoder = token_files.WordEncoder(tokenizer_path(), split_marks=True)
+    tokenizer, encoder.tokenizer = encoder.tokenizer, Tokenizer()
+    texts = [b"Word gr\xc3\xb6\xc3\x9fer word, (word) word; word...", b"word"]
+    ids, counts = encoder.encode(texts, 1)
+    assert asked == [["größer", "word"], ["(word", ")", ",", "...", ";"], "offsets"]
+    whole = [[*tokenizer.encode(t.decode(), add_special_tokens=False).ids, 1] for t in texts]
+    assert ids.tolist() == sum(whole, []) and counts.tolist() == [len(w) for w in whole]
+    encoder.encode([b"word; word", b"w\xc3\xb6rd,"], 1)
+    assert asked[3:] == [["wörd"]]
+
+
+@pytest.mark.parametrize("split_marks", [False, True])
+def test_encoder_equals_the_tokenizer_on_odd_texts(split_marks):
+    signs = [chr(k) for k in (*range(1, 127), *range(0xA0, 0x180), 0x301, 0x338, 0x3A3, 0x3C2, 0x200D, 0x2026, 0x1100, 0x1161, 0x11A8, 0x6F22, 0xAC00, 0x1F600)]
+    texts = ["", " ", ".", "<", "|", *(f"a{x} {x}b 7{x}. '{x}'s {x}{x}" for x in signs), *(a + b for a in "aZ0é'." for b in signs)]
+    texts += ["don't. it's, we'll! x'.s 's. a'. 3.5, e.g.:", "a. <|endoftext|>. b. A.", "<", "|x.", "İ.", "각 A\u030a.", "x" * 9000 + ". " + "yz " * 5000]
+    encoder = token_files.WordEncoder(tokenizer_path(), split_marks)
+    for part in (texts, texts[::-1]):
+        ids, counts = encoder.encode([t.encode() for t in part], 1)
+        whole = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in part]
+        assert counts.tolist() == [len(w) for w in whole] and ids.tolist() == sum(whole, [])
+
+
 def test_token_files_split_rows_of_one_id(spark):
     """Rows without id and rows of one id spread over parts; files that no part names are not read."""
     texts = [f"{k:04d} {'word ' * 40}{k}" for k in range(600)]
